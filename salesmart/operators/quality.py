@@ -184,7 +184,8 @@ def cleanse_transactions(fact: DataFrame, dims: dict[str, DataFrame],
     """Cleansed, typed fact.  ``dims`` must be the cleansed dimensions."""
     key = KEYS["transactions"]
     passed = drop_missing(fact, REQUIRED["transactions"])
-    removed = stage(transaction_removals(fact, dims, stage), "removed_ids")
+    # not staged: with the fact bucketed on the id only this set shuffles
+    removed = transaction_removals(fact, dims, stage)
     kept = drop_invalid(passed, "transactions").join(removed, key, "left_anti")
     return to_typed(kept, "transactions")
 

@@ -11,6 +11,7 @@ shuffle join and AQE (skew split, coalescing) handles it.
 
 from __future__ import annotations
 
+import os
 import re
 from dataclasses import dataclass, field
 
@@ -55,8 +56,15 @@ def broadcast_limit(spark: SparkSession) -> int:
 @dataclass
 class Staged:
     df: DataFrame
-    rows: int
     path: str
+    _rows: int | None = None
+
+    @property
+    def rows(self) -> int:
+        """Row count, read from the Parquet footers on first use."""
+        if self._rows is None:
+            self._rows = self.df.count()
+        return self._rows
 
 
 @dataclass
@@ -66,15 +74,28 @@ class Stager:
     enabled: bool = True
     staged: dict[str, Staged] = field(default_factory=dict)
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` once, return the re-read table (lazy when disabled)."""
+    def put(self, df: DataFrame, name: str, bucket_by: list[str] | None = None,
+            buckets: int | None = None) -> DataFrame:
+        """Write ``df`` once, return the re-read table (lazy when disabled).
+
+        ``bucket_by`` stores the table hash-bucketed on those columns (one
+        file per bucket): later aggregations and joins on them read it
+        already partitioned and skip the shuffle of this side.
+        """
         if not self.enabled:
             return df
         path = scratch_path(self.spark, self.prefix, name, unique=True)
-        df.write.mode("overwrite").parquet(path)
-        back = self.spark.read.parquet(path)
-        rows = back.count()
-        self.staged[name] = Staged(back, rows, path)
+        if bucket_by:
+            n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            table = f"sm_{name}_{os.path.basename(path)}"
+            (df.repartition(n, *bucket_by).write.mode("overwrite")
+             .bucketBy(n, *bucket_by).option("path", path).format("parquet")
+             .saveAsTable(table))
+            back = self.spark.table(table)
+        else:
+            df.write.mode("overwrite").parquet(path)
+            back = self.spark.read.schema(df.schema).parquet(path)
+        self.staged[name] = Staged(back, path)
         return back
 
     def fits_broadcast(self, name: str) -> bool:

@@ -51,7 +51,9 @@ class Warehouse:
             else:
                 df = testdata.landing_table(self.spark, self.sf_dir, table, self.faults)
                 if table == "transactions":
-                    df = self.stager.put(df, key)
+                    # bucketed on the id: the duplicate count and the final
+                    # anti join of the cleansing then never shuffle the fact
+                    df = self.stager.put(df, key, bucket_by=["transaction_id"])
             self._tables[key] = df
         return self._tables[key]
 

@@ -133,7 +133,9 @@ def transactions(spark: SparkSession, sf_dir: str, faulty: bool = True) -> DataF
         "l_extendedprice")
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                              "o_orderpriority")
-    df = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    # Both sides grow with the data (orders is a quarter of lineitem): a
+    # shuffle join on the order key, never a broadcast of orders.
+    df = li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey, "inner")
     tid = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     ts = F.col("o_orderdate").cast("string")
     cust = F.col("o_custkey")
