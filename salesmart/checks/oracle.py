@@ -192,6 +192,15 @@ def monthly(name: str, faults: str = "fact") -> str:
     return _with(faults, extra=[_MONTHLY[name]]) + f"SELECT * FROM {name}"
 
 
+def monthly_customer_avg() -> str:
+    """Average per line, rounded half-up to cents with exact integer arithmetic."""
+    return (_with("fact", extra=[_MONTHLY["monthly_customer"]])
+            + """SELECT *, CAST(CAST((2 * CAST(total_money_spent * 100 AS HUGEINT)
+                + total_products_bought) // (2 * total_products_bought) AS DECIMAL(18,0)) * 0.01
+            AS DECIMAL(18,2)) AS avg_total_money_spent_per_line
+FROM monthly_customer""")
+
+
 def rollup(entity: str, period: str, faults: str = "fact") -> str:
     src, dims, sums = _ROLLUP[entity]
     label, expr = ("quarter_year", _QLABEL) if period == "quarterly" else ("year", _YLABEL)
@@ -311,6 +320,14 @@ SELECT client, day, CAST(count(*) AS BIGINT) AS requests,
 FROM log GROUP BY client, day"""
 
 
+def quota_remaining_as_of(as_of: str, limit: int) -> str:
+    return f"""WITH {_LOG},
+today AS (SELECT client, count(*) AS n FROM log WHERE day = DATE '{as_of}' GROUP BY client)
+SELECT k.client, DATE '{as_of}' AS day,
+       CAST(greatest(0, {limit} - coalesce(t.n, 0)) AS BIGINT) AS remaining
+FROM (SELECT DISTINCT client FROM log) k LEFT JOIN today t ON k.client = t.client"""
+
+
 def latest_run(now: str, pipelines: list[str]) -> str:
     names = ", ".join(f"'{p}'" for p in pipelines)
     return f"""WITH runs AS (SELECT event_type AS pipeline_name, CAST(value AS VARCHAR) AS status,

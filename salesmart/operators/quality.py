@@ -22,9 +22,10 @@ every rule is reduced to a set of *transaction ids* to remove:
 * orphan ids come from the *distinct* fact keys per dimension (again
   pre-aggregated) anti-joined with the dimension keys, joined back to the
   ``(id, key)`` pairs only for the usually few missing keys;
-* the union of those ids is removed with a single anti join, which is
-  the only place where whole fact rows are shuffled (or none, when the set
-  is small enough to broadcast).
+* the union of those ids (deduplicated) is removed with a single anti
+  join, the only place where whole fact rows are shuffled -- or none at
+  all when the staged set's measured size allows a broadcast.  A hot id
+  on the fact side is split by AQE's skew-join handling.
 
 This is equivalent to the row-by-row rules: after the duplicate rule each
 surviving id names exactly one row, and the value checks are row-local.
@@ -176,7 +177,8 @@ def transaction_removals(fact: DataFrame, dims: dict[str, DataFrame],
     passed = drop_missing(fact, REQUIRED["transactions"])
     dup = duplicate_keys(passed, [key])
     orph = orphan_ids(passed, dims, key, stage).select(key)
-    return dup.unionByName(orph)
+    # distinct: an id with many orphan rows appears once (map-side combine)
+    return dup.unionByName(orph).distinct()
 
 
 def cleanse_transactions(fact: DataFrame, dims: dict[str, DataFrame],
@@ -184,8 +186,7 @@ def cleanse_transactions(fact: DataFrame, dims: dict[str, DataFrame],
     """Cleansed, typed fact.  ``dims`` must be the cleansed dimensions."""
     key = KEYS["transactions"]
     passed = drop_missing(fact, REQUIRED["transactions"])
-    # not staged: with the fact bucketed on the id only this set shuffles
-    removed = transaction_removals(fact, dims, stage)
+    removed = stage(transaction_removals(fact, dims, stage), "removed_ids")
     kept = drop_invalid(passed, "transactions").join(removed, key, "left_anti")
     return to_typed(kept, "transactions")
 

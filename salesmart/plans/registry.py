@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..checks import oracle
 from ..functions.columns import client_key
 from ..operators import kpi, preview, quality, quota, runs
-from ..operators.metrics import SPECS, monthly_metric
+from ..operators.metrics import SPECS, average_columns, monthly_metric
 from ..operators.rollups import ROLLUPS, exact_distinct_rollup
 from ..schemas import DIMENSIONS, METRICS
 from ..session import configure, scratch_path
@@ -34,6 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN_LOG_NOW = datetime(2024, 1, 15, 0, 0, 0)
 RUN_LOG_PIPELINES = ["click", "error"]
 QUOTA_TEST_LIMIT = 5
+QUOTA_AS_OF = "2024-01-15"
 
 
 def _wh(spark, sf_dir, faults="fact"):
@@ -58,6 +59,11 @@ def _monthly_join_first(spark, sf):
                           "monthly_customer", strategy="join_first")
 
 
+def _monthly_customer_avg(spark, sf):
+    """Optional average money per transaction line, DECIMAL(18,2)."""
+    return average_columns(_wh(spark, sf).monthly("monthly_customer"), "monthly_customer")
+
+
 # ------------------------------------------------------------------ quality
 
 def _dq(table: str, faults: str) -> Query:
@@ -141,6 +147,12 @@ def _quota_stream(spark, sf):
                       "day", "admitted")
 
 
+def _quota_remaining_as_of(spark, sf):
+    configure(spark)
+    return quota.remaining_as_of(testdata.request_log(spark, sf), QUOTA_AS_OF,
+                                 limit=QUOTA_TEST_LIMIT)
+
+
 def _latest_run(spark, sf):
     configure(spark)
     return runs.latest_runs(testdata.run_log(spark, sf), RUN_LOG_NOW, RUN_LOG_PIPELINES)
@@ -232,6 +244,7 @@ def queries() -> dict[str, Query]:
         for entity in ROLLUPS:
             q[f"{period}_{entity}"] = _rollup(entity, period)
     q["monthly_customer_join_first"] = _monthly_join_first
+    q["monthly_customer_avg"] = _monthly_customer_avg
     for t in DIMENSIONS:
         q[f"dq_{t}"] = _dq(t, "all")
     q["dq_transactions"] = _dq("transactions", "fact")
@@ -245,6 +258,7 @@ def queries() -> dict[str, Query]:
     q["quota_admission"] = _quota_admission
     q["quota_remaining"] = _quota_remaining
     q["quota_stream"] = _quota_stream
+    q["quota_remaining_as_of"] = _quota_remaining_as_of
     q["latest_run"] = _latest_run
     q["client_key"] = _client_key
     q["preview_top5"] = _preview_top5
@@ -267,6 +281,7 @@ def oracle_sql() -> dict[str, str]:
         for entity in ROLLUPS:
             s[f"{period}_{entity}"] = oracle.rollup(entity, period)
     s["monthly_customer_join_first"] = oracle.monthly("monthly_customer")
+    s["monthly_customer_avg"] = oracle.monthly_customer_avg()
     for t in DIMENSIONS:
         s[f"dq_{t}"] = oracle.dq_table(t, "all")
     s["dq_transactions"] = oracle.dq_table("transactions", "fact")
@@ -280,6 +295,7 @@ def oracle_sql() -> dict[str, str]:
     s["quota_admission"] = oracle.quota_admission(QUOTA_TEST_LIMIT)
     s["quota_remaining"] = oracle.quota_remaining(QUOTA_TEST_LIMIT)
     s["quota_stream"] = oracle.quota_admission(QUOTA_TEST_LIMIT)
+    s["quota_remaining_as_of"] = oracle.quota_remaining_as_of(QUOTA_AS_OF, QUOTA_TEST_LIMIT)
     s["latest_run"] = oracle.latest_run(RUN_LOG_NOW.strftime("%Y-%m-%d %H:%M:%S"),
                                         RUN_LOG_PIPELINES)
     s["client_key"] = oracle.client_key()

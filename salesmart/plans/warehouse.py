@@ -51,9 +51,7 @@ class Warehouse:
             else:
                 df = testdata.landing_table(self.spark, self.sf_dir, table, self.faults)
                 if table == "transactions":
-                    # bucketed on the id: the duplicate count and the final
-                    # anti join of the cleansing then never shuffle the fact
-                    df = self.stager.put(df, key, bucket_by=["transaction_id"])
+                    df = self.stager.put(df, key)
             self._tables[key] = df
         return self._tables[key]
 
@@ -89,6 +87,12 @@ class Warehouse:
     def rollup(self, entity: str, period: str) -> DataFrame:
         return rollup(self.monthly(ROLLUPS[entity].source), entity, period)
 
+    def table(self, name: str) -> DataFrame:
+        """Scan a stored table by name; anything off the allow-list raises."""
+        from ..operators.preview import check_table
+        check_table(name)
+        return self.monthly(name) if name in SPECS else self.clean(name)
+
     # ----------------------------------------------------------------- views
     def register_views(self) -> list[str]:
         """Temp views for ad-hoc SQL: cleansed tables, metrics, roll-ups."""

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..schemas import BASE_TABLES, METRICS, typed
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -31,3 +35,18 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
+
+
+def create_empty_tables(spark: SparkSession, root: str) -> dict[str, str]:
+    """Typed, empty Parquet tables for the base and metric tables.
+
+    Creation order: dimensions, metric tables, then the fact (the fact's
+    keys refer to the dimensions).  Returns table -> path.
+    """
+    order = [t for t in BASE_TABLES if t != "transactions"] + list(METRICS) + ["transactions"]
+    paths = {}
+    for t in order:
+        schema = METRICS[t] if t in METRICS else typed(t)
+        paths[t] = os.path.join(root, t)
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(paths[t])
+    return paths

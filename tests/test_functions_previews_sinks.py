@@ -80,3 +80,22 @@ def test_stream_ingest_picks_only_new_files(spark):
     csv_landing.land_csv(two, os.path.join(src, "b"))
     ingest_available(spark, os.path.join(src, "*"), "payments", sink, ckpt)
     assert sorted(r.payment_id for r in spark.read.parquet(sink).collect()) == [1, 2]
+
+
+def test_create_empty_tables(spark):
+    from salesmart.schemas import typed
+    root = scratch_path(spark, "t_empty", unique=True)
+    paths = sinks.create_empty_tables(spark, root)
+    assert set(paths) == {"customers", "employees", "payments", "products", "transactions",
+                          "monthly_customer", "monthly_employee", "monthly_payment",
+                          "monthly_product"}
+    df = spark.read.parquet(paths["transactions"])
+    assert df.count() == 0 and df.schema == typed("transactions")
+
+
+def test_warehouse_table_allow_list(spark, sf_small):
+    from salesmart.plans.warehouse import warehouse
+    wh = warehouse(spark, sf_small)
+    assert wh.table("payments").count() == 5
+    with pytest.raises(ValueError, match="Invalid table name"):
+        wh.table("IPQueryTracking")
