@@ -16,6 +16,8 @@ Warehouses are memoised per (application, input folder, options).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality
@@ -41,6 +43,21 @@ class Warehouse:
         self._landing_override = landing
         self._tables: dict[str, DataFrame] = {}
 
+    def _concurrently(self, fns) -> None:
+        """Run independent table builds as concurrent Spark jobs.
+
+        Jobs with few tasks (small dimensions, one metric) then share the
+        executors instead of queueing; the scheduler interleaves their tasks.
+        """
+        fns = list(fns)
+        if len(fns) <= 1 or not self.stager.enabled:
+            for f in fns:
+                f()
+            return
+        with ThreadPoolExecutor(max_workers=len(fns)) as pool:
+            for fut in [pool.submit(f) for f in fns]:
+                fut.result()
+
     # ------------------------------------------------------------------ input
     def landing(self, table: str) -> DataFrame:
         """Landing-layer table (the fact is landed once as Parquet)."""
@@ -62,6 +79,9 @@ class Warehouse:
             if table in DIMENSIONS:
                 df = quality.cleanse_dimension(self.landing(table), table)
             else:
+                # the landed fact and the four cleansed dimensions are independent
+                self._concurrently([lambda: self.landing("transactions")] +
+                                   [lambda d=d: self.clean(d) for d in DIMENSIONS])
                 dims = {d: self.clean(d) for d in DIMENSIONS}
                 df = quality.cleanse_transactions(self.landing("transactions"), dims,
                                                   self.stager.stage)
@@ -77,6 +97,13 @@ class Warehouse:
 
     # --------------------------------------------------------------- metrics
     def monthly(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            # the monthly metrics job builds all four tables at once
+            self.clean("transactions")
+            self._concurrently([lambda n=n: self._monthly(n) for n in SPECS])
+        return self._tables[name]
+
+    def _monthly(self, name: str) -> DataFrame:
         if name not in self._tables:
             spec = SPECS[name]
             df = monthly_metric(self.clean("transactions"), self.dimension_side(spec.dimension),
