@@ -269,6 +269,29 @@ def reject_counts() -> str:
             "CAST(n AS BIGINT) AS rejected_rows FROM (\n" + body + "\n) r WHERE n > 0")
 
 
+def rejects() -> str:
+    """Row-level rejects as multiset differences between rule stages."""
+    ctes = _landing("all")
+    for t in ("customers", "employees", "payments", "products", "transactions"):
+        ctes += _cleanse(t)
+    ctes.append("""tx_value_ok AS (SELECT * FROM transactions_s2 WHERE (
+  TRY_CAST("timestamp" AS DATE) IS NULL OR TRY_CAST(total_amount AS DECIMAL(18,2)) IS NULL
+  OR TRY_CAST(total_amount AS DECIMAL(18,2)) < 0) IS NOT TRUE)""")
+    parts = []
+    for t in ("customers", "employees", "payments", "products", "transactions"):
+        k = _KEY[t]
+        stages = [("missing", f"land_{t}", f"{t}_s1"), ("duplicate", f"{t}_s1", f"{t}_s2")]
+        if t == "products":
+            stages.append(("invalid", "products_s2", "products_s3"))
+        if t == "transactions":
+            stages += [("invalid", "transactions_s2", "tx_value_ok"),
+                       ("orphan", "tx_value_ok", "transactions_s3")]
+        for reason, before, after in stages:
+            parts.append(f"SELECT '{t}' AS table_name, {k} AS key_value, '{reason}' AS reason "
+                         f"FROM (SELECT * FROM {before} EXCEPT ALL SELECT * FROM {after}) d")
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(parts)
+
+
 def yearly_employee_exact() -> str:
     return _with("fact") + """SELECT strftime(t."timestamp", '%Y') AS year, e.employee_state,
        e.employee_id, CAST(COUNT(DISTINCT t.customer_id) AS BIGINT) AS unique_customers_serviced,

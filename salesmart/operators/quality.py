@@ -217,8 +217,8 @@ def reject_reasons(df: DataFrame, table: str, dims: dict[str, DataFrame] | None
     key = KEYS[table]
     miss = df.where(missing(table)).select(key, F.lit("missing").alias("reason"))
     passed = drop_missing(df, REQUIRED[table])
-    dups = duplicate_keys(passed, [key])
-    dup_rows = passed.join(stage(dups, "duplicate_keys"), key, "left_semi")
+    dups = stage(duplicate_keys(passed, [key]), f"{table}_duplicate_keys")
+    dup_rows = passed.join(dups, key, "left_semi")
     unique = passed.join(dups, key, "left_anti")
     parts = [miss, dup_rows.select(key, F.lit("duplicate").alias("reason"))]
     cond = invalid_values(table)

@@ -83,15 +83,13 @@ def _ref_orphans(spark, sf):
     return quality.referential_orphans(wh.landing("transactions"), dims)
 
 
+def _rejects(spark, sf):
+    """Row-level rejects of all five tables: (table_name, key_value, reason)."""
+    return _wh(spark, sf, "all").rejects()
+
+
 def _reject_counts(spark, sf):
-    wh = _wh(spark, sf, "all")
-    dims = {d: wh.clean(d) for d in DIMENSIONS}
-    parts = [quality.reject_reasons(wh.landing(t), t, dims if t == "transactions" else None)
-             .select("table_name", "reason") for t in DIMENSIONS + ("transactions",)]
-    allr = parts[0]
-    for p in parts[1:]:
-        allr = allr.unionByName(p)
-    return quality.reject_counts(allr)
+    return quality.reject_counts(_rejects(spark, sf))
 
 
 # ------------------------------------------------------------------ kpis
@@ -251,6 +249,7 @@ def queries() -> dict[str, Query]:
     q["dq_transactions_faulty_dims"] = _dq("transactions", "all")
     q["dedupe_drop_all"] = _dedupe_drop_all
     q["ref_orphans"] = _ref_orphans
+    q["dq_rejects"] = _rejects
     q["dq_reject_counts"] = _reject_counts
     q["yearly_employee_exact"] = _yearly_employee_exact
     q["kpi_period_totals"] = _kpi_period_totals
@@ -288,6 +287,7 @@ def oracle_sql() -> dict[str, str]:
     s["dq_transactions_faulty_dims"] = oracle.dq_table("transactions", "all")
     s["dedupe_drop_all"] = oracle.dedupe_drop_all()
     s["ref_orphans"] = oracle.ref_orphans()
+    s["dq_rejects"] = oracle.rejects()
     s["dq_reject_counts"] = oracle.reject_counts()
     s["yearly_employee_exact"] = oracle.yearly_employee_exact()
     s["kpi_period_totals"] = oracle.kpi_period_totals()

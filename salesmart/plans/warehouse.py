@@ -19,6 +19,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..operators.metrics import SPECS, monthly_metric
@@ -88,6 +89,24 @@ class Warehouse:
             self._tables[key] = self.stager.put(df, key)
         return self._tables[key]
 
+    def rejects(self) -> DataFrame:
+        """Stored rejects report of all five tables: (table_name, key_value, reason)."""
+        if "rejects" not in self._tables:
+            self.clean("transactions")
+            dims = {d: self.clean(d) for d in DIMENSIONS}
+            parts = []
+            for t in DIMENSIONS + ("transactions",):
+                r = quality.reject_reasons(self.landing(t), t,
+                                           dims if t == "transactions" else None,
+                                           self.stager.stage)
+                parts.append(r.select("table_name", F.col(r.columns[1]).alias("key_value"),
+                                      "reason"))
+            out = parts[0]
+            for p in parts[1:]:
+                out = out.unionByName(p)
+            self._tables["rejects"] = self.stager.put(out, "rejects")
+        return self._tables["rejects"]
+
     def dimension_side(self, table: str) -> DataFrame:
         """Cleansed dimension as a join build side (broadcast iff it fits)."""
         return self.stager.side(self.clean(table), f"clean_{table}")
