@@ -16,6 +16,7 @@ Warehouses are memoised per (application, input folder, options).
 
 from __future__ import annotations
 
+import os
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,7 @@ from ..operators import quality
 from ..operators.metrics import SPECS, monthly_metric
 from ..operators.rollups import ROLLUPS, rollup
 from ..schemas import DIMENSIONS
-from ..sources import testdata
+from ..sources import csv_landing, testdata
 from .stage import Stager
 
 _CACHE: dict[tuple, "Warehouse"] = {}
@@ -68,8 +69,9 @@ class Warehouse:
                 df = self._landing_override[table]
             else:
                 df = testdata.landing_table(self.spark, self.sf_dir, table, self.faults)
-                if table == "transactions":
-                    df = self.stager.put(df, key)
+            if table == "transactions":
+                # scanned several times by the cleansing: land it once
+                df = self.stager.put(df, key)
             self._tables[key] = df
         return self._tables[key]
 
@@ -157,6 +159,14 @@ class Warehouse:
         return names
 
 
+def from_csv(spark: SparkSession, folder: str, strategy: str = "eager") -> Warehouse:
+    """Warehouse over landed CSV files: ``<folder>/<table>/`` per base table
+    (customers, employees, payments, products, transactions), header row."""
+    landing = {t: csv_landing.read_landing_csv(spark, os.path.join(folder, t), t)
+               for t in DIMENSIONS + ("transactions",)}
+    return Warehouse(spark, folder, "csv", strategy=strategy, landing=landing)
+
+
 def warehouse(spark: SparkSession, sf_dir: str, faults: str = "fact",
               strategy: str = "eager") -> Warehouse:
     """Memoised warehouse of ``sf_dir`` for this Spark application."""

@@ -99,3 +99,15 @@ def test_warehouse_table_allow_list(spark, sf_small):
     assert wh.table("payments").count() == 5
     with pytest.raises(ValueError, match="Invalid table name"):
         wh.table("IPQueryTracking")
+
+
+def test_warehouse_from_csv_equals_parquet_mapping(spark, sf_small):
+    from salesmart.plans.warehouse import Warehouse, from_csv
+    from salesmart.sources import testdata
+    root = scratch_path(spark, "t_csv_wh", unique=True)
+    for t, df in testdata.landing_tables(spark, sf_small, "all").items():
+        csv_landing.land_csv(df, os.path.join(root, t))
+    a = from_csv(spark, root).monthly("monthly_employee")
+    b = Warehouse(spark, sf_small, "all").monthly("monthly_employee")
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0
