@@ -176,9 +176,11 @@ def transaction_removals(fact: DataFrame, dims: dict[str, DataFrame],
     key = KEYS["transactions"]
     passed = drop_missing(fact, REQUIRED["transactions"])
     dup = duplicate_keys(passed, [key])
-    orph = orphan_ids(passed, dims, key, stage).select(key)
-    # distinct: an id with many orphan rows appears once (map-side combine)
-    return dup.unionByName(orph).distinct()
+    # distinct before the union: an id with many orphan rows collapses
+    # map-side; no aggregate sits on top of the union, so the anti join's
+    # build side is a plain shuffle and AQE can split a hot id there
+    orph = orphan_ids(passed, dims, key, stage).select(key).distinct()
+    return dup.unionByName(orph)
 
 
 def cleanse_transactions(fact: DataFrame, dims: dict[str, DataFrame],

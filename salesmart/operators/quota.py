@@ -17,7 +17,9 @@ of all traffic) would then be sorted in a single task.  Instead:
    client-day leave each task;
 2. every request is compared with its client-day cutoff through an
    equi-join on ``(client, day)`` -- one small row per client-day on the
-   build side, and AQE splits a skewed client-day on the probe side.
+   build side.  With the cut-offs staged, that side is either broadcast
+   (measured size) or a plain shuffle, so AQE can split a hot client-day
+   on the request side.
 """
 
 from __future__ import annotations
@@ -43,10 +45,17 @@ def _cutoffs(d: DataFrame, limit: int) -> DataFrame:
             .agg(F.max(F.struct("ts", "request_id")).alias("_cut")))
 
 
-def admissions(log: DataFrame, limit: int = DAILY_LIMIT) -> DataFrame:
-    """Every request with its decision ``admitted``."""
+def admissions(log: DataFrame, limit: int = DAILY_LIMIT, stage=None) -> DataFrame:
+    """Every request with its decision ``admitted``.
+
+    ``stage`` (see ``plans.stage.Stager.stage``) stores the cut-off table:
+    the join then gets a measured build side (broadcast when it fits) or a
+    plain shuffle on both sides, which lets AQE split a hot client-day.
+    """
     d = _with_day(log)
     cut = _cutoffs(d, limit)
+    if stage is not None:
+        cut = stage(cut, "quota_cutoffs")
     joined = d.join(cut, ["client", "day"], "left")
     admitted = F.struct("ts", "request_id") <= F.col("_cut")
     return joined.select("client", "request_id", "ts", "day",

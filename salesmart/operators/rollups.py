@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import quarter_label, year_label
 from ..schemas import TOTAL
-from .metrics import MONTH
 
 
 @dataclass(frozen=True)
@@ -85,4 +84,4 @@ def exact_distinct_rollup(fact: DataFrame, employees: DataFrame, period: str = "
                     F.col("total_money_made").cast(TOTAL).alias("total_money_made"))
 
 
-__all__ = ["ROLLUPS", "rollup", "exact_distinct_rollup", "MONTH"]
+__all__ = ["ROLLUPS", "rollup", "exact_distinct_rollup"]

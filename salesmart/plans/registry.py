@@ -26,6 +26,7 @@ from ..sources import csv_landing, testdata
 from ..streaming.ingest import ingest_available
 from ..streaming.quota_stream import OUTPUT as QUOTA_OUTPUT, run_quota_stream
 from .adhoc import run_sql
+from .stage import Stager
 from .warehouse import warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,7 +113,8 @@ def _kpi_first_seen(spark, sf):
 
 def _quota_admission(spark, sf):
     configure(spark)
-    return quota.admissions(testdata.request_log(spark, sf), QUOTA_TEST_LIMIT)
+    return quota.admissions(testdata.request_log(spark, sf), QUOTA_TEST_LIMIT,
+                            Stager(spark, "quota").stage)
 
 
 def _quota_remaining(spark, sf):
