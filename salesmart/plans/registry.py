@@ -75,13 +75,14 @@ def _dedupe_drop_all(spark, sf):
     configure(spark)
     li = testdata.read(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    return quality.drop_all_duplicates(li, ["l_orderkey", "l_linenumber"])
+    return quality.drop_all_duplicates(li, ["l_orderkey", "l_linenumber"],
+                                       Stager(spark, "dedupe").stage)
 
 
 def _ref_orphans(spark, sf):
     wh = _wh(spark, sf, "all")
     dims = {d: wh.clean(d) for d in DIMENSIONS}
-    return quality.referential_orphans(wh.landing("transactions"), dims)
+    return quality.referential_orphans(wh.landing("transactions"), dims, wh.stager.stage)
 
 
 def _rejects(spark, sf):

@@ -80,7 +80,10 @@ class Warehouse:
         key = f"clean_{table}"
         if key not in self._tables:
             if table in DIMENSIONS:
-                df = quality.cleanse_dimension(self.landing(table), table)
+                # the (usually tiny) duplicate-key set is staged: broadcast
+                # when it fits, so the dimension itself is never shuffled
+                df = quality.cleanse_dimension(self.landing(table), table,
+                                               self._named_stage(table))
             else:
                 # the landed fact and the four cleansed dimensions are independent
                 self._concurrently([lambda: self.landing("transactions")] +
@@ -100,7 +103,7 @@ class Warehouse:
             for t in DIMENSIONS + ("transactions",):
                 r = quality.reject_reasons(self.landing(t), t,
                                            dims if t == "transactions" else None,
-                                           self.stager.stage)
+                                           self._named_stage("rejects"))
                 parts.append(r.select("table_name", F.col(r.columns[1]).alias("key_value"),
                                       "reason"))
             out = parts[0]
@@ -109,6 +112,9 @@ class Warehouse:
             self._tables["rejects"] = self.stager.put(out, "rejects")
         return self._tables["rejects"]
 
+    def _named_stage(self, prefix: str):
+        return lambda df, name: self.stager.stage(df, f"{prefix}_{name}")
+
     def dimension_side(self, table: str) -> DataFrame:
         """Cleansed dimension as a join build side (broadcast iff it fits)."""
         return self.stager.side(self.clean(table), f"clean_{table}")
