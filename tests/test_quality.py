@@ -112,3 +112,15 @@ def test_reject_reasons_first_rule_wins(spark):
     counts = {(r.table_name, r.reason): r.rejected_rows
               for r in quality.reject_counts(rej).collect()}
     assert counts[("transactions", "duplicate")] == 2
+
+
+def test_result_independent_of_partitioning_and_order(spark, sf_small):
+    from salesmart.plans.warehouse import Warehouse
+    from salesmart.schemas import DIMENSIONS
+    wh = Warehouse(spark, sf_small, "all", materialize=False)
+    fact = wh.landing("transactions")
+    dims = {d: wh.clean(d) for d in DIMENSIONS}
+    a = quality.cleanse_transactions(fact.coalesce(1), dims)
+    b = quality.cleanse_transactions(fact.repartition(7).orderBy(F.rand(5)), dims)
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0
