@@ -26,6 +26,7 @@ from ..operators import quality
 from ..operators.metrics import SPECS, monthly_metric
 from ..operators.rollups import ROLLUPS, rollup
 from ..schemas import DIMENSIONS
+from ..sinks.tables import refresh
 from ..sources import csv_landing, testdata
 from .stage import Stager
 
@@ -138,6 +139,35 @@ class Warehouse:
             self._tables[name] = self.stager.put(df, name)
         return self._tables[name]
 
+    def publish(self, root: str, months: list[str] | None = None,
+                names: tuple[str, ...] = tuple(SPECS)) -> dict[str, str]:
+        """Write the monthly tables under ``root/<name>``, partitioned by month.
+
+        With ``months`` only those months are recomputed from the cleansed
+        fact (the timestamp range filter reaches the Parquet scan as min/max
+        pruning) and only their partitions are replaced -- dynamic partition
+        overwrite, so re-running a month never double-counts it.
+        """
+        fact = self.clean("transactions")
+        if months:
+            bounds = [(F.to_timestamp(F.lit(m + "-01")).cast("timestamp_ntz"),
+                       F.add_months(F.to_date(F.lit(m + "-01")), 1).cast("timestamp_ntz"))
+                      for m in months]
+            cond = None
+            for lo, hi in bounds:
+                c = (F.col("timestamp") >= lo) & (F.col("timestamp") < hi)
+                cond = c if cond is None else cond | c
+            fact = fact.where(cond)
+        paths = {}
+        for name in names:
+            spec = SPECS[name]
+            df = monthly_metric(fact, self.dimension_side(spec.dimension), spec, self.strategy)
+            paths[name] = os.path.join(root, name)
+            # rebalance, not repartition: few files per month, and AQE splits
+            # a month holding a large share of the rows over several writers
+            refresh(df.hint("rebalance", "month_year"), paths[name], partition_by="month_year")
+        return paths
+
     def rollup(self, entity: str, period: str) -> DataFrame:
         return rollup(self.monthly(ROLLUPS[entity].source), entity, period)
 
