@@ -13,7 +13,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -36,10 +35,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
-    scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    # spark.checkpoint.dir comes from the environment's defaults; only when it
+    # is unset does build_session pick a fresh local folder
     spark = build_session(f"local[{cpus}]", shuffle_partitions=parts,
-                          extra={"spark.ui.showConsoleProgress": "false",
-                                 "spark.checkpoint.dir": scratch})
+                          extra={"spark.ui.showConsoleProgress": "false"})
     qs = registry.queries()
     if os.path.isdir(WARMUP_DIR) and os.path.abspath(WARMUP_DIR) != os.path.abspath(sf_dir):
         qs["monthly_customer"](spark, WARMUP_DIR).toArrow()

@@ -66,9 +66,21 @@ def quota_query(stream: DataFrame, limit: int = DAILY_LIMIT) -> DataFrame:
 
 
 def run_quota_stream(spark: SparkSession, source_dir: str, sink_path: str,
-                     checkpoint: str, limit: int = DAILY_LIMIT) -> None:
-    """Process all request-log files not yet seen (availableNow)."""
-    src = spark.readStream.schema(SOURCE).parquet(source_dir)
+                     checkpoint: str, limit: int = DAILY_LIMIT,
+                     state_partitions: int | None = None) -> None:
+    """Process all request-log files not yet seen (availableNow).
+
+    The state store is split into ``state_partitions`` partitions (default:
+    the cluster's total cores), fixed when the checkpoint is created.  The
+    setting lives in a child session so the caller's settings stay as they
+    are.
+    """
+    from ..session import configure
+    ss = spark.newSession()
+    configure(ss)
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    ss.conf.set("spark.sql.shuffle.partitions", str(n))
+    src = ss.readStream.schema(SOURCE).parquet(source_dir)
     q = (quota_query(src, limit).writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start(sink_path))

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -32,9 +31,7 @@ def tree(df) -> str:
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", extra={
-        "spark.ui.showConsoleProgress": "false",
-        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp")})
+    spark = build_session("local[8]", extra={"spark.ui.showConsoleProgress": "false"})
     wh = Warehouse(spark, sf, "fact")
     land = wh.landing("transactions")
     dims = {d: wh.clean(d) for d in DIMENSIONS}

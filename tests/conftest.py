@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -12,11 +11,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from salesmart.session import build_session
-    # tests run locally: the checkpoint folder is ours to choose
-    scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    # spark.checkpoint.dir is read from the environment; build_session picks a
+    # fresh local folder only when it is unset
     s = build_session("local[4]", shuffle_partitions=8,
-                      extra={"spark.ui.showConsoleProgress": "false",
-                             "spark.checkpoint.dir": scratch})
+                      extra={"spark.ui.showConsoleProgress": "false"})
     yield s
     s.stop()
 
