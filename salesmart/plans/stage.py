@@ -73,13 +73,28 @@ class Stager:
     enabled: bool = True
     staged: dict[str, Staged] = field(default_factory=dict)
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` once, return the re-read table (lazy when disabled)."""
+    def put(self, df: DataFrame, name: str, bucket_by: str | None = None) -> DataFrame:
+        """Write ``df`` once, return the re-read table (lazy when disabled).
+
+        ``bucket_by`` stores the table hash-bucketed on that column (one file
+        per bucket, ``spark.sql.shuffle.partitions`` buckets) as a catalog
+        table at the staged path.  Only for *unique* keys (cleansed
+        dimensions): a bucket can then never be skewed, and later joins and
+        aggregations on the key read this side without a shuffle.
+        """
         if not self.enabled:
             return df
         path = scratch_path(self.spark, self.prefix, name, unique=True)
-        df.write.mode("overwrite").parquet(path)
-        back = self.spark.read.schema(df.schema).parquet(path)
+        if bucket_by:
+            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            table = f"salesmart_{name}_{path.rsplit('/', 1)[-1]}"
+            (df.repartition(n, bucket_by).write.mode("overwrite").format("parquet")
+             .bucketBy(n, bucket_by).sortBy(bucket_by).option("path", path)
+             .saveAsTable(table))
+            back = self.spark.table(table)
+        else:
+            df.write.mode("overwrite").parquet(path)
+            back = self.spark.read.schema(df.schema).parquet(path)
         self.staged[name] = Staged(back, path)
         return back
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..operators import quality
 from ..operators.metrics import SPECS, monthly_metric
 from ..operators.rollups import ROLLUPS, rollup
-from ..schemas import DIMENSIONS
+from ..schemas import DIMENSIONS, KEYS
 from ..sinks.tables import refresh
 from ..sources import csv_landing, testdata
 from .stage import Stager
@@ -92,7 +92,9 @@ class Warehouse:
                 dims = {d: self.clean(d) for d in DIMENSIONS}
                 df = quality.cleanse_transactions(self.landing("transactions"), dims,
                                                   self.stager.stage)
-            self._tables[key] = self.stager.put(df, key)
+            # dimensions are stored bucketed on their (now unique) key
+            bucket = KEYS[table] if table in DIMENSIONS else None
+            self._tables[key] = self.stager.put(df, key, bucket_by=bucket)
         return self._tables[key]
 
     def rejects(self) -> DataFrame:

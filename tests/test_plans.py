@@ -63,3 +63,19 @@ def test_small_removed_set_is_broadcast(spark, sf_small):
     w.clean("transactions")
     assert w.stager.fits_broadcast("removed_ids")
     assert w.stager.fits_broadcast("missing_keys")
+
+
+def test_bucketed_dimensions_join_without_shuffling_the_dimension(spark, sf_small):
+    from salesmart.operators.metrics import monthly_metric
+    w = Warehouse(spark, sf_small, "fact")
+    fact, cust = w.clean("transactions"), w.clean("customers")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(monthly_metric(fact, cust, "monthly_customer"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan
+    # the dimension is read bucketed; only the aggregated fact side moves
+    assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan, plan
+    assert "hashpartitioning(customer_id#" in plan
+    assert plan.count("Exchange hashpartitioning(customer_id") == 1, plan
