@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import scratch_path, scratch_root
 
 # Upper bound on the broadcast size when the session sets none.
 DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
@@ -52,6 +52,17 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(m.group(1)) * _UNITS[m.group(2)]
 
 
+STAGE_DATABASE = "salesmart_stage"
+
+
+def stage_database(spark: SparkSession) -> str:
+    """Catalog database of the bucketed staged tables, located in the
+    shared checkpoint folder (never the default warehouse directory)."""
+    loc = scratch_root(spark) + "/catalog"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {STAGE_DATABASE} LOCATION '{loc}'")
+    return STAGE_DATABASE
+
+
 @dataclass
 class Staged:
     df: DataFrame
@@ -87,7 +98,7 @@ class Stager:
         path = scratch_path(self.spark, self.prefix, name, unique=True)
         if bucket_by:
             n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            table = f"salesmart_{name}_{path.rsplit('/', 1)[-1]}"
+            table = f"{stage_database(self.spark)}.{name}_{path.rsplit('/', 1)[-1]}"
             (df.repartition(n, bucket_by).write.mode("overwrite").format("parquet")
              .bucketBy(n, bucket_by).sortBy(bucket_by).option("path", path)
              .saveAsTable(table))
