@@ -67,7 +67,8 @@ def quota_query(stream: DataFrame, limit: int = DAILY_LIMIT) -> DataFrame:
 
 def run_quota_stream(spark: SparkSession, source_dir: str, sink_path: str,
                      checkpoint: str, limit: int = DAILY_LIMIT,
-                     state_partitions: int | None = None) -> None:
+                     state_partitions: int | None = None,
+                     max_files_per_trigger: int | None = None) -> None:
     """Process all request-log files not yet seen (availableNow).
 
     The state store is split into ``state_partitions`` partitions (default:
@@ -80,7 +81,11 @@ def run_quota_stream(spark: SparkSession, source_dir: str, sink_path: str,
     configure(ss)
     n = state_partitions or spark.sparkContext.defaultParallelism
     ss.conf.set("spark.sql.shuffle.partitions", str(n))
-    src = ss.readStream.schema(SOURCE).parquet(source_dir)
+    reader = ss.readStream.schema(SOURCE)
+    if max_files_per_trigger:
+        # bounds a micro-batch, and with it the rows one client brings to a task
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = reader.parquet(source_dir)
     q = (quota_query(src, limit).writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start(sink_path))
