@@ -17,7 +17,7 @@ import json
 import os
 
 from .operators.rollups import ROLLUPS
-from .plans.warehouse import Warehouse, from_csv
+from .plans.warehouse import from_csv, warehouse
 from .schemas import BASE_TABLES
 from .session import build_session, configure
 from .sinks.tables import refresh
@@ -39,7 +39,7 @@ def main(argv: list[str] | None = None) -> dict:
     else:
         from pyspark.sql import SparkSession
         spark = configure(SparkSession.builder.getOrCreate())
-    wh = from_csv(spark, args.csv) if args.csv else Warehouse(spark, args.tables, args.faults)
+    wh = from_csv(spark, args.csv) if args.csv else warehouse(spark, args.tables, args.faults)
 
     written = {}
     for t in BASE_TABLES:
