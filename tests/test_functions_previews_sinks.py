@@ -115,14 +115,14 @@ def test_warehouse_from_csv_equals_parquet_mapping(spark, sf_small):
 
 def test_batch_job_publishes_and_reruns_a_month(spark, sf_small):
     from salesmart.__main__ import main
-    from salesmart.plans.warehouse import Warehouse
+    from salesmart.plans.warehouse import warehouse
     out = scratch_path(spark, "t_job", unique=True)
     paths = main(["--tables", sf_small, "--out", out])
     first = spark.read.parquet(paths["monthly_customer"])
     month = first.agg({"month_year": "min"}).first()[0]
     main(["--tables", sf_small, "--out", out, "--months", month])
     again = spark.read.parquet(paths["monthly_customer"]).select(*first.columns)
-    ref = Warehouse(spark, sf_small, "fact").monthly("monthly_customer").select(*first.columns)
+    ref = warehouse(spark, sf_small, "fact").monthly("monthly_customer").select(*first.columns)
     assert again.count() == ref.count()
     assert again.exceptAll(ref).count() == 0
     assert spark.read.parquet(paths["rejects"]).count() > 0
