@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,17 +12,18 @@ from ..schemas import TOTAL
 def period_totals(fact: DataFrame) -> DataFrame:
     """``(grain, period, transactions, total_amount)`` for month, quarter, year.
 
-    One pass over the fact (aggregated by month); quarters and years are
-    re-aggregated from the monthly rows, which are few.
+    One pass over the fact (aggregated by month); each monthly row is then
+    exploded into its month, quarter and year labels and re-aggregated --
+    a few hundred rows, so the fact is scanned exactly once.
     """
     monthly = (fact.groupBy(F.date_format(F.trunc("timestamp", "MM"), "yyyy-MM").alias("p"))
                .agg(F.count(F.lit(1)).alias("n"), F.sum("total_amount").alias("amt")))
-    parts = [monthly.select(F.lit("month").alias("grain"), F.col("p").alias("period"), "n", "amt")]
-    for grain, fn in (("quarter", quarter_label), ("year", year_label)):
-        parts.append(monthly.groupBy(fn("p").alias("period"))
-                     .agg(F.sum("n").alias("n"), F.sum("amt").alias("amt"))
-                     .select(F.lit(grain).alias("grain"), "period", "n", "amt"))
-    out = reduce(DataFrame.unionByName, parts)
+    labels = F.array(*[F.struct(F.lit(g).alias("grain"), fn.alias("period"))
+                       for g, fn in (("month", F.col("p")), ("quarter", quarter_label("p")),
+                                     ("year", year_label("p")))])
+    out = (monthly.select(F.explode(labels).alias("g"), "n", "amt")
+           .groupBy(F.col("g.grain").alias("grain"), F.col("g.period").alias("period"))
+           .agg(F.sum("n").alias("n"), F.sum("amt").alias("amt")))
     return out.select("grain", "period", F.col("n").cast("long").alias("transactions"),
                       F.col("amt").cast(TOTAL).alias("total_amount"))
 
