@@ -214,23 +214,29 @@ def reject_reasons(df: DataFrame, table: str, dims: dict[str, DataFrame] | None
     """``(table_name, <key>, reason)`` for every removed row.
 
     The reason is the first rule that removes the row: ``missing``,
-    ``duplicate``, ``invalid`` (value) or ``orphan`` (reference).
+    ``duplicate``, ``invalid`` (value) or ``orphan`` (reference).  One
+    classification pass: the rows passing the NULL rule are left-joined to
+    the (staged, distinct) duplicate-key set and, for the fact, to the
+    orphan-id set; both joins are on the key, so the table is shuffled at
+    most once (not at all when the sets are small enough to broadcast).
     """
     key = KEYS[table]
     miss = df.where(missing(table)).select(key, F.lit("missing").alias("reason"))
     passed = drop_missing(df, REQUIRED[table])
     dups = stage(duplicate_keys(passed, [key]), f"{table}_duplicate_keys")
-    dup_rows = passed.join(dups, key, "left_semi")
-    unique = passed.join(dups, key, "left_anti")
-    parts = [miss, dup_rows.select(key, F.lit("duplicate").alias("reason"))]
+    flagged = passed.join(dups.withColumn("_dup", F.lit(True)), key, "left")
+    reason = F.when(F.col("_dup"), F.lit("duplicate"))
     cond = invalid_values(table)
     if cond is not None:
-        parts.append(unique.where(cond).select(key, F.lit("invalid").alias("reason")))
-        unique = unique.where(~cond)
+        reason = reason.when(cond, F.lit("invalid"))
     if table == "transactions":
-        orph = orphan_ids(unique, dims, key, stage).select(key).distinct()
-        parts.append(orph.select(key, F.lit("orphan").alias("reason")))
-    out = reduce(DataFrame.unionByName, parts)
+        # ids with a missing dimension key, over the same rows the cleansing sees
+        orph = stage(orphan_ids(passed, dims, key, stage).select(key).distinct(),
+                     "orphan_ids")
+        flagged = flagged.join(orph.withColumn("_orphan", F.lit(True)), key, "left")
+        reason = reason.when(F.col("_orphan"), F.lit("orphan"))
+    removed = flagged.select(key, reason.alias("reason")).where(F.col("reason").isNotNull())
+    out = miss.unionByName(removed)
     return out.select(F.lit(table).alias("table_name"), key, "reason")
 
 

@@ -102,13 +102,19 @@ class Warehouse:
         if "rejects" not in self._tables:
             self.clean("transactions")
             dims = {d: self.clean(d) for d in DIMENSIONS}
-            parts = []
-            for t in DIMENSIONS + ("transactions",):
+            tables = DIMENSIONS + ("transactions",)
+            built: dict[str, DataFrame] = {}
+
+            def build(t: str) -> None:
+                # each table stages its own small sets; the five are independent
                 r = quality.reject_reasons(self.landing(t), t,
                                            dims if t == "transactions" else None,
-                                           self._named_stage("rejects"))
-                parts.append(r.select("table_name", F.col(r.columns[1]).alias("key_value"),
-                                      "reason"))
+                                           self._named_stage(f"rejects_{t}"))
+                built[t] = r.select("table_name", F.col(r.columns[1]).alias("key_value"),
+                                    "reason")
+
+            self._concurrently([lambda t=t: build(t) for t in tables])
+            parts = [built[t] for t in tables]
             out = parts[0]
             for p in parts[1:]:
                 out = out.unionByName(p)
