@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from salesmart.operators import quality, quota  # noqa: E402
+from salesmart.operators import kpi, quality, quota  # noqa: E402
 from salesmart.operators.metrics import monthly_metric  # noqa: E402
 from salesmart.plans.stage import Stager  # noqa: E402
 from salesmart.plans.warehouse import Warehouse  # noqa: E402
@@ -54,6 +54,11 @@ def main() -> None:
                                 "monthly_employee")),
         ("Quarterly customer roll-up over the stored monthly table",
          lambda: wh.rollup("customer", "quarterly")),
+        ("KPI period totals: one pass over the fact, labels exploded from monthly rows",
+         lambda: kpi.period_totals(wh.clean("transactions"))),
+        ("Rejects of the fact with broadcasting off: one classification pass (left joins "
+         "to the staged duplicate and orphan id sets on the same key)",
+         lambda: quality.reject_reasons(land, "transactions", dims, st.stage)),
         ("Quota cut-offs: partial WindowGroupLimit before the exchange",
          lambda: quota._cutoffs(quota._with_day(log), 5)),
         ("Quota admission: requests joined to the staged cut-offs",
