@@ -14,7 +14,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,7 +71,7 @@ class Staged:
 
     @property
     def rows(self) -> int:
-        """Row count, read from the Parquet footers on first use."""
+        """Row count (observed during the write; else read from the footers)."""
         if self._rows is None:
             self._rows = self.df.count()
         return self._rows
@@ -96,17 +96,21 @@ class Stager:
         if not self.enabled:
             return df
         path = scratch_path(self.spark, self.prefix, name, unique=True)
+        # the row count is observed while writing: no second job to size it
+        obs = Observation(f"stage_{name}_{path.rsplit('/', 1)[-1]}")
+        counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         if bucket_by:
             n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             table = f"{stage_database(self.spark)}.{name}_{path.rsplit('/', 1)[-1]}"
-            (df.repartition(n, bucket_by).write.mode("overwrite").format("parquet")
+            (counted.repartition(n, bucket_by).write.mode("overwrite").format("parquet")
              .bucketBy(n, bucket_by).sortBy(bucket_by).option("path", path)
              .saveAsTable(table))
             back = self.spark.table(table)
         else:
-            df.write.mode("overwrite").parquet(path)
+            counted.write.mode("overwrite").parquet(path)
             back = self.spark.read.schema(df.schema).parquet(path)
-        self.staged[name] = Staged(back, path)
+        rows = obs.get.get("rows") if obs.get else None
+        self.staged[name] = Staged(back, path, rows)
         return back
 
     def fits_broadcast(self, name: str) -> bool:
