@@ -2,8 +2,8 @@
 
 ``Stager.put`` writes a DataFrame as Parquet under the shared checkpoint
 folder and reads it back: lineage is cut (a lost executor costs a re-read,
-not a recompute of the whole upstream plan) and the row count is then known
-exactly (from the Parquet footers).  ``Stager.side`` marks a build side for
+not a recompute of the whole upstream plan) and the row count is known
+exactly (observed during the write, so sizing costs no extra job).  ``Stager.side`` marks a build side for
 broadcast only when that measured count times the schema's row width fits
 under the session's broadcast threshold; otherwise the join stays a
 shuffle join and AQE (skew split, coalescing) handles it.
