@@ -7,3 +7,8 @@ latest-run reporting.  Everything is DataFrame / SQL / Structured Streaming.
 """
 
 __version__ = "0.1.0"
+
+from .plans.warehouse import Warehouse, from_csv, warehouse  # noqa: E402
+from .session import build_session, configure  # noqa: E402
+
+__all__ = ["Warehouse", "build_session", "configure", "from_csv", "warehouse"]

@@ -79,3 +79,14 @@ def test_bucketed_dimensions_join_without_shuffling_the_dimension(spark, sf_smal
     assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan, plan
     assert "hashpartitioning(customer_id#" in plan
     assert plan.count("Exchange hashpartitioning(customer_id") == 1, plan
+
+
+def test_staged_row_counts_are_observed_exactly(spark):
+    from salesmart.plans.stage import Stager
+    st = Stager(spark, "t_obs")
+    df = spark.range(1234).selectExpr("id", "id % 7 as k").where("k <> 3")
+    back = st.put(df, "plain")
+    bucketed = st.put(df, "bucketed", bucket_by="id")
+    assert st.staged["plain"]._rows == back.count() == df.count()
+    assert st.staged["bucketed"]._rows == bucketed.count() == df.count()
+    assert st.fits_broadcast("plain")
