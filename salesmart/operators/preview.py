@@ -21,7 +21,9 @@ def check_table(name: str) -> str:
 def preview_table(df: DataFrame, order_by: str | list[str] | None,
                   n: int = TABLE_PREVIEW_ROWS) -> DataFrame:
     """First ``n`` rows by ``order_by`` (a TakeOrderedAndProject: per-task
-    top-n, then a merge of n rows per task -- no full sort)."""
+    top-n, then a merge of n rows per task -- no full sort, but every
+    partition is read).  ``order_by=None`` is the original's "any n rows":
+    a plain limit that reads only as many partitions as it needs."""
     if order_by is None:
         return df.limit(n)
     return df.orderBy(order_by).limit(n)
