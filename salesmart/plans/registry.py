@@ -97,10 +97,12 @@ def _reject_counts(spark, sf):
 
 # ------------------------------------------------------------------ kpis
 
-def _yearly_employee_exact(spark, sf):
-    wh = _wh(spark, sf)
-    return exact_distinct_rollup(wh.clean("transactions"), wh.dimension_side("employees"),
-                                 "yearly")
+def _employee_exact(period: str) -> Query:
+    def q(spark, sf):
+        wh = _wh(spark, sf)
+        return exact_distinct_rollup(wh.clean("transactions"), wh.dimension_side("employees"),
+                                     period)
+    return q
 
 
 def _kpi_period_totals(spark, sf):
@@ -266,7 +268,8 @@ def queries() -> dict[str, Query]:
     q["ref_orphans"] = _ref_orphans
     q["dq_rejects"] = _rejects
     q["dq_reject_counts"] = _reject_counts
-    q["yearly_employee_exact"] = _yearly_employee_exact
+    q["yearly_employee_exact"] = _employee_exact("yearly")
+    q["quarterly_employee_exact"] = _employee_exact("quarterly")
     q["kpi_period_totals"] = _kpi_period_totals
     q["kpi_first_seen_customers"] = _kpi_first_seen
     q["quota_admission"] = _quota_admission
@@ -305,7 +308,8 @@ def oracle_sql() -> dict[str, str]:
     s["ref_orphans"] = oracle.ref_orphans()
     s["dq_rejects"] = oracle.rejects()
     s["dq_reject_counts"] = oracle.reject_counts()
-    s["yearly_employee_exact"] = oracle.yearly_employee_exact()
+    s["yearly_employee_exact"] = oracle.employee_exact("yearly")
+    s["quarterly_employee_exact"] = oracle.employee_exact("quarterly")
     s["kpi_period_totals"] = oracle.kpi_period_totals()
     s["kpi_first_seen_customers"] = oracle.kpi_first_seen_customers()
     s["quota_admission"] = oracle.quota_admission(QUOTA_TEST_LIMIT)
