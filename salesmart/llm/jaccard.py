@@ -18,7 +18,9 @@ each breaks ties by its own hash.
 5. Then all pairs of nodes that share a posting but not yet a component.  This
    is the exact remainder: a link between two components is always among them.
 6. Pairs are filtered by size, by the prefixes of the other orders (they must
-   meet in each), and then verified on the shingles' words.
+   meet in each), and then verified on the whole sets.
+
+Tokens are 64-bit hashes of shingles.
 
 Links are joined to components by label propagation along hash joins, staged
 after each round.
@@ -33,19 +35,16 @@ results.  Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, column, fresh, ship, stage
+from .common import column, fresh, ship, stage
 
-WORDS = re.compile(WORD)
-LOWER = {i: i + 32 for i in range(65, 91)}
 #: Bound of the table of frequent tokens that every task holds, and of a task's counters.
-HOT, COUNTERS = 100_000, 200_000
+HOT, COUNTERS, KNOWN = 100_000, 400_000, 500_000
 ORDERS = 3
 #: Multipliers of the hashes that break ties, one per order (odd, so each is a permutation).
 TWIST = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -53,56 +52,68 @@ TWIST = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], n
 CHUNK = 64
 
 
-def shingles(text: str | None, width: int) -> set[tuple[str, ...]]:
-    words = WORDS.findall((text or "").translate(LOWER))
-    if len(words) < width:
-        return {tuple(words)} if words else set()
-    return set(zip(*(words[i:] for i in range(width))))
+class Known(dict):
+    """Hashes of words, at most KNOWN of them kept."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KNOWN:
+            self.clear()
+        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return h
 
 
 class Hasher:
-    """Sorted 64-bit hashes of the shingles of a text."""
+    """Sorted 64-bit hashes of the shingles of a text in UTF-8.
+
+    ``bytes.lower`` lowers A-Z only and ``bytes.split`` cuts at the six ASCII
+    blanks only, as the definition of words asks.
+    """
 
     def __init__(self, width: int):
-        self.width, self.known = width, {}
-
-    def _word(self, word: str) -> int:
-        h = self.known.get(word)
-        if h is None:
-            if len(self.known) > 500_000:
-                self.known.clear()
-            h = self.known[word] = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
-        return h
+        self.width, self.known = width, Known()
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = WORDS.findall((text or "").translate(LOWER))
-        h = np.fromiter(map(self._word, words), np.uint64, len(words))
+    def __call__(self, text: bytes | None) -> np.ndarray:
+        words = (text or b"").lower().split()
+        h = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
         width = min(self.width, len(h))
         if not width:
             return h
         out = np.full(len(h) - width + 1, len(h) if len(h) < self.width else 0, np.uint64)
         for i in range(width):
-            out = (out ^ h[i:len(h) - width + 1 + i]) * np.uint64(0xBF58476D1CE4E5B9)
+            out ^= h[i:len(h) - width + 1 + i]
+            out *= np.uint64(0xBF58476D1CE4E5B9)
             out ^= out >> np.uint64(29)
-        return np.unique(out)
+        out.sort()
+        return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1 if n else 0
 
 
-def prefixes(tokens: np.ndarray, hot: np.ndarray, percent: int) -> list[np.ndarray]:
-    """The prefix of each order.  ``hot``: sorted frequent tokens."""
-    n, at = prefix_length(len(tokens), percent), np.searchsorted(hot, tokens)
-    common = np.zeros(len(tokens), bool)
-    if len(hot):
-        common = hot[np.minimum(at, len(hot) - 1)] == tokens
-    out = []
-    for twist in TWIST[:ORDERS]:
-        mixed = tokens * twist
-        rank = (mixed ^ (mixed >> np.uint64(32))) >> np.uint64(1) | (common.astype(np.uint64) << np.uint64(63))
-        out.append(tokens[np.argpartition(rank, n - 1)[:n]] if n < len(tokens) else tokens)
-    return out
+def is_common(tokens: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Which tokens are among the sorted frequent ones."""
+    if not len(hot):
+        return np.zeros(len(tokens), bool)
+    return hot[np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)] == tokens
+
+
+def prefix(tokens: np.ndarray, common: np.ndarray, percent: int, order: int) -> np.ndarray:
+    """Places of the first tokens under an order: frequent tokens last, ties by the order's hash."""
+    n = prefix_length(len(tokens), percent)
+    if n >= len(tokens):
+        return np.arange(len(tokens))
+    mixed = tokens * TWIST[order]
+    rank = (mixed ^ (mixed >> np.uint64(32))) >> np.uint64(1)
+    rank[common] |= np.uint64(1 << 63)
+    return np.argpartition(rank, n - 1)[:n]
+
+
+def overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    if not len(a) or not len(b):
+        return 0
+    return int(np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a))
 
 
 def frequent_tokens(df: DataFrame, width: int) -> np.ndarray:
@@ -110,24 +121,36 @@ def frequent_tokens(df: DataFrame, width: int) -> np.ndarray:
     ship(df.sparkSession)
 
     def run(batches):
-        make, keys, counts = Hasher(width), np.empty(0, np.uint64), np.empty(0, np.int64)
+        make, keys, counts, held, size = Hasher(width), np.empty(0, np.uint64), np.empty(0, np.int64), [], 0
+
+        def merge():
+            every = np.concatenate(held)
+            every.sort()
+            edges = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+            n = np.diff(np.append(edges, len(every)))
+            found = every[edges][n > 1]  # a decrement by one for what a step sees once
+            merged, place = np.unique(np.concatenate([keys, found]), return_inverse=True)
+            total = np.bincount(place, np.concatenate([counts, n[n > 1]]), len(merged)).astype(np.int64)
+            if len(merged) > COUNTERS:
+                total -= np.partition(total, len(total) - COUNTERS)[len(total) - COUNTERS]
+            return merged[total > 0], total[total > 0]
+
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for i in range(0, len(texts), 500):
-                found, n = np.unique(np.concatenate([make(t) for t in texts[i:i + 500]]), return_counts=True)
-                some = n > 1  # a decrement by one for what a step sees once
-                merged = np.concatenate([keys, found[some]])
-                keys, place = np.unique(merged, return_inverse=True)
-                counts = np.bincount(place, np.concatenate([counts, n[some]]), len(keys)).astype(np.int64)
-                if len(keys) > COUNTERS:
-                    counts -= np.partition(counts, len(counts) - COUNTERS)[len(counts) - COUNTERS]
-                    keys, counts = keys[counts > 0], counts[counts > 0]
+            for text in batch.column(0).to_pylist():
+                held.append(make(text))
+                size += len(held[-1])
+                if size > 1 << 22:
+                    keys, counts = merge()
+                    held, size = [], 0
+        if held:
+            keys, counts = merge()
         if len(keys) > HOT:
             top = np.argpartition(-counts, HOT)[:HOT]
             keys, counts = keys[top], counts[top]
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["token", "n"])
 
-    rows = df.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    rows = df.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "token long, n long")
+    rows = rows.groupBy("token").agg(F.sum("n").alias("n"))
     top = rows.orderBy(F.desc("n"), "token").limit(HOT).select("token").toArrow()
     return np.sort(top.column(0).to_numpy().astype(np.int64).view(np.uint64))
 
@@ -146,16 +169,16 @@ def documents_table(df: DataFrame, width: int, percent: int) -> DataFrame:
                 tokens = make(text)
                 n.append(len(tokens))
                 digests.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
-                first = prefixes(tokens, sent.value, percent)[0]
-                common = np.isin(first, sent.value, assume_unique=True)
-                seldom.append(first[~common].view(np.int64))
-                often.append(first[common].view(np.int64))
+                common = is_common(tokens, sent.value)
+                first = prefix(tokens, common, percent, 0)
+                seldom.append(tokens[first[~common[first]]].view(np.int64))
+                often.append(tokens[first[common[first]]].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
                  pa.array(seldom, pa.list_(pa.int64())), pa.array(often, pa.list_(pa.int64()))],
                 names=["doc_id", "same", "n", "digest", "seldom", "often"])
 
-    rows = df.select("doc_id", F.xxhash64("text").alias("same"), "text").mapInArrow(
+    rows = df.select("doc_id", F.xxhash64("text").alias("same"), F.col("text").cast("binary").alias("text")).mapInArrow(
         run, "doc_id long, same long, n long, digest binary, seldom array<long>, often array<long>")
     return stage(rows.withColumn("row", F.monotonically_increasing_id())), sent
 
@@ -178,6 +201,11 @@ def _verify(pairs: DataFrame, texts: DataFrame, sent, width: int, percent: int)
     tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(tasks, "a", "chunk").sortWithinPartitions("a", "chunk", (F.col("a") != F.col("node")))
 
+    def prepared(make: Hasher, text: bytes):
+        tokens = make(text)
+        common = is_common(tokens, sent.value)
+        return tokens, [np.sort(tokens[prefix(tokens, common, percent, k)]) for k in range(1, ORDERS)]
+
     def run(batches):
         make, at = Hasher(width), None
         for batch in batches:
@@ -186,17 +214,16 @@ def _verify(pairs: DataFrame, texts: DataFrame, sent, width: int, percent: int)
                 if at != (a, chunk):
                     if node != a:
                         raise ValueError("the first document of a group is missing")
-                    at, words, own = (a, chunk), shingles(text, width), prefixes(make(text), sent.value, percent)[1:]
+                    at, (own, firsts) = (a, chunk), prepared(make, text)
                 elif node != a:
-                    if all(np.intersect1d(p, q, assume_unique=True).size for p, q in
-                           zip(own, prefixes(make(text), sent.value, percent)[1:])):
-                        other = shingles(text, width)
-                        both = len(words & other)
-                        if 100 * both >= percent * (len(words) + len(other) - both):
+                    other, seconds = prepared(make, text)
+                    if all(overlap(p, q) for p, q in zip(firsts, seconds)):
+                        both = overlap(own, other)
+                        if 100 * both >= percent * (len(own) + len(other) - both):
                             out.append({"a": a, "b": node})
             yield pa.RecordBatch.from_pylist(out, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    return stage(rows.select("a", "chunk", "node", "text").mapInArrow(run, "a long, b long"))
+    return stage(rows.select("a", "chunk", "node", F.col("text").cast("binary").alias("text")).mapInArrow(run, "a long, b long"))
 
 
 def components(edges: DataFrame) -> DataFrame:

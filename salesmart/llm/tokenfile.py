@@ -84,9 +84,7 @@ def count_ids(tokens: DataFrame, vocabulary: int) -> np.ndarray:
     def run(batches):
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                found, n = np.unique(np.frombuffer(ids, kind), return_counts=True)
-                total[found] += n
+            total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind), minlength=vocabulary)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
