@@ -12,31 +12,62 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-#: A space between two characters that are surely not blanks.
-CUT = re.compile(r"(?<=[!-~À-ɏ]) (?=[!-~À-ɏ])")
+#: Characters that are surely not blanks, and letters among them.
+SEEN, LETTER = r"[!-~À-ɏ]", "[A-Za-zÀ-ÖØ-öø-ɏ]"
+#: A space between two such characters.
+CUT = re.compile(f"(?<={SEEN}) (?={SEEN})")
+#: What the cuts leave if nothing but single spaces parts the words.
+PLAIN = re.compile(f"{SEEN}(?:.*{SEEN})?", re.DOTALL)
+#: A word and the marks after it, which the pattern matches apart.
+MARKED = re.compile(f"({LETTER}+)([.,;:!?#$%&*]+)")
 #: Chunks kept between batches; chunks longer than LONG are never kept.
-KEEP, LONG = 300_000, 64
+KEEP, LONG = 800_000, 64
 
 
 class ChunkEncoder:
     """``encode_many`` turns strings into their ids as bytes."""
 
     def __init__(self, encode_many: Callable[[list[str]], list[bytes]]):
-        self.encode_many, self.kept = encode_many, {}
+        self.encode_many, self.kept, self.marks = encode_many, {}, {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [CUT.split(t) for t in texts]
+    def cut(self, texts: list[str]) -> tuple[list[list[str]], set[str], set[str]]:
+        """Chunks of each text, all but the first follow a space; the new ones; those not to be kept."""
+        parts = [t.split(" ") for t in texts]
         used: set[str] = set()
         for p in parts:
             used.update(p[1:])
-        new = list(used - self.kept.keys())
+        new = used - self.kept.keys()
+        odd, more = {c for c in new if not PLAIN.fullmatch(c)}, set()
+        for i, p in enumerate(parts):
+            if not odd.isdisjoint(p) or p[0] and not PLAIN.fullmatch(p[0][-1]):
+                parts[i] = CUT.split(texts[i])
+                wide = {c for c in parts[i][1:] if not c.isalnum() and c not in self.kept}
+                more |= wide
+                new.update(c for c in parts[i][1:] if c not in self.kept)
+        return parts, (new - odd) | more, odd | more
+
+    def learn(self, chunks: list[str]) -> None:
+        """Keep the ids of ``chunks``; the marks after a word are encoded once."""
+        split = [m.groups() if (m := MARKED.fullmatch(c)) else (c, "") for c in chunks]
+        words = list({w for w, _ in split if w not in self.kept})
+        marks = list({m for _, m in split if m not in self.marks})
+        known = dict(zip(words, self.encode_many([" " + w for w in words])))
+        self.marks.update(zip(marks, self.encode_many(marks)))
+        for c, (w, m) in zip(chunks, split):
+            self.kept[c] = (known[w] if w in known else self.kept[w]) + self.marks[m]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        parts, new, odd = self.cut(texts)
         if len(self.kept) + len(new) > KEEP:
+            used = {c for p in parts for c in p}
             self.kept = {k: v for k, v in self.kept.items() if k in used}
+        if len(self.marks) > KEEP:
+            self.marks = {}
+        self.learn(list(new))
         known = self.kept
-        known.update(zip(new, self.encode_many([" " + c for c in new])))
         heads = self.encode_many([p[0] for p in parts])
         out = [b"".join([head, *map(known.__getitem__, p[1:])]) for head, p in zip(heads, parts)]
         for c in new:
-            if len(c) > LONG:
+            if len(c) > LONG or c in odd:
                 del known[c]
         return out
