@@ -130,7 +130,7 @@ def mix(df: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "
         words = F.greatest(F.lit(0), F.least(F.col("size"), F.floor("target") - begin))
         time = F.lit(None)
         for k, knots in enumerate(schedules):
-            time = F.when(F.col(klass) == k, time_of(begin / F.col("target"), knots)).otherwise(time)
+            time = F.when(F.col(klass) == k, time_of(F.try_divide(begin, F.col("target")), knots)).otherwise(time)
         return F.struct(time.cast("double").alias("position"), words.cast("long").alias("taken"))
 
     rows = rows.withColumn("passes", F.filter(F.array(*map(one, range(repeats))),

@@ -117,8 +117,9 @@ class Model:
         return max((s for s, _, _ in found), default=0.0), len(words)
 
     def excess(self, score: float, n: int) -> float:
-        """-log of the number of segments as good that a clean text of that length holds."""
-        return score - math.log(self.k * max(n, 1))
+        """-log of the number of segments as good that a clean text of that length
+        holds; 0 without a segment, or if a clean text holds one or more."""
+        return max(0.0, score - math.log(self.k * max(n, 1))) if score > 0 else 0.0
 
     def probability(self, score: float, n: int) -> float:
         if not self.odds:
@@ -247,7 +248,7 @@ def _calibrate(model: Model, rows: DataFrame) -> Model:
     least = min(model.odds.values())
     clean = y == 0
     model.k = float((np.sum(score[clean] >= least) + FLOOR) / (n[clean].sum() * math.exp(-least)))
-    x = score - np.log(model.k * n)
+    x = np.where(score > 0, np.maximum(0.0, score - np.log(model.k * n)), 0.0)
 
     centre, width = x.mean(), x.std() or 1.0
     design, beta = np.stack([np.ones_like(x), (x - centre) / width], 1), np.zeros(2)
