@@ -1,10 +1,10 @@
 """DuckDB SQL oracle for every registered query.
 
-Written independently of the Spark code and in the *original's* shape:
-``DELETE ... WHERE`` becomes ``WHERE (cond) IS NOT TRUE`` (only TRUE rows
-are deleted), duplicate removal is ``key IN (keys with ROW_NUMBER() > 1)``,
-the referential rule is a chain of ``NOT IN`` subqueries, and metrics join
-first and aggregate after.  The test-table mapping repeats ``FIXTURES.md``.
+Written from the rules and independently of the Spark code: a row stays if it
+is complete, if its key is counted once among the complete rows, if its values
+fit their typed columns whole, and if every dimension row it names exists.
+Metrics join first and aggregate after.  The test-table mapping repeats
+``FIXTURES.md``.
 Tables visible to DuckDB: the driver's parquet tables as views.
 """
 
@@ -77,6 +77,7 @@ def _landing(faults: str) -> list[str]:
 
 # ---------------------------------------------------------------- cleanse
 
+# Columns that must be filled.
 _REQUIRED = {
     "customers": ["customer_id", "customer_email", "customer_first_name", "customer_last_name",
                   "customer_phone", "customer_postal", "customer_state"],
@@ -103,31 +104,33 @@ _TYPED = {
 }
 
 
+def _money_fits(c: str) -> str:
+    """Plain decimal text, not negative before rounding, within DECIMAL(10,2)."""
+    return (f"(regexp_full_match(trim(CAST({c} AS VARCHAR)), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)') "
+            f"AND coalesce(TRY_CAST(trim({c}) AS DECIMAL(38,10)) >= 0, false) "
+            f"AND TRY_CAST(trim({c}) AS DECIMAL(10,2)) IS NOT NULL)")
+
+
+_TIME_FITS = 'TRY_CAST("timestamp" AS TIMESTAMP) IS NOT NULL'
+
+_VALUES_FIT = {"products": _money_fits("unit_price"),
+               "transactions": f"{_TIME_FITS} AND {_money_fits('total_amount')}"}
+
+
 def _cleanse(table: str) -> list[str]:
+    """CTEs <table>_s1 (complete), _s2 (unique), _s3 (values fit), clean_<table>."""
     k = _KEY[table]
-    nulls = " OR ".join(f"{c} IS NULL" for c in _REQUIRED[table])
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in _REQUIRED[table])
     ctes = [
-        f"{table}_s1 AS (SELECT * FROM land_{table} WHERE ({nulls}) IS NOT TRUE)",
-        f"""{table}_s2 AS (SELECT * FROM {table}_s1 WHERE ({k} IN (
-  SELECT {k} FROM (SELECT {k}, ROW_NUMBER() OVER (PARTITION BY {k} ORDER BY {k}) AS row_num
-                   FROM {table}_s1) tmp WHERE tmp.row_num > 1)) IS NOT TRUE)""",
+        f"{table}_s1 AS (SELECT * FROM land_{table} WHERE {complete})",
+        f"{table}_s2 AS (SELECT * FROM {table}_s1 QUALIFY count(*) OVER (PARTITION BY {k}) = 1)",
+        f"{table}_s3 AS (SELECT * FROM {table}_s2 WHERE {_VALUES_FIT.get(table, 'true')})",
     ]
-    last = f"{table}_s2"
-    if table == "products":
-        ctes.append(f"""products_s3 AS (SELECT * FROM products_s2 WHERE (
-  TRY_CAST(unit_price AS DECIMAL(18,2)) IS NULL
-  OR TRY_CAST(unit_price AS DECIMAL(18,2)) < 0) IS NOT TRUE)""")
-        last = "products_s3"
+    known = "true"
     if table == "transactions":
-        ctes.append("""transactions_s3 AS (SELECT * FROM transactions_s2 WHERE (
-  TRY_CAST("timestamp" AS DATE) IS NULL OR TRY_CAST(total_amount AS DECIMAL(18,2)) IS NULL
-  OR TRY_CAST(total_amount AS DECIMAL(18,2)) < 0
-  OR payment_id NOT IN (SELECT payment_id FROM clean_payments)
-  OR product_id NOT IN (SELECT product_id FROM clean_products)
-  OR customer_id NOT IN (SELECT customer_id FROM clean_customers)
-  OR employee_id NOT IN (SELECT employee_id FROM clean_employees)) IS NOT TRUE)""")
-        last = "transactions_s3"
-    ctes.append(f"clean_{table} AS (SELECT {_TYPED[table]} FROM {last})")
+        known = " AND ".join(f"EXISTS (SELECT 1 FROM clean_{d} d WHERE d.{key} = r.{key})"
+                             for d, key in _KEY.items() if d != "transactions")
+    ctes.append(f"clean_{table} AS (SELECT {_TYPED[table]} FROM {table}_s3 r WHERE {known})")
     return ctes
 
 
@@ -142,38 +145,34 @@ def _with(faults: str, tables=("customers", "employees", "payments", "products",
 
 # ---------------------------------------------------------------- metrics
 
+_MONTH = "strftime(\"timestamp\", '%Y-%m')"
+
+
+def _metric(name: str, dim: str, attribute: str, lines: str, money: str, customers: str | None = None) -> str:
+    """Per month and dimension row: lines, money and perhaps distinct customers."""
+    key = _KEY[dim]
+    extra = f", CAST(COUNT(DISTINCT customer_id) AS BIGINT) AS {customers}" if customers else ""
+    return f"""{name} AS (
+  SELECT month_year, {attribute}, {key}, CAST(COUNT(*) AS BIGINT) AS {lines},
+         CAST(SUM(total_amount) AS DECIMAL(18,2)) AS {money}{extra}
+  FROM (SELECT *, {_MONTH} AS month_year FROM clean_transactions) NATURAL JOIN
+       (SELECT {key}, {attribute} FROM clean_{dim}) GROUP BY ALL)"""
+
+
 _MONTHLY = {
-    "monthly_customer": """monthly_customer AS (
-  SELECT strftime(t."timestamp", '%Y-%m') AS month_year, c.customer_state, c.customer_id,
-         CAST(COUNT(t.product_id) AS BIGINT) AS total_products_bought,
-         CAST(SUM(t.total_amount) AS DECIMAL(18,2)) AS total_money_spent
-  FROM clean_transactions t JOIN clean_customers c ON t.customer_id = c.customer_id
-  GROUP BY c.customer_id, c.customer_state, strftime(t."timestamp", '%Y-%m'))""",
-    "monthly_employee": """monthly_employee AS (
-  SELECT strftime(t."timestamp", '%Y-%m') AS month_year, e.employee_state, e.employee_id,
-         CAST(COUNT(DISTINCT t.customer_id) AS BIGINT) AS unique_customers_serviced,
-         CAST(COUNT(t.product_id) AS BIGINT) AS total_products_sold,
-         CAST(SUM(t.total_amount) AS DECIMAL(18,2)) AS total_money_made
-  FROM clean_transactions t JOIN clean_employees e ON t.employee_id = e.employee_id
-  GROUP BY e.employee_id, e.employee_state, strftime(t."timestamp", '%Y-%m'))""",
-    "monthly_payment": """monthly_payment AS (
-  SELECT strftime(t."timestamp", '%Y-%m') AS month_year, p.payment_id, p.payment_type,
-         CAST(COUNT(DISTINCT t.customer_id) AS BIGINT) AS unique_customer_usage,
-         CAST(COUNT(t.payment_id) AS BIGINT) AS total_times_used,
-         CAST(SUM(t.total_amount) AS DECIMAL(18,2)) AS total_revenue
-  FROM clean_transactions t JOIN clean_payments p ON t.payment_id = p.payment_id
-  GROUP BY p.payment_id, p.payment_type, strftime(t."timestamp", '%Y-%m'))""",
-    "monthly_product": """monthly_product AS (
-  SELECT strftime(t."timestamp", '%Y-%m') AS month_year, p.product_category, p.product_id,
-         CAST(COUNT(t.product_id) AS BIGINT) AS products_sold,
-         CAST(SUM(t.total_amount) AS DECIMAL(18,2)) AS total_money_made
-  FROM clean_transactions t JOIN clean_products p ON t.product_id = p.product_id
-  GROUP BY p.product_id, p.product_category, strftime(t."timestamp", '%Y-%m'))""",
+    "monthly_customer": _metric("monthly_customer", "customers", "customer_state",
+                                "total_products_bought", "total_money_spent"),
+    "monthly_employee": _metric("monthly_employee", "employees", "employee_state",
+                                "total_products_sold", "total_money_made", "unique_customers_serviced"),
+    "monthly_payment": _metric("monthly_payment", "payments", "payment_type",
+                               "total_times_used", "total_revenue", "unique_customer_usage"),
+    "monthly_product": _metric("monthly_product", "products", "product_category",
+                               "products_sold", "total_money_made"),
 }
 
-_QLABEL = ("CONCAT(LEFT(month_year, 4), '-Q', "
-           "CAST(CEILING(CAST(RIGHT(month_year, 2) AS INT) / 3.0) AS INT))")
-_YLABEL = "LEFT(month_year, 4)"
+_DAY = "strptime(month_year || '-01', '%Y-%m-%d')"
+_QLABEL = f"strftime({_DAY}, '%Y') || '-Q' || quarter({_DAY})"
+_YLABEL = f"strftime({_DAY}, '%Y')"
 
 _ROLLUP = {  # entity: (monthly table, dims, sums, money)
     "customer": ("monthly_customer", ["customer_state", "customer_id"],
@@ -208,7 +207,7 @@ def rollup(entity: str, period: str, faults: str = "fact") -> str:
         f"CAST(SUM({m}) AS {'DECIMAL(18,2)' if m in _MONEY else 'BIGINT'}) AS {m}" for m in sums)
     return (_with(faults, extra=[_MONTHLY[src]])
             + f"SELECT {expr} AS {label}, {', '.join(dims)}, {cols}\nFROM {src}\n"
-            + f"GROUP BY {', '.join(reversed(dims))}, {expr}")
+            + "GROUP BY ALL")
 
 
 def dq_table(table: str, faults: str) -> str:
@@ -219,28 +218,37 @@ def dq_table(table: str, faults: str) -> str:
 
 
 def dedupe_drop_all() -> str:
-    return """WITH li AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
-                   l_extendedprice FROM lineitem),
-dup AS (SELECT l_orderkey, l_linenumber FROM (
-    SELECT l_orderkey, l_linenumber, ROW_NUMBER() OVER (
-        PARTITION BY l_orderkey, l_linenumber ORDER BY l_orderkey) AS row_num
-    FROM li) t WHERE row_num > 1)
-SELECT * FROM li WHERE NOT EXISTS (
-  SELECT 1 FROM dup WHERE dup.l_orderkey = li.l_orderkey AND dup.l_linenumber = li.l_linenumber)"""
+    return """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice
+FROM lineitem QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) = 1"""
+
+
+def value_edges() -> str:
+    """The edge values of testdata.value_edges against the value rules."""
+    return f"""WITH edges AS (
+  SELECT l_orderkey * 10 + l_linenumber AS transaction_id,
+         CASE l_partkey % 9 WHEN 0 THEN '123456789.00' WHEN 1 THEN '-0.004' WHEN 2 THEN '1e3'
+              WHEN 3 THEN CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS VARCHAR) || ' junk'
+              WHEN 4 THEN '99999999.99' WHEN 5 THEN ''
+              ELSE CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS VARCHAR) END AS total_amount,
+         CASE l_suppkey % 4 WHEN 0 THEN '2020-01-05 25:99 junk' WHEN 1 THEN '2020-02-30'
+              WHEN 2 THEN '2020-01-05' ELSE '2020-01-05 10:11:12' END AS "timestamp"
+  FROM lineitem)
+SELECT transaction_id, NOT ({_VALUES_FIT['transactions']}) AS rejected,
+       NOT {_money_fits('total_amount')} AS price_rejected FROM edges"""
+
+
+def without_last_month(name: str) -> str:
+    return (_with("fact", extra=[_MONTHLY[name]])
+            + f"SELECT * FROM {name} WHERE month_year < (SELECT max(month_year) FROM {name})")
 
 
 def ref_orphans() -> str:
     ctes = _landing("all")
-    for t in ("customers", "employees", "payments", "products"):
+    for t in ("customers", "employees", "payments", "products", "transactions"):
         ctes += _cleanse(t)
-    ctes += _cleanse("transactions")[:2]
-    ctes.append("""reach AS (SELECT * FROM transactions_s2 WHERE (
-  TRY_CAST("timestamp" AS DATE) IS NULL OR TRY_CAST(total_amount AS DECIMAL(18,2)) IS NULL
-  OR TRY_CAST(total_amount AS DECIMAL(18,2)) < 0) IS NOT TRUE)""")
-    parts = [f"SELECT transaction_id, '{t}' AS dimension, {k} AS key_value FROM reach "
-             f"WHERE {k} NOT IN (SELECT {k} FROM clean_{t})"
-             for t, k in (("customers", "customer_id"), ("products", "product_id"),
-                          ("employees", "employee_id"), ("payments", "payment_id"))]
+    parts = [f"SELECT transaction_id, '{t}' AS dimension, {k} AS key_value FROM transactions_s3 r "
+             f"WHERE NOT EXISTS (SELECT 1 FROM clean_{t} d WHERE d.{k} = r.{k})"
+             for t, k in _KEY.items() if t != "transactions"]
     return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(parts)
 
 
@@ -249,9 +257,6 @@ def reject_counts() -> str:
     ctes = _landing("all")
     for t in ("customers", "employees", "payments", "products", "transactions"):
         ctes += _cleanse(t)
-    ctes.append("""tx_value_ok AS (SELECT * FROM transactions_s2 WHERE (
-  TRY_CAST("timestamp" AS DATE) IS NULL OR TRY_CAST(total_amount AS DECIMAL(18,2)) IS NULL
-  OR TRY_CAST(total_amount AS DECIMAL(18,2)) < 0) IS NOT TRUE)""")
     parts = []
     for t in ("customers", "employees", "payments", "products", "transactions"):
         parts.append(f"SELECT '{t}' AS table_name, 'missing' AS reason, "
@@ -261,9 +266,9 @@ def reject_counts() -> str:
     parts.append("SELECT 'products', 'invalid', "
                  "(SELECT count(*) FROM products_s2) - (SELECT count(*) FROM products_s3)")
     parts.append("SELECT 'transactions', 'invalid', "
-                 "(SELECT count(*) FROM transactions_s2) - (SELECT count(*) FROM tx_value_ok)")
+                 "(SELECT count(*) FROM transactions_s2) - (SELECT count(*) FROM transactions_s3)")
     parts.append("SELECT 'transactions', 'orphan', "
-                 "(SELECT count(*) FROM tx_value_ok) - (SELECT count(*) FROM transactions_s3)")
+                 "(SELECT count(*) FROM transactions_s3) - (SELECT count(*) FROM clean_transactions)")
     body = "\nUNION ALL\n".join(parts)
     return ("WITH " + ",\n".join(ctes) + "\nSELECT table_name, reason, "
             "CAST(n AS BIGINT) AS rejected_rows FROM (\n" + body + "\n) r WHERE n > 0")
@@ -274,9 +279,6 @@ def rejects() -> str:
     ctes = _landing("all")
     for t in ("customers", "employees", "payments", "products", "transactions"):
         ctes += _cleanse(t)
-    ctes.append("""tx_value_ok AS (SELECT * FROM transactions_s2 WHERE (
-  TRY_CAST("timestamp" AS DATE) IS NULL OR TRY_CAST(total_amount AS DECIMAL(18,2)) IS NULL
-  OR TRY_CAST(total_amount AS DECIMAL(18,2)) < 0) IS NOT TRUE)""")
     parts = []
     for t in ("customers", "employees", "payments", "products", "transactions"):
         k = _KEY[t]
@@ -284,22 +286,19 @@ def rejects() -> str:
         if t == "products":
             stages.append(("invalid", "products_s2", "products_s3"))
         if t == "transactions":
-            stages += [("invalid", "transactions_s2", "tx_value_ok"),
-                       ("orphan", "tx_value_ok", "transactions_s3")]
+            stages += [("invalid", "transactions_s2", "transactions_s3"),
+                       ("orphan", "transactions_s3", "clean_transactions")]
         for reason, before, after in stages:
             parts.append(f"SELECT '{t}' AS table_name, {k} AS key_value, '{reason}' AS reason "
-                         f"FROM (SELECT * FROM {before} EXCEPT ALL SELECT * FROM {after}) d")
+                         f"FROM (SELECT {k} FROM {before} EXCEPT ALL SELECT {k} FROM {after}) d")
     return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(parts)
 
 
 def employee_exact(period: str) -> str:
     """True distinct customers per employee and quarter / year, from the fact."""
-    month = "strftime(t.\"timestamp\", '%Y-%m')"
-    if period == "yearly":
-        label, expr = "year", f"LEFT({month}, 4)"
-    else:
-        label, expr = "quarter_year", (f"CONCAT(LEFT({month}, 4), '-Q', CAST(CEILING("
-                                       f"CAST(RIGHT({month}, 2) AS INT) / 3.0) AS INT))")
+    label, expr = "year", "strftime(t.\"timestamp\", '%Y')"
+    if period != "yearly":
+        label, expr = "quarter_year", expr + " || '-Q' || quarter(t.\"timestamp\")"
     return _with("fact") + f"""SELECT {expr} AS {label}, e.employee_state,
        e.employee_id, CAST(COUNT(DISTINCT t.customer_id) AS BIGINT) AS unique_customers_serviced,
        CAST(COUNT(t.product_id) AS BIGINT) AS total_products_sold,
@@ -362,7 +361,7 @@ def latest_run(now: str, pipelines: list[str]) -> str:
     names = ", ".join(f"'{p}'" for p in pipelines)
     return f"""WITH runs AS (SELECT event_type AS pipeline_name, CAST(value AS VARCHAR) AS status,
                    ts AS last_updated FROM events)
-SELECT pipeline_name, arg_max(status, last_updated) AS status,
+SELECT pipeline_name, arg_max(status, struct_pack(t := last_updated, s := status)) AS status,
        strftime(max(last_updated), '%Y-%m-%d %H:%M:%S') AS last_updated
 FROM runs
 WHERE pipeline_name IN ({names})

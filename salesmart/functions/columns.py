@@ -20,23 +20,26 @@ def any_null(cols: list[str]) -> Column:
     return reduce(or_, [F.col(c).isNull() for c in cols])
 
 
-def try_money(c: str | Column) -> Column:
-    """``TRY_CAST(x AS DECIMAL(18,2))``: NULL when the text is not a number."""
-    return col(c).try_cast(TOTAL)
+def valid_money(c: str | Column) -> Column:
+    """The whole text is a plain decimal, not negative before rounding, that the
+    typed column can hold.  Never UNKNOWN: NULL is not valid."""
+    text = F.trim(col(c).cast("string"))
+    plain = text.rlike(r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$")
+    return F.coalesce(plain & (text.try_cast("decimal(38,10)") >= 0) & to_money(c).isNotNull(), F.lit(False))
 
 
-def try_date(c: str | Column) -> Column:
-    """``TRY_CAST(x AS DATE)``; a date-time string is accepted."""
-    return col(c).try_cast("date")
+def to_timestamp_ntz(c: str | Column) -> Column:
+    """Typed timestamp of a landing value, NULL unless the whole text is one;
+    a bare date becomes midnight."""
+    return col(c).try_cast(TS)
 
 
-def to_timestamp_ntz(c: str | Column) -> Column:
-    """Typed timestamp of a landing value; a bare date becomes midnight."""
-    return F.coalesce(col(c).try_cast(TS), try_date(c).cast(TS))
+def valid_timestamp(c: str | Column) -> Column:
+    return to_timestamp_ntz(c).isNotNull()
 
 
 def to_money(c: str | Column) -> Column:
-    return col(c).try_cast(MONEY)
+    return F.trim(col(c).cast("string")).try_cast(MONEY)
 
 
 def month_year(ts: str | Column) -> Column:
@@ -45,10 +48,10 @@ def month_year(ts: str | Column) -> Column:
 
 
 def quarter_label(month: str | Column) -> Column:
-    """``CONCAT(LEFT(m,4), '-Q', CEILING(CAST(RIGHT(m,2) AS INT) / 3.0))``.
+    """Year, ``-Q`` and the month's quarter, from a ``yyyy-MM`` label.
 
-    ``concat_ws`` rather than ``concat``: the T-SQL CONCAT reads NULL as an
-    empty string, so a NULL month gives ``-Q`` instead of NULL.
+    ``concat_ws`` rather than ``concat``: NULL counts as an empty string, so
+    a NULL month gives ``-Q`` instead of NULL.
     """
     m = col(month)
     q = F.ceil(F.right(m, F.lit(2)).cast("int") / F.lit(3.0)).cast("int")

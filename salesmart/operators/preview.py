@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import PREVIEWABLE
 
@@ -32,13 +31,8 @@ def preview_table(df: DataFrame, order_by: str | list[str] | None,
 def preview_lines(spark: SparkSession, path: str, n: int = FILE_PREVIEW_LINES) -> DataFrame:
     """First ``n`` raw lines of one text/CSV file (line 1 is the header).
 
-    Lines are numbered by their byte offset order: file splits are read in
-    order and ``monotonically_increasing_id`` grows with it, so the top-n
-    by that id is the head of the file.
+    Only the head of the file is read: a bounded ``head`` of n lines goes
+    through its splits in order and stops.
     """
-    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("_pos"),
-                                         F.col("value").alias("line"))
-    head = lines.orderBy("_pos").limit(n)
-    # numbering n rows (already cut to n) needs no partitioning
-    return head.select(F.row_number().over(Window.orderBy("_pos")).cast("long")
-                       .alias("line_no"), "line")
+    lines = [(i, r["value"]) for i, r in enumerate(spark.read.text(path).head(n), 1)]
+    return spark.createDataFrame(lines, "line_no long, line string")

@@ -7,7 +7,7 @@ result:
 2. **duplicate** -- drop *every* copy of a key that occurs more than once
    (not keep-first), counted on what survived step 1;
 3. **invalid** -- (products, transactions) drop rows whose value columns do
-   not cast or are negative, and (transactions) rows whose dimension keys
+   not fit their typed column whole or are negative, and (transactions) rows whose dimension keys
    are missing from the cleansed dimensions.
 
 Because step 3 runs after step 2, an invalid copy still takes its valid
@@ -41,7 +41,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import any_null, to_money, to_timestamp_ntz, try_date, try_money
+from ..functions.columns import any_null, to_money, to_timestamp_ntz, valid_money, valid_timestamp
 from ..schemas import KEYS, REQUIRED, TYPED_OVERRIDES, typed
 
 Stage = Callable[[DataFrame, str], DataFrame]
@@ -100,17 +100,15 @@ def drop_all_duplicates(df: DataFrame, keys: list[str],
 def invalid_values(table: str):
     """Row-local invalid-value condition, or None when the table has none."""
     if table == "products":
-        price = try_money("unit_price")
-        return price.isNull() | (price < 0)
+        return ~valid_money("unit_price")
     if table == "transactions":
-        amount = try_money("total_amount")
-        return try_date("timestamp").isNull() | amount.isNull() | (amount < 0)
+        return ~(valid_timestamp("timestamp") & valid_money("total_amount"))
     return None
 
 
 def drop_invalid(df: DataFrame, table: str) -> DataFrame:
     cond = invalid_values(table)
-    # cond is never UNKNOWN (each branch is IS NULL or guarded by one)
+    # cond is never UNKNOWN
     return df if cond is None else df.where(~cond)
 
 

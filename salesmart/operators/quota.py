@@ -56,7 +56,9 @@ def admissions(log: DataFrame, limit: int = DAILY_LIMIT, stage=None) -> DataFram
     cut = _cutoffs(d, limit)
     if stage is not None:
         cut = stage(cut, "quota_cutoffs")
-    joined = d.join(cut, ["client", "day"], "left")
+    # a request without client counts for the client NULL, as it does in the windows
+    cut = cut.select(F.col("client").alias("_client"), F.col("day").alias("_day"), "_cut")
+    joined = d.join(cut, F.col("client").eqNullSafe(F.col("_client")) & (F.col("day") == F.col("_day")), "left")
     admitted = F.struct("ts", "request_id") <= F.col("_cut")
     return joined.select("client", "request_id", "ts", "day",
                          F.coalesce(admitted, F.lit(False)).alias("admitted"))

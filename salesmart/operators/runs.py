@@ -24,15 +24,15 @@ def latest_runs(run_log: DataFrame, now: datetime, pipelines=PIPELINES,
 
     ``(pipeline_name, status, last_updated)`` with the time rendered in
     ``tz`` as ``yyyy-MM-dd HH:mm:ss``.  Pipelines without a run in the
-    window are omitted.  ``max_by`` is a plain (partially aggregated)
-    aggregate, so one busy pipeline never gathers in one task.
+    window are omitted; of runs updated at the same time the one with the
+    largest status counts.  ``max`` of a struct is partially aggregated, so
+    one busy pipeline never gathers in one task.
     """
     lo, hi = now - window, now + window
     recent = run_log.where(F.col("pipeline_name").isin(list(pipelines))
                            & F.col("last_updated").between(F.lit(lo).cast("timestamp_ntz"),
                                                            F.lit(hi).cast("timestamp_ntz")))
     newest = recent.groupBy("pipeline_name").agg(
-        F.max_by("status", "last_updated").alias("status"),
-        F.max("last_updated").alias("_ts"))
-    return newest.select("pipeline_name", "status",
-                         local_time_text("_ts", tz).alias("last_updated"))
+        F.max(F.struct("last_updated", "status")).alias("_run"))
+    return newest.select("pipeline_name", F.col("_run.status").alias("status"),
+                         local_time_text("_run.last_updated", tz).alias("last_updated"))

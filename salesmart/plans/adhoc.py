@@ -4,12 +4,14 @@ The cleansed base tables, the monthly metric tables and the quarterly /
 yearly roll-ups are registered as temporary views and the text goes to
 ``spark.sql`` -- Catalyst parses, optimises and plans it like any other
 query; the result is a lazy DataFrame (previews take ``limit``; exports
-write it out).  Errors surface as ``AnalysisException`` / parse errors
-whose message is the text the caller shows.
+write it out).  The text is read as a subquery, so only queries are
+accepted: DDL, DML and several statements are syntax errors there.  Every
+error is a ``QueryError`` whose message is the text the caller shows.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -17,9 +19,17 @@ from ..schemas import BASE_TABLES, METRICS, typed
 from .warehouse import Warehouse
 
 
+class QueryError(ValueError):
+    """What is wrong with an ad-hoc query, as text."""
+
+
 def run_sql(wh: Warehouse, text: str) -> DataFrame:
+    """The result of one read-only query; ``QueryError`` if the text is none."""
     wh.register_views()
-    return wh.spark.sql(text)
+    try:
+        return wh.spark.sql(f"SELECT * FROM (\n{text.strip().rstrip(';')}\n)")
+    except PySparkException as error:
+        raise QueryError(str(error)) from error
 
 
 def schema_catalog() -> dict[str, T.StructType]:

@@ -221,6 +221,24 @@ def _month_refresh(spark, sf):
     return spark.read.parquet(os.path.join(root, "monthly_customer")).select(*cols)
 
 
+def _value_edges(spark, sf):
+    """Which edge values of amounts and times the value rule lets through."""
+    configure(spark)
+    rows = testdata.value_edges(spark, sf)
+    return rows.select("transaction_id", quality.invalid_values("transactions").alias("rejected"),
+                       quality.invalid_values("products").alias("price_rejected"))
+
+
+def _full_refresh_shrinks(spark, sf):
+    """Publish all months, then the data without the last one: its partition is gone."""
+    df = _wh(spark, sf).monthly("monthly_customer")
+    path = scratch_path(spark, "sink", "shrink", unique=True)
+    sinks.refresh(df, path, partition_by="month_year")
+    last = df.agg(F.max("month_year")).first()[0]
+    sinks.refresh(df.where(F.col("month_year") < last), path, partition_by="month_year")
+    return spark.read.schema(METRICS["monthly_customer"]).parquet(path)
+
+
 def _export_roundtrip(spark, sf):
     df = _wh(spark, sf).monthly("monthly_product")
     path = scratch_path(spark, "export", "monthly_product", unique=True)
@@ -280,6 +298,8 @@ def queries() -> dict[str, Query]:
     q["client_key"] = _client_key
     q["preview_top5"] = _preview_top5
     q["preview_first_n"] = _preview_first_n
+    q["dq_value_edges"] = _value_edges
+    q["metrics_full_refresh_shrinks"] = _full_refresh_shrinks
     for name in oracle.ADHOC:
         q[name] = _adhoc(name)
     q["metrics_append_twice"] = _append_twice
@@ -320,6 +340,8 @@ def oracle_sql() -> dict[str, str]:
                                         RUN_LOG_PIPELINES)
     s["client_key"] = oracle.client_key()
     s["preview_top5"] = oracle.preview_top5()
+    s["dq_value_edges"] = oracle.value_edges()
+    s["metrics_full_refresh_shrinks"] = oracle.without_last_month("monthly_customer")
     s["preview_first_n"] = oracle.preview_first_n(preview.FILE_PREVIEW_LINES)
     for name in oracle.ADHOC:
         s[name] = oracle.adhoc(name)

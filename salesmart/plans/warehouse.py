@@ -152,9 +152,10 @@ class Warehouse:
         """Write the monthly tables under ``root/<name>``, partitioned by month.
 
         With ``months`` only those months are recomputed from the cleansed
-        fact (the timestamp range filter reaches the Parquet scan as min/max
-        pruning) and only their partitions are replaced -- dynamic partition
-        overwrite, so re-running a month never double-counts it.
+        fact and only their partitions are replaced, so re-running a month
+        never double-counts it; a month that has become empty loses its
+        partition.  Without ``months`` the whole table is replaced: months
+        that are gone from the data are gone from it, too.
         """
         fact = self.clean("transactions")
         if months:
@@ -173,7 +174,8 @@ class Warehouse:
             paths[name] = os.path.join(root, name)
             # rebalance, not repartition: few files per month, and AQE splits
             # a month holding a large share of the rows over several writers
-            refresh(df.hint("rebalance", "month_year"), paths[name], partition_by="month_year")
+            refresh(df.hint("rebalance", "month_year"), paths[name], partition_by="month_year",
+                    only=months or None)
         return paths
 
     def rollup(self, entity: str, period: str) -> DataFrame:

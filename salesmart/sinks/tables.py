@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import BASE_TABLES, METRICS, typed
 
@@ -14,27 +15,40 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def refresh(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+def refresh(df: DataFrame, path: str, partition_by: str | None = None,
+            only: list[str] | None = None) -> None:
     """Truncate-or-create then insert: running twice equals running once.
 
-    With ``partition_by`` only the partitions present in ``df`` are replaced
-    (dynamic partition overwrite), e.g. recomputing a single month.
+    A partitioned refresh replaces the whole table as well.  With ``only``,
+    a list of values of ``partition_by``, just these partitions are
+    replaced, and those that ``df`` has no rows for are removed.
     Never point ``path`` at a table that ``df`` itself reads.
     """
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
-    w.parquet(path)
+    if not partition_by:
+        df.write.mode("overwrite").parquet(path)
+        return
+    seen = Observation()
+    w = df.observe(seen, F.collect_set(partition_by).alias("parts")).write.mode("overwrite")
+    w = w.option("partitionOverwriteMode", "static" if only is None else "dynamic")
+    w.partitionBy(partition_by).parquet(path)
+    for gone in set(only or ()) - set(seen.get.get("parts") or ()):
+        _delete(df.sparkSession, os.path.join(path, f"{partition_by}={gone}"))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header row and no index column.
+    """CSV with a header row and no index column: quotes are doubled, blanks kept.
 
     One file per task by default; ``single_file`` funnels the result through
     one task and is meant for small, already-aggregated results only.
     """
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    (out.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def create_empty_tables(spark: SparkSession, root: str) -> dict[str, str]:

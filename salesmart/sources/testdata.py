@@ -206,3 +206,17 @@ def client_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     addr = F.concat(F.lit("10.3.0."), uid, F.lit(":8080"))
     return e.select(eid.alias("request_id"), xff.alias("forwarded_for"),
                     rip.alias("real_ip"), addr.alias("remote_addr"))
+
+
+def value_edges(spark, sf_dir: str):
+    """Every line item with an edge value as amount, price and time."""
+    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    kind, price = F.col("l_partkey") % 9, F.col("l_extendedprice").cast("decimal(10,2)").cast("string")
+    amount = (F.when(kind == 0, F.lit("123456789.00")).when(kind == 1, F.lit("-0.004"))
+              .when(kind == 2, F.lit("1e3")).when(kind == 3, F.concat(price, F.lit(" junk")))
+              .when(kind == 4, F.lit("99999999.99")).when(kind == 5, F.lit("")).otherwise(price))
+    day = F.col("l_suppkey") % 4
+    time = (F.when(day == 0, F.lit("2020-01-05 25:99 junk")).when(day == 1, F.lit("2020-02-30"))
+            .when(day == 2, F.lit("2020-01-05")).otherwise(F.lit("2020-01-05 10:11:12")))
+    return line.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
+                       amount.alias("total_amount"), amount.alias("unit_price"), time.alias("timestamp"))

@@ -55,7 +55,7 @@ def test_refresh_replaces_only_given_partitions(spark):
     p = scratch_path(spark, "t_dyn", unique=True)
     sinks.refresh(spark.createDataFrame([("2020-01", "S", 1, 1, None),
                                          ("2020-02", "S", 1, 1, None)], schema), p, "month_year")
-    sinks.refresh(spark.createDataFrame([("2020-02", "S", 1, 5, None)], schema), p, "month_year")
+    sinks.refresh(spark.createDataFrame([("2020-02", "S", 1, 5, None)], schema), p, "month_year", ["2020-02"])
     got = sorted((r.month_year, r.total_products_bought) for r in spark.read.parquet(p).collect())
     assert got == [("2020-01", 1), ("2020-02", 5)]
 
@@ -126,3 +126,39 @@ def test_batch_job_publishes_and_reruns_a_month(spark, sf_small):
     assert again.count() == ref.count()
     assert again.exceptAll(ref).count() == 0
     assert spark.read.parquet(paths["rejects"]).count() > 0
+
+
+def test_refresh_drops_months_that_became_empty_or_vanished(spark):
+    schema = METRICS["monthly_customer"]
+    p = scratch_path(spark, "t_empty", unique=True)
+    rows = spark.createDataFrame([(m, "S", 1, 1, None) for m in ("2020-01", "2020-02", "2020-03")], schema)
+    sinks.refresh(rows, p, "month_year")
+    sinks.refresh(rows.where("month_year > '2020-03'"), p, "month_year", ["2020-02"])
+    assert sorted(r.month_year for r in spark.read.parquet(p).collect()) == ["2020-01", "2020-03"]
+    sinks.refresh(rows.where("month_year = '2020-03'"), p, "month_year")
+    assert [r.month_year for r in spark.read.parquet(p).collect()] == ["2020-03"]
+
+
+def test_run_sql_takes_queries_only(spark, sf_small):
+    import pytest
+    from salesmart.plans.adhoc import QueryError, run_sql
+    from salesmart.plans.warehouse import warehouse
+
+    wh = warehouse(spark, sf_small)
+    assert run_sql(wh, "SELECT count(*) AS n FROM payments; ").first()["n"] == 5
+    for text in ("DROP TABLE payments", "CREATE TABLE t AS SELECT 1", "SELECT 1; DROP TABLE t",
+                 "INSERT INTO payments SELECT 1, 'x'", "SELECT nothing FROM payments", "SELEC"):
+        with pytest.raises(QueryError):
+            run_sql(wh, text)
+
+
+def test_value_rule_sees_the_whole_text(spark):
+    from salesmart.functions.columns import valid_money, valid_timestamp
+
+    good = ["0", "12.5", " 7.00 ", "99999999.99", ".5", "+3"]
+    bad = ["", "abc", "1e3", "-0.004", "-1", "123456789.00", "5 x", "1,5", None]
+    rows = spark.createDataFrame([(t,) for t in good + bad], "t string")
+    assert [r[0] for r in rows.select(valid_money("t")).collect()] == [True] * len(good) + [False] * len(bad)
+    times = spark.createDataFrame([("2020-01-05",), ("2020-01-05 10:00:00",), ("2020-01-05 25:99 junk",),
+                                   ("2020-02-30",), (None,)], "t string")
+    assert [r[0] for r in times.select(valid_timestamp("t")).collect()] == [True, True, False, False, False]

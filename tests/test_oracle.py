@@ -2,8 +2,9 @@
 
 import pytest
 
-import __spark_entry__ as E
+import __spark_entry__
 from salesmart.checks.compare import compare, duck
+from salesmart.plans import registry as E
 
 NAMES = sorted(E.queries())
 
@@ -26,7 +27,7 @@ def test_query_matches_oracle(spark, sf_small, con, name):
 
 
 def test_entry_smoke(spark):
-    df = E.entry(spark)
+    df = __spark_entry__.entry(spark)
     assert df.columns == ["month_year", "customer_state", "customer_id",
                           "total_products_bought", "total_money_spent"]
     assert df.count() > 0
