@@ -38,13 +38,14 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import column, fresh, ship, stage
 
 #: Bound of the table of frequent tokens that every task holds, and of a task's counters.
-HOT, COUNTERS, KNOWN = 100_000, 400_000, 500_000
+HOT, COUNTERS = 100_000, 400_000
 ORDERS = 3
 #: Multipliers of the hashes that break ties, one per order (odd, so each is a permutation).
 TWIST = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -52,16 +53,6 @@ TWIST = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], n
 CHUNK = 64
 
 
-class Known(dict):
-    """Hashes of words, at most KNOWN of them kept."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN:
-            self.clear()
-        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
-
-
 class Hasher:
     """Sorted 64-bit hashes of the shingles of a text in UTF-8.
 
@@ -70,11 +61,11 @@ class Hasher:
     """
 
     def __init__(self, width: int):
-        self.width, self.known = width, Known()
+        self.width = width
 
     def __call__(self, text: bytes | None) -> np.ndarray:
         words = (text or b"").lower().split()
-        h = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         width = min(self.width, len(h))
         if not width:
             return h
