@@ -48,7 +48,7 @@ class ChunkEncoder:
 
     def learn(self, chunks: list[str]) -> None:
         """Keep the ids of ``chunks``; the marks after a word are encoded once."""
-        split = [m.groups() if (m := MARKED.fullmatch(c)) else (c, "") for c in chunks]
+        split = [m.groups() if not c.isalpha() and (m := MARKED.fullmatch(c)) else (c, "") for c in chunks]
         words = list({w for w, _ in split if w not in self.kept})
         marks = list({m for _, m in split if m not in self.marks})
         known = dict(zip(words, self.encode_many([" " + w for w in words])))

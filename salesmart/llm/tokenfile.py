@@ -33,12 +33,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .chunks import ChunkEncoder
+from .chunks import LETTER, ChunkEncoder
 from .common import SharedFile, column, open_folder, shared_folder, ship, slices, stage
 from .huffman import LIMIT, STEP, Code, code_lengths
 
 MAGIC = b"IDSH0001"
 BLOCK = 1 << 16
+LETTERS = re.compile(f" ?{LETTER}+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that a byte-level vocabulary writes for each byte: itself if
+    it is a visible Latin-1 character, else the next one from U+0100 on."""
+    seen = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(0x100) if b not in seen]
+    return {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+
+
+BYTE_LETTERS = byte_letters()
 
 
 @lru_cache(maxsize=2)
@@ -47,34 +59,25 @@ def tokenizer(path: str) -> ChunkEncoder:
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
-
-    line = library.encode("\n", add_special_tokens=False).ids
-    cut = re.compile(r" ?[^\s<]+")
-
-    def alone(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    model = library.model
+    model._resize_cache(0)  # the chunks are kept here, each comes once
 
     def encode_many(texts: list[str]) -> list[bytes]:
-        """Strings without blanks but a leading space are encoded as lines of one
-        text: a line break is an id of its own there, and of no other string."""
-        if len(line) != 1:
-            return alone(texts)
-        whole = [i for i, t in enumerate(texts) if cut.fullmatch(t)]
-        out: list[bytes] = [b""] * len(texts)
-        for a in range(0, len(whole), 2000):
-            some = whole[a:a + 2000]
-            ids = np.array(library.encode_batch_fast(["\n".join(texts[i] for i in some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == line[0]), len(ids))
-            raw = ids.tobytes()
-            begin = 0
-            for i, end in zip(some, ends.tolist()):
-                out[i] = raw[4 * begin:4 * end]
-                begin = end + 1
-        rest = sorted(set(range(len(texts))) - set(whole))
-        for i, coded in zip(rest, alone([texts[i] for i in rest]) if rest else ()):
-            out[i] = coded
-        return out
+        """Letters after at most one space are one pre-token, so the library's model alone encodes them."""
+        alone = [LETTERS.fullmatch(t) is not None for t in texts]
+        ids, ends = [], []
+        for text, single in zip(texts, alone):
+            if single:
+                letters = (text.replace(" ", BYTE_LETTERS[0x20]) if text.isascii()
+                           else text.encode().decode("latin-1").translate(BYTE_LETTERS))
+                ids += [t.id for t in model.tokenize(letters)]
+                ends.append(4 * len(ids))
+        raw = np.array(ids, "<u4").tobytes()
+        words = iter([raw[a:b] for a, b in zip([0, *ends], ends)])
+        rest = [t for t, single in zip(texts, alone) if not single]
+        others = (np.array(e.ids, "<u4").tobytes()
+                  for e in (library.encode_batch_fast(rest, add_special_tokens=False) if rest else ()))
+        return [next(words if single else others) for single in alone]
 
     return ChunkEncoder(encode_many)
 
