@@ -8,6 +8,7 @@ executor costs a re-read and never needs a cached or local copy.
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
@@ -45,6 +46,16 @@ def stage(df: DataFrame, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now.
+
+    It deletes them when the driver collects the garbage that refers to them,
+    which a driver with a large heap may put off until the job's end.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable on the executors, once per application.
 

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, fresh, ship, stage
+from .common import column, fresh, release, ship, stage
 
 #: Bound of the table of frequent tokens that every task holds, and of a task's counters.
 HOT, COUNTERS = 100_000, 400_000
@@ -274,6 +274,7 @@ def join(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id
     often = postings("often")
     often = often.join(F.broadcast(stage(often.groupBy("token").agg(*summary).filter("size > 1"))), "token")
     posted = stage(seldom.unionByName(often))
+    release(df.sparkSession)
 
     involved = posted.select("node").distinct().join(nodes, "node").select("node", "doc_id", "same")
     key = docs.withColumn("same_", F.xxhash64("text")).withColumnRenamed("doc_id", "id_")
@@ -282,13 +283,16 @@ def join(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id
     if table.groupBy("doc_id", "same").count().filter("count > 1").head(1):
         texts = texts.dropDuplicates(["node"])
     texts = stage(texts)
+    release(df.sparkSession)
 
     def verified(pairs: DataFrame) -> DataFrame:
         """pairs: a, na, b, nb."""
         pairs = stage(pairs.filter((F.col("a") != F.col("b")) & _share(F.col("na"), F.col("nb"), percent))
                       .select("a", "b").distinct())
         partners = stage(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("partners")))
-        return _verify(pairs.join(partners, "a"), texts, sent, width, percent)
+        links = _verify(pairs.join(partners, "a"), texts, sent, width, percent)
+        release(df.sparkSession)
+        return links
 
     # stars around the smallest and the largest node of each posting
     star = posted.select("node", "n", F.explode(F.array("low", "high")).alias("centre"))
