@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .chunks import ChunkEncoder
+from .chunks import ChunkEncoder, binary, runs
 from .common import ship, slices
 
 #: Letter of byte b: chr(FIRST + b).
@@ -94,7 +94,7 @@ class Codec:
         self.bytes_of = [raw_bytes(self.model.id_to_piece(i)) for i in range(len(vocabulary))]
         self.chunks = ChunkEncoder(self._encode_many)
 
-    def _encode_many(self, texts: list[str]) -> list[bytes]:
+    def _encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         tokens = [[letters(t.encode()) for t in self.split.findall(text)] for text in texts]
         rest = list({t for row in tokens for t in row if t not in self.whole})
         coded = dict(zip(rest, self.model.encode(rest, out_type=int, num_threads=1) if rest else ()))
@@ -104,11 +104,11 @@ class Codec:
             for t in row:
                 one = self.whole.get(t)
                 ids.extend(coded[t] if one is None else (one,))
-            out.append(np.array(ids, "<u4").tobytes())
-        return out
+            out.append(ids)
+        return runs(out)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return self.chunks.encode(texts)
+    def encode(self, texts: list[str]) -> pa.Array:
+        return binary(*self.chunks.encode(texts))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -120,7 +120,7 @@ def codec(path: str, pattern: str) -> Codec:
 
 
 def _appended(df: DataFrame, source: str, name: str, rows) -> DataFrame:
-    """``df`` plus binary column ``name``, made from the values of ``source`` by ``rows``."""
+    """``df`` plus binary column ``name``, which ``rows`` makes from values of ``source``."""
     ship(df.sparkSession)
     base = df.drop(name) if name != source else df
     place = base.columns.index(source)
@@ -131,9 +131,7 @@ def _appended(df: DataFrame, source: str, name: str, rows) -> DataFrame:
             values = batch.column(place).to_pylist()
             for a, b in slices([v or "" for v in values]):
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(rows(values[a:b]), pa.binary())],
-                    names=[*part.schema.names, name])
+                yield pa.RecordBatch.from_arrays([*part.columns, rows(values[a:b])], names=[*part.schema.names, name])
 
     return base.mapInArrow(run, schema)
 
@@ -147,7 +145,7 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", name:
 def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
     """Add the bytes that the ids stand for."""
     return _appended(df, ids_col, name,
-                     lambda ids: [codec(path, pattern).decode(i or b"") for i in ids])
+                     lambda ids: pa.array([codec(path, pattern).decode(i or b"") for i in ids], pa.binary()))
 
 
 def digests(df: DataFrame, id_col: str = "doc_id") -> DataFrame:

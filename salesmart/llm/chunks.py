@@ -11,6 +11,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from itertools import repeat
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Characters that are surely not blanks, and letters among them.
 SEEN, LETTER = r"[!-~À-ɏ]", "[A-Za-zÀ-ÖØ-öø-ɏ]"
@@ -20,54 +25,124 @@ CUT = re.compile(f"(?<={SEEN}) (?={SEEN})")
 PLAIN = re.compile(f"{SEEN}(?:.*{SEEN})?", re.DOTALL)
 #: A word and the marks after it, which the pattern matches apart.
 MARKED = re.compile(f"({LETTER}+)([.,;:!?#$%&*]+)")
-#: Chunks kept between batches; chunks longer than LONG are never kept.
-KEEP, LONG = 800_000, 64
+#: Chunks kept between batches, and ids of theirs; chunks longer than LONG are never kept.
+KEEP, KEEP_IDS, LONG = 500_000, 4_000_000, 64
+
+
+class Pool:
+    """Runs of ids, one after the other, named by their number."""
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray):
+        self.ids, self.sizes = ids, sizes
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> range:
+        """Append runs; their numbers."""
+        first = len(self)
+        self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        return range(first, len(self))
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these runs, one run after the other, and their sizes."""
+        sizes = self.sizes[numbers]
+        shift = (np.cumsum(self.sizes) - self.sizes)[numbers] - (np.cumsum(sizes) - sizes)
+        return self.ids[np.repeat(shift, sizes) + np.arange(sizes.sum())], sizes
+
+
+def runs(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return (np.array([i for row in rows for i in row], "<u4"),
+            np.fromiter(map(len, rows), np.int64, len(rows)))
 
 
 class ChunkEncoder:
-    """``encode_many`` turns strings into their ids as bytes."""
-
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]]):
-        self.encode_many, self.kept, self.marks = encode_many, {}, {}
-
-    def cut(self, texts: list[str]) -> tuple[list[list[str]], set[str], set[str]]:
-        """Chunks of each text, all but the first follow a space; the new ones; those not to be kept."""
-        parts = [t.split(" ") for t in texts]
-        used: set[str] = set()
-        for p in parts:
-            used.update(p[1:])
-        new = used - self.kept.keys()
-        odd, more = {c for c in new if not PLAIN.fullmatch(c)}, set()
-        for i, p in enumerate(parts):
-            if not odd.isdisjoint(p) or p[0] and not PLAIN.fullmatch(p[0][-1]):
-                parts[i] = CUT.split(texts[i])
-                wide = {c for c in parts[i][1:] if not c.isalnum() and c not in self.kept}
-                more |= wide
-                new.update(c for c in parts[i][1:] if c not in self.kept)
-        return parts, (new - odd) | more, odd | more
+    """``encode_many`` turns strings into their ids, one string after the other, and the number of ids of each."""
+
+    def __init__(self, encode_many: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
+        self.encode_many, self.kept, self.pool = encode_many, {}, Pool(*runs([]))
 
     def learn(self, chunks: list[str]) -> None:
-        """Keep the ids of ``chunks``; the marks after a word are encoded once."""
-        split = [m.groups() if not c.isalpha() and (m := MARKED.fullmatch(c)) else (c, "") for c in chunks]
-        words = list({w for w, _ in split if w not in self.kept})
-        marks = list({m for _, m in split if m not in self.marks})
-        known = dict(zip(words, self.encode_many([" " + w for w in words])))
-        self.marks.update(zip(marks, self.encode_many(marks)))
-        for c, (w, m) in zip(chunks, split):
-            self.kept[c] = (known[w] if w in known else self.kept[w]) + self.marks[m]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts, new, odd = self.cut(texts)
-        if len(self.kept) + len(new) > KEEP:
-            used = {c for p in parts for c in p}
-            self.kept = {k: v for k, v in self.kept.items() if k in used}
-        if len(self.marks) > KEEP:
-            self.marks = {}
-        self.learn(list(new))
-        known = self.kept
-        heads = self.encode_many([p[0] for p in parts])
-        out = [b"".join([head, *map(known.__getitem__, p[1:])]) for head, p in zip(heads, parts)]
+        """Keep the ids of ``chunks``; a word is encoded once for all marks after it, and marks once."""
+        marked, words = [], []
+        for c in chunks:
+            if not c.isalpha() and (m := MARKED.fullmatch(c)):
+                marked.append((c, *m.groups()))
+            else:
+                words.append(c)
+        words += {w for _, w, _ in marked}.difference(words, self.kept)
+        self.kept.update(zip(words, self.pool.add(*self.encode_many([" " + w for w in words]))))
+        if marked:
+            marks = list({m for _, _, m in marked})
+            at = dict(zip(marks, self.pool.add(*self.encode_many(marks))))
+            pairs = np.array([(self.kept[w], at[m]) for _, w, m in marked])
+            ids, sizes = self.pool.take(pairs.ravel())
+            self.kept.update(zip([c for c, _, _ in marked], self.pool.add(ids, sizes.reshape(-1, 2).sum(1))))
+
+    def assemble(self, chunks: list[str], numbers: np.ndarray, codes: np.ndarray, counts: np.ndarray,
+                 heads: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts and the number in each; a text is its head and the
+        chunks that ``codes`` name after the first of its ``counts`` places.
+        ``numbers`` are those of the chunks in the pool, -1 for new ones."""
+        begins = np.cumsum(counts) - counts
+        used = np.zeros(len(chunks), bool)
+        used[np.delete(codes, begins)] = True
+        fresh = np.flatnonzero(used & (numbers < 0))
+        if len(self.pool) + len(fresh) > KEEP or len(self.pool.ids) > KEEP_IDS:
+            old = np.flatnonzero(used & (numbers >= 0))
+            self.pool = Pool(*self.pool.take(numbers[old]))
+            self.kept = dict(zip([chunks[i] for i in old.tolist()], range(len(old))))
+            numbers[old] = np.arange(len(old))
+        new = [chunks[i] for i in fresh.tolist()]
+        self.learn(new)
+        numbers[fresh] = [self.kept[c] for c in new]
+        runs_of, kept = numbers[codes], len(self.pool)
+        runs_of[begins] = self.pool.add(*self.encode_many(heads))
+        ids, sizes = self.pool.take(runs_of)
+        self.pool = Pool(self.pool.ids[:self.pool.sizes[:kept].sum()], self.pool.sizes[:kept])
         for c in new:
-            if len(c) > LONG or c in odd:
-                del known[c]
-        return out
+            if len(c) > LONG or not c.isalnum() and not PLAIN.fullmatch(c):
+                del self.kept[c]
+        return ids, np.add.reduceat(sizes, begins)
+
+    def known(self, chunks: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.kept.get, chunks, repeat(-1)), np.int64, len(chunks))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and the number of ids of each."""
+        if not texts:
+            return runs([])
+        parts = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        words = parts.values.dictionary_encode()
+        chunks, codes = words.dictionary.to_pylist(), words.indices.to_numpy()
+        counts = np.diff(parts.offsets.to_numpy())
+        begins = np.cumsum(counts) - counts
+        numbers = self.known(chunks)
+        # elsewhere than between visible characters a space is no place to cut
+        odd = numbers < 0
+        odd[odd] = [not PLAIN.fullmatch(chunks[i]) for i in np.flatnonzero(odd).tolist()]
+        odd = np.logical_or.reduceat(odd[codes], begins)
+        if not odd.any():
+            return self.assemble(chunks, numbers, codes, counts, [chunks[i] for i in codes[begins].tolist()])
+        sizes, pieces = np.zeros(len(texts), np.int64), [np.zeros(0, "<u4")] * len(texts)
+        for group in (np.flatnonzero(~odd), np.flatnonzero(odd)):
+            if not len(group):
+                continue
+            cut = [CUT.split(texts[i]) if odd[i] else texts[i].split(" ") for i in group.tolist()]
+            words = pa.array([c for row in cut for c in row], pa.string()).dictionary_encode()
+            chunks = words.dictionary.to_pylist()
+            ids, n = self.assemble(chunks, self.known(chunks), words.indices.to_numpy(),
+                                   np.array([len(row) for row in cut]), [row[0] for row in cut])
+            sizes[group] = n
+            for i, piece in zip(group.tolist(), np.split(ids, np.cumsum(n)[:-1])):
+                pieces[i] = piece
+        return np.concatenate(pieces), sizes
+
+
+def binary(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """A binary value per text from the ids of all texts and the number of each."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]) * ids.itemsize
+    if offsets[-1] >= 1 << 31:
+        raise OverflowError("more than 2 GB of ids in one slice of a batch")
+    return pa.Array.from_buffers(pa.binary(), len(sizes),
+                                 [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids)])

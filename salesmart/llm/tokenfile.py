@@ -3,8 +3,8 @@
 1. ``tokenize`` encodes each text and stages the ids.
 2. One aggregation counts every id over all documents; the driver gets one
    number per vocabulary entry and derives the canonical code lengths.
-3. ``write`` encodes each document, range-sorts the coded documents by id and
-   writes one file per range.  The manifest has a row per file.
+3. ``write`` range-sorts the documents by id, encodes each and writes one file
+   per range.  The manifest has a row per file.
 4. ``read`` decodes the files block by block.
 
 File (integers little-endian): magic, u32 length of the code lengths, these
@@ -33,13 +33,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .chunks import LETTER, ChunkEncoder
+from .chunks import LETTER, ChunkEncoder, Pool, binary, runs
 from .common import SharedFile, column, open_folder, shared_folder, ship, slices, stage
 from .huffman import LIMIT, STEP, Code, code_lengths
 
 MAGIC = b"IDSH0001"
 BLOCK = 1 << 16
-LETTERS = re.compile(f" ?{LETTER}+")
+#: Characters that are encoded together.
+SLICE = 1 << 22
+#: Words of letters, and how many of them make one text for the library.
+SPACED, LINE = re.compile(f" {LETTER}+"), 2000
 
 
 def byte_letters() -> dict[int, str]:
@@ -56,28 +59,36 @@ BYTE_LETTERS = byte_letters()
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> ChunkEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     library = Tokenizer.from_file(path)
-    model = library.model
-    model._resize_cache(0)  # the chunks are kept here, each comes once
-
-    def encode_many(texts: list[str]) -> list[bytes]:
-        """Letters after at most one space are one pre-token, so the library's model alone encodes them."""
-        alone = [LETTERS.fullmatch(t) is not None for t in texts]
-        ids, ends = [], []
-        for text, single in zip(texts, alone):
-            if single:
-                letters = (text.replace(" ", BYTE_LETTERS[0x20]) if text.isascii()
-                           else text.encode().decode("latin-1").translate(BYTE_LETTERS))
-                ids += [t.id for t in model.tokenize(letters)]
-                ends.append(4 * len(ids))
-        raw = np.array(ids, "<u4").tobytes()
-        words = iter([raw[a:b] for a, b in zip([0, *ends], ends)])
+    library.model._resize_cache(0)  # the chunks are kept here, each comes once
+    # letters after one space are one pre-token: they come mapped to the vocabulary's letters, parted by blanks
+    mapped = Tokenizer(library.model)
+    mapped.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    space = BYTE_LETTERS[0x20]
+    begins = np.zeros(library.get_vocab_size(), bool)
+    begins[[i for piece, i in library.get_vocab().items() if piece.startswith(space)]] = True
+    table = np.array([0x20 if byte == 0x0A else ord(BYTE_LETTERS.get(byte, chr(byte))) for byte in range(0x100)], "<u2")
+
+    def encode_words(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Each word is a space and letters, so its first id alone begins with a space."""
+        lines = [table[np.frombuffer("\n".join(words[i:i + LINE]).encode(), np.uint8)].tobytes().decode("utf-16-le")
+                 for i in range(0, len(words), LINE)]
+        ids = np.concatenate([np.zeros(0, "<u4"), *(np.array(mapped.encode_batch_fast([line])[0].ids, "<u4")
+                                                    for line in lines)])
+        return ids, np.diff(np.append(np.flatnonzero(begins[ids]), len(ids)))
+
+    def encode_many(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        alone = np.array([SPACED.fullmatch(t) is not None for t in texts], bool)
+        pool = Pool(*encode_words([t for t, single in zip(texts, alone) if single]))
         rest = [t for t, single in zip(texts, alone) if not single]
-        others = (np.array(e.ids, "<u4").tobytes()
-                  for e in (library.encode_batch_fast(rest, add_special_tokens=False) if rest else ()))
-        return [next(words if single else others) for single in alone]
+        coded = library.encode_batch_fast(rest, add_special_tokens=False) if rest else ()
+        pool.add(*runs([e.ids for e in coded]))
+        order = np.zeros(len(texts), np.int64)
+        order[np.flatnonzero(alone)] = np.arange(alone.sum())
+        order[np.flatnonzero(~alone)] = alone.sum() + np.arange(len(rest))
+        return pool.take(order)
 
     return ChunkEncoder(encode_many)
 
@@ -93,13 +104,12 @@ def tokenize(df: DataFrame, path: str, end_id: int, vocabulary: int, id_col: str
     kind = narrow(vocabulary)
 
     def run(batches):
-        end = np.array([end_id], kind).tobytes()
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in slices(texts):
-                coded = [np.frombuffer(x, "<u4").astype(kind).tobytes() + end
-                         for x in tokenizer(path).encode(texts[a:b])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(coded, pa.binary())],
+            for a, b in slices(texts, SLICE):
+                ids, sizes = tokenizer(path).encode(texts[a:b])
+                ids = np.insert(ids.astype(kind), np.cumsum(sizes), end_id)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), binary(ids, sizes + 1)],
                                                  names=["doc_id", "ids"])
 
     return df.select(column(df, id_col).cast("long").alias("doc_id"), column(df, text_col).alias("text")
@@ -190,9 +200,10 @@ def write(tokens: DataFrame, counts: np.ndarray, limit: int = LIMIT) -> DataFram
         yield pa.RecordBatch.from_pylist([{"file": f"{folder}/{name}", "part": part, "n_docs": writer.total_docs,
                                            "n_tokens": writer.total_ids, "blocks": writer.blocks}])
 
-    coded = tokens.mapInArrow(encode, "doc_id long, n long, marks binary, payload binary")
-    ordered = coded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n", "payload")
-    return stage(ordered.mapInArrow(save, "file string, part long, n_docs long, n_tokens long, blocks long"))
+    # the ids are dealt uncoded: Spark samples the ranges from the same plan, which would encode twice
+    ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    coded = ordered.mapInArrow(encode, "doc_id long, n long, marks binary, payload binary")
+    return stage(coded.mapInArrow(save, "file string, part long, n_docs long, n_tokens long, blocks long"))
 
 
 def read_blocks(uri: str):
