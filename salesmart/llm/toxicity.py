@@ -5,8 +5,10 @@ with the smallest hash of their id):
 
 * a token's features are the lower-cased word and its prefixes of four to six
   letters, so inflected forms share what is learned of their stem;
-* near copies (same smallest word hash) count once, so that one toxic text
-  copied many times does not make its other words toxic;
+* copies count once, so that one toxic text copied many times does not make
+  its other words toxic: equal texts, and texts of one class whose word sets
+  have a Jaccard similarity of COPY or more, estimated from SIGNS MinHash
+  values; the text with the smallest digest stays (see ``drop_copies``);
 * the log-odds of a feature between the classes are smoothed by a Dirichlet
   prior in proportion to its frequency in the whole corpus, and features whose
   log-odds stand out by MIN_Z standard errors form the model, at most
@@ -29,6 +31,7 @@ Extra columns are kept.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -47,6 +50,8 @@ PREFIXES = (4, 5, 6)
 #: Bounds of the sample and of the model (which every task holds).
 MAX_TRAIN, MAX_TERMS = 50_000, 20_000
 MIN_Z, PRIOR, FLOOR, ALPHA, THRESHOLD = 3.0, 500.0, 0.5, 0.01, 0.3
+#: MinHash values of a text, how many of them make a band, and the bands compared.
+SIGNS, BAND, BANDS, COPY = 128, 4, 16, 0.8
 #: Distinct features a counting task holds before it passes them on.
 FLUSH = 300_000
 
@@ -179,14 +184,87 @@ def log_odds(toxic, clean, toxic_total: float, clean_total: float, prior, prior_
     return odds, np.sqrt(1 / a + 1 / b)
 
 
+class Signer:
+    """MinHash values of the set of tokens of a text (all ones without tokens)."""
+
+    def __init__(self):
+        self.known: dict[str, int] = {}
+        made = np.random.default_rng(8).integers(0, 1 << 62, (2, SIGNS, 1), np.uint64)
+        self.factor, self.shift = made[0] * np.uint64(2) + np.uint64(1), made[1]
+
+    def _word(self, word: str) -> int:
+        h = self.known.get(word)
+        if h is None:
+            if len(self.known) > 500_000:
+                self.known.clear()
+            h = self.known[word] = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
+        return h
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        words = set(tokens(text))
+        least = np.full(SIGNS, (1 << 32) - 1, np.uint32)
+        h = np.fromiter(map(self._word, words), np.uint64, len(words))
+        for i in range(0, len(h), 4096):
+            mixed = (h[i:i + 4096] ^ self.shift) * self.factor
+            mixed = (mixed ^ (mixed >> np.uint64(29))) * self.factor
+            least = np.minimum(least, (mixed >> np.uint64(32)).astype(np.uint32).min(axis=1))
+        return least
+
+
+def drop_copies(rows: DataFrame) -> DataFrame:
+    """One row (toxic, text) of each group of copies: the one whose text has the smallest md5.
+
+    Equal texts go first, by a grouping that the map side combines.  Of the
+    rest, each band of the signature has a head, the row with the smallest
+    digest; a row goes if at least COPY of all SIGNS values agree with those
+    of a head of one of its bands.  At most MAX_TRAIN rows come in, so the heads
+    (a digest and SIGNS numbers) are bounded and broadcast, and no task gets the
+    rows of one band.
+    """
+    ship(rows.sparkSession)
+    rows = stage(rows.select("toxic", F.coalesce("text", F.lit("")).alias("text")).groupBy("toxic", "text").agg(
+        F.lit(1)).select("toxic", "text", F.md5(F.col("text").cast("binary")).alias("name")))
+    schema = pa.schema([("toxic", pa.int32()), ("name", pa.string()), ("signs", pa.binary()), ("bands", pa.list_(pa.binary()))])
+
+    def sign(batches):
+        make = Signer()
+        for batch in batches:
+            out = []
+            for toxic, text, name in zip(*(c.to_pylist() for c in batch.columns)):
+                signs = make(text)
+                out.append({"toxic": toxic, "name": name, "signs": signs.tobytes(),
+                            "bands": [bytes([i]) + signs[i * BAND:(i + 1) * BAND].tobytes() for i in range(BANDS)]})
+            yield pa.RecordBatch.from_pylist(out, schema)
+
+    signed = stage(rows.mapInArrow(sign, "toxic int, name string, signs binary, bands array<binary>"))
+    banded = signed.select("toxic", "name", F.explode("bands").alias("band"))
+    heads = stage(banded.groupBy("toxic", "band").agg(F.min("name").alias("head"), F.count(F.lit(1)).alias("n")).filter(
+        "n > 1").drop("n"))
+    wanted = heads.select("toxic", F.col("head").alias("name")).distinct()
+    marks = signed.join(F.broadcast(wanted), ["toxic", "name"]).select(
+        "toxic", F.col("name").alias("head"), F.col("signs").alias("other"))
+    pairs = signed.select("toxic", "name", "signs", F.explode("bands").alias("band")).join(
+        F.broadcast(heads), ["toxic", "band"]).filter("name <> head").drop("band").join(
+        F.broadcast(marks), ["toxic", "head"]).select("toxic", "name", "signs", "other")
+
+    def agree(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, SIGNS) for i in (2, 3))
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["toxic", "name"]).filter(
+                pa.array((a == b).mean(axis=1) >= COPY))
+
+    copies = stage(pairs.mapInArrow(agree, "toxic int, name string").distinct())
+    return rows.join(F.broadcast(copies), ["toxic", "name"], "left_anti").select("toxic", "text")
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           most: int = MAX_TRAIN) -> Model:
     """Fit the model on ``docs`` (all of them give the prior) and ``labels`` (doc_id, toxic)."""
     body = docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).alias("text"))
     marked = body.join(F.broadcast(sample_labels(labels, most)), "doc_id")
-    words = F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s+")
-    rows = stage(marked.select("toxic", "text", F.array_min(F.transform(words, lambda w: F.xxhash64(w))).alias("near")))
-    rows = stage(rows.dropDuplicates(["toxic", "near"]).select("toxic", "text"))
+    rows = stage(drop_copies(marked.select((F.col("toxic") > 0).cast("int").alias("toxic"), "text")))
 
     counts = stage(_count(rows, 2, lambda toxic, text: ((int(toxic > 0),), {
         f for w in set(tokens(text)) for f in features(w)})).select(

@@ -225,6 +225,23 @@ def test_toxicity_learns_stems_and_finds_passages(spark):
     assert kept.columns == ["doc_id", "text", "toxicity"] and kept.count() == len(docs) - 80 + 2
 
 
+def test_toxicity_drops_real_copies_only(spark):
+    rng = np.random.default_rng(5)
+    texts = ["the " + " ".join(f"w{x}" for x in rng.integers(0, 3000, 80)) for _ in range(300)]  # share one word
+    near = [texts[0].rsplit(" ", i)[0] + f" n{i}" for i in (1, 2, 3, 4)]
+    rows = [(0, t) for t in texts + near + texts[:50] + [None, "", " "]] + [(1, t) for t in texts[:20] + texts[:20]]
+    df = spark.createDataFrame(rows, "toxic int, text string")
+    got = [tuple(r) for r in toxicity.drop_copies(df).collect()]
+    assert sorted(t for c, t in got if c) == sorted(texts[:20])
+    kept = {t for c, t in got if not c}
+    assert set(texts[1:]) <= kept and len(kept & {texts[0], *near}) == 1 and len(got) == 20 + 300 + 1
+    assert sorted(map(tuple, toxicity.drop_copies(df.repartition(7)).collect())) == sorted(got)
+    sign = toxicity.Signer()
+    for a in rng.random(50):  # the share of agreeing values estimates the Jaccard similarity
+        one, two = {f"a{i}" for i in range(200)}, {f"a{i}" for i in range(int(a * 200), 200 + int(a * 200))}
+        assert abs((sign(" ".join(one)) == sign(" ".join(two))).mean() - len(one & two) / len(one | two)) < 0.17
+
+
 def test_toxicity_query_held_out(spark):
     import pandas as pd
 
