@@ -7,7 +7,9 @@ and works on bounded chunks of one host.  Of each chunk:
 1. Every page becomes blocks of visible words.  Scripts, styles and other
    markup never show; each block knows whether it stands in the article (or
    main) element, and whether an element around it is marked as something else
-   (menu, footer, sidebar, notice, advert, form, reader comments).
+   (menu, footer, sidebar, notice, advert, form, reader comments).  A class
+   name counts by its last word (site-footer, not footer-free or has-footer);
+   an article or main element ends the marks of what is around it.
 2. The pages' words are concatenated, with a different separator after each
    page, and the suffixes are sorted by their first RUN words (ranks doubled
    in length at each step).  Equal neighbours on distinct pages are repeated
@@ -54,16 +56,37 @@ MARKS = frozenset("ad ads advert adverts advertisement advertising sponsor spons
                   "commentlist reply replies disqus respond share sharing social related recommended recommendations "
                   "pagination pager toolbar search complementary contentinfo dialog skip hidden".split())
 HEADS = frozenset("header masthead topbar".split())
+#: Marks that a text element inside an article may have as its own class.
+SOFT = frozenset("notice notices alert related search social".split())
+TEXTS = frozenset("p blockquote pre h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th".split())
+#: Names that speak of the layout (has-sidebar, content-with-nav), and ends that only say how a marked box is built.
+LAYOUT = frozenset("has no not with without is hide show if".split())
+BOXES = frozenset("area areas wrapper wrap container content box bar block blocks list lists section slot slots inner outer unit "
+                  "left right top bottom item items links posts articles stories primary secondary".split())
 MAIN = frozenset(("article", "main"))
 BLANK = re.compile(r"\s+")
 PARTS = re.compile(r"[a-z]+")
 
 
+def marks(value: str) -> set[str]:
+    """The marks among the names in a class, id or role: a name ends in one, apart from words for boxes."""
+    found = set()
+    for name in re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower().split():
+        parts = PARTS.findall(name)
+        if LAYOUT.intersection(parts):
+            continue
+        while len(parts) > 1 and parts[-1] in BOXES:
+            parts.pop()
+        found.update(parts[-1:])
+    return found & (MARKS | HEADS)
+
+
 @dataclass
 class Block:
     text: str
     level: int  # 2: in an article, 1: in main, 0: elsewhere
     marked: bool
+    outer: bool = False  # its article or main element stands in something marked
 
 
 class Blocks(HTMLParser):
@@ -71,7 +94,8 @@ class Blocks(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool, int]] = [("", False, False, 0)]  # element, hidden, marked, level
+        # element, hidden, marked, level, outer
+        self.open: list[tuple[str, bool, bool, int, bool]] = [("", False, False, 0, False)]
         self.words: list[str] = []
         self.found: list[Block] = []
 
@@ -79,7 +103,8 @@ class Blocks(HTMLParser):
         if self.words:
             text = BLANK.sub(" ", "".join(self.words)).strip()
             if text:
-                self.found.append(Block(text, self.open[-1][3], self.open[-1][2]))
+                _, _, marked, level, outer = self.open[-1]
+                self.found.append(Block(text, level, marked, outer))
             self.words = []
 
     def handle_starttag(self, tag, attrs):
@@ -98,14 +123,17 @@ class Blocks(HTMLParser):
                     break
                 if self.open[i][0] not in INLINE and self.open[i][0] != "p":
                     break
-        _, hidden, marked, level = self.open[-1]
-        level = max(level, 2 if tag == "article" else 1 if tag == "main" else 0)
+        _, hidden, marked, level, outer = self.open[-1]
+        own = 2 if tag == "article" else 1 if tag == "main" else 0
+        if own > level:  # the marks of what is around it end here
+            level, outer, marked = own, outer or marked, False
         if tag not in ("html", "body", "article", "main") and not marked:
-            named = {w for k, v in attrs if k in ("class", "id", "role") and v for w in PARTS.findall(
-                re.sub(r"(?<=[a-z])(?=[A-Z])", " ", v).lower())}
+            named = set().union(*(marks(v) for k, v in attrs if k in ("class", "id", "role") and v))
+            if level and tag in TEXTS:
+                named -= SOFT
             marked = (tag in ASIDE or bool(named & MARKS) or level == 0 and (tag == "header" or bool(named & HEADS)))
         hidden = hidden or tag in HIDDEN or any(k == "hidden" for k, _ in attrs)
-        self.open.append((tag, hidden, marked, level))
+        self.open.append((tag, hidden, marked, level, outer))
 
     def handle_endtag(self, tag):
         if tag not in INLINE:
@@ -164,6 +192,24 @@ def repeated(streams: list[list[str]], run: int = RUN) -> list[np.ndarray]:
     return [covered[e - n - 1:e - 1] for e, n in zip(ends, sizes)]
 
 
+def chosen(page: list[Block]) -> list[bool]:
+    """Which blocks are main text unless repeated: the unmarked ones of the highest level.
+
+    An article whose surroundings are marked (a form or a layout box around the
+    whole page) counts if no other article is there and it holds more
+    characters than the unmarked blocks; if every block is marked, all count.
+    """
+    free = [not (b.marked or b.outer) for b in page]
+    level = max((b.level for b, f in zip(page, free) if f), default=0)
+    if not level:
+        inner = [b.outer and not b.marked for b in page]
+        if sum(len(b.text) for b, i in zip(page, inner) if i) > sum(len(b.text) for b, f in zip(page, free) if f):
+            free, level = inner, max(b.level for b, i in zip(page, inner) if i)
+    if not any(free):
+        return [True] * len(page)
+    return [f and b.level == level for b, f in zip(page, free)]
+
+
 def main_texts(pages: list[str | None]) -> list[str]:
     """Main texts of the pages of a host."""
     found = [blocks(p) for p in pages]
@@ -171,14 +217,14 @@ def main_texts(pages: list[str | None]) -> list[str]:
     covered = repeated([[w for b in page for w in b] for page in words])
     out = []
     for page, split, cover in zip(found, words, covered):
-        level, at, kept = max((b.level for b in page if not b.marked), default=0), 0, []
-        for block, own in zip(page, split):
+        at, kept, wanted = 0, [], chosen(page)
+        trusted = any(w and b.level and not b.marked for w, b in zip(wanted, page))
+        for block, own, take in zip(page, split, wanted):
             gone = cover[at:at + len(own)]
             at += len(own)
-            if block.marked or block.level < level:
-                continue
-            kept.append(block.text if level else " ".join(w for w, g in zip(own, gone) if not g))
-        kept = [k for k in kept if k] or [b.text for b in page if not b.marked and b.level == level]
+            if take:
+                kept.append(block.text if trusted else " ".join(w for w, g in zip(own, gone) if not g))
+        kept = [k for k in kept if k] or [b.text for b, take in zip(page, wanted) if take]
         out.append("\n\n".join(kept))
     return out
 

@@ -153,6 +153,18 @@ def test_html_blocks_and_markup():
     assert html.main_texts([page, None, ""]) == ["A & B\n\nOne.\n\nTwo words\n\nx\n\ny", "", ""]
 
 
+@pytest.mark.parametrize("around", ["<div class='has-sidebar'>", "<div class='no-comments hidden-xs'>", "<form id=aspnetForm>",
+                                    "<div id='content-with-nav'>", "<div class=sidebar>", "<div role=search><section>"])
+def test_html_marks_of_layout_boxes_do_not_empty_the_article(around):
+    article = ("<article><h1>Head</h1><p class=notice>A notice.</p><p class='social'>On social life.</p>"
+               "<div class='related-posts'>See also</div><section id=comments>First!</section></article>")
+    page = f"<body><header>Site</header>{around}{article}<div class=site-footer>End</div></body>"
+    assert html.main_texts([page]) == ["Head\n\nA notice.\n\nOn social life."]
+    teaser = "<aside><article>A teaser that is much longer than the article</article></aside>"
+    assert html.main_texts([teaser + "<article>Short</article>"]) == ["Short"]
+    assert html.main_texts(["<form><p>all is marked</p></form>"]) == ["all is marked"]
+
+
 def test_html_without_article_loses_what_pages_repeat():
     top, end = "welcome to our little site on the web", "all rights are reserved by the owner here"
     pages = [f"<div>{top}</div><div>{body}</div><div>{end}</div>" for body in
