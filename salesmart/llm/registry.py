@@ -50,18 +50,23 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract columns, and n_near: for ids divisible by 100, the documents within the radius."""
+    """Contract columns, and for ids divisible by 100 the documents within the radius.
+
+    n_near counts them; near lists their distinct fingerprints with the distance
+    (the documents are the rows with that fingerprint).
+    """
     marked = simhash.edited_pairs(table(spark, sf_dir, "documents"))
     marked = stage(marked.select("doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
                                  "fingerprint", "edited_fingerprint", "next_fingerprint"))
     asked = marked.filter(F.col("doc_id") % 100 == 0)
-    near = stage(simhash.neighbours(asked, marked))
-    counted = asked.join(near, "fingerprint").select("doc_id", "n_near")
+    near = stage(simhash.matches(asked, marked).groupBy("fingerprint").agg(
+        F.sum("n_rows").alias("n_near"), F.array_sort(F.collect_list(F.struct("distance", "near"))).alias("near")))
+    counted = asked.join(near, "fingerprint").groupBy("doc_id").agg(F.max(F.struct("n_near", "near")).alias("found"))
     mark = F.col("fingerprint")
-    return marked.join(counted.groupBy("doc_id").agg(F.max("n_near").alias("n_near")), "doc_id", "left").select(
+    return marked.join(counted, "doc_id", "left").select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         simhash.likeness(mark, F.col("edited_fingerprint")).alias("near_edited"),
-        simhash.likeness(mark, F.col("next_fingerprint")).alias("near_next"), "n_near")
+        simhash.likeness(mark, F.col("next_fingerprint")).alias("near_next"), "found.n_near", "found.near")
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

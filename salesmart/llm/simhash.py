@@ -11,12 +11,14 @@ Documents are dealt to ranges of ids, sorted, and walked through; the first
 document of each range is also sent to the range before it, so every text
 moves once and no range depends on another.
 
-``neighbours`` finds all fingerprints within a Hamming radius of each query
-fingerprint.  The bits are cut into ``blocks`` blocks, more than the radius;
-two fingerprints within the radius agree on at least ``blocks - radius`` of
-them.  There is one table per choice of that many blocks, keyed by those bits
-(a permutation that brings them to the front), joined on table and key and
-verified; a pair counts in the first table in which it agrees.
+``matches`` finds all pairs of a query fingerprint and an index fingerprint
+within a Hamming radius, and ``neighbours`` counts them.  The bits are cut into
+``blocks`` blocks; two fingerprints within the radius differ by at most
+``radius // blocks`` bits in at least one of them.  There is one table per
+block, keyed by its bits; a query looks up its own block and every block that
+differs by so many bits, and what it meets is verified.  A pair counts in the
+first table in which it agrees.  Fewer blocks mean longer keys (fewer chance
+meetings, for larger tables) and more lookups of each query.
 
 Edge cases: null and empty texts have no terms and the fingerprint zero; equal
 texts have equal fingerprints; repeated ids are ordered by a hash of the text;
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .common import column, ship, stage
 
-BITS, RADIUS, BLOCKS = 128, 4, 6
+BITS, RADIUS, BLOCKS = 128, 14, 8
 WORDS = re.compile(r"\w+")
 #: Odd constants that turn a word's 64 bits into those of a pair and of the second half.
 LEFT, HALF = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -180,31 +182,50 @@ def edited_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              "next_fingerprint string")
 
 
-def neighbours(queries: DataFrame, index: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """Of each distinct fingerprint of ``queries``: how many rows of ``index`` lie within ``radius``.
+def matches(queries: DataFrame, index: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """fingerprint (of ``queries``), near (of ``index``), distance, n_rows: all pairs within ``radius``.
 
-    Both have a column fingerprint (hex); equal ones are taken together first.
-    Result: fingerprint, n_near (rows of the index, itself included if it is one).
+    Both have a column fingerprint (hex); equal ones are taken together first,
+    n_rows says how many rows of the index have the fingerprint ``near``.  A
+    join of either table with the result on its fingerprint names the documents.
     """
-    if not 0 <= radius < blocks:
-        raise ValueError("the radius must be less than the number of blocks")
-    edges = [round(i * (BITS // 4) / blocks) for i in range(blocks + 1)]  # in hex digits
-    tables = list(combinations(range(blocks), blocks - radius))
+    if blocks not in (4, 8, 16, 32) or not 0 <= radius < BITS:
+        raise ValueError("4, 8, 16 or 32 blocks and a radius below the number of bits")
+    width, per, most = BITS // blocks, blocks // 4, radius // blocks
+    flips = [sum(1 << i for i in c) for k in range(min(most, width) + 1) for c in combinations(range(width), k)]
 
-    def key(mark: Column, table) -> Column:
-        return F.concat(*(F.substring(mark, edges[b] + 1, edges[b + 1] - edges[b]) for b in table))
+    def words(df: DataFrame) -> DataFrame:
+        return df.select(*(F.conv(F.substring("mark", 8 * i + 1, 8), 16, 10).cast("long").alias(f"w{i}") for i in range(4)),
+                         *(c for c in df.columns if c != "mark"))
+
+    def block(word: Column, i: int) -> Column:
+        return F.shiftright(word, width * (i % per)).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
 
     def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumn("t", F.explode(F.array(*(F.struct(F.lit(i).alias("table"), key(F.col("mark"), t).alias("key"))
-                                                      for i, t in enumerate(tables))))).select("*", "t.*").drop("t")
-
-    wanted = queries.select(F.col("fingerprint").alias("mark")).distinct()
-    there = index.groupBy(F.col("fingerprint").alias("mark")).agg(F.count(F.lit(1)).alias("n"))
-    q, r = keyed(wanted).alias("q"), keyed(there).alias("r")
-    first = F.lit(len(tables))
-    for i, t in reversed(list(enumerate(tables))):
-        first = F.when(key(F.col("q.mark"), t) == key(F.col("r.mark"), t), i).otherwise(first)
-    near = (1 - likeness(F.col("q.mark"), F.col("r.mark"))) * BITS <= radius
+        return df.withColumn("t", F.explode(F.array(*(F.struct(F.lit(i).alias("table"), block(F.col(f"w{i // per}"), i).alias("key"))
+                                                      for i in range(blocks))))).select("*", "t.*").drop("t")
+
+    def mark(side: str) -> Column:
+        return F.lower(F.concat(*(F.lpad(F.hex(F.col(f"{side}.w{i}")), 8, "0") for i in range(4))))
+
+    wanted = words(queries.select(F.col("fingerprint").alias("mark")).distinct())
+    there = words(index.groupBy(F.col("fingerprint").alias("mark")).agg(F.count(F.lit(1)).alias("n_rows")))
+    asked = keyed(wanted).withColumn("flip", F.explode(F.array(*(F.lit(f).cast("long") for f in flips))))
+    q = asked.withColumn("key", F.col("key").bitwiseXOR(F.col("flip"))).drop("flip").alias("q")
+    r = keyed(there).alias("r")
+    apart = [F.col(f"q.w{i}").bitwiseXOR(F.col(f"r.w{i}")) for i in range(4)]
+    distance = sum((F.bit_count(x) for x in apart[1:]), F.bit_count(apart[0]))
+    first = F.lit(blocks)
+    for i in reversed(range(blocks)):
+        first = F.when(F.bit_count(block(apart[i // per], i)) <= most, i).otherwise(first)
     pairs = q.join(r, (F.col("q.table") == F.col("r.table")) & (F.col("q.key") == F.col("r.key"))
-                   & (first == F.col("q.table")) & near)
-    return pairs.groupBy(F.col("q.mark").alias("fingerprint")).agg(F.sum("r.n").alias("n_near"))
+                   & (distance <= radius) & (first == F.col("q.table")))
+    return pairs.select(mark("q").alias("fingerprint"), mark("r").alias("near"), distance.alias("distance"), "r.n_rows")
+
+
+def neighbours(queries: DataFrame, index: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """Of each distinct fingerprint of ``queries``: how many rows of ``index`` lie within ``radius``.
+
+    Result: fingerprint, n_near (rows of the index, itself included if it is one).
+    """
+    return matches(queries, index, radius, blocks).groupBy("fingerprint").agg(F.sum("n_rows").alias("n_near"))

@@ -216,6 +216,28 @@ def test_simhash_query_equals_brute_force(spark, sf_small):
             assert got[k]["n_near"] == sum((mark[k] ^ v).bit_count() <= simhash.RADIUS for v in mark.values())
 
 
+def test_simhash_names_near_copies(spark, sf_small):
+    random.seed(7)
+    base = [random.getrandbits(128) for _ in range(20)]
+    marks = [b ^ sum(1 << i for i in random.sample(range(128), random.randrange(0, 20))) for b in base for _ in range(6)]
+    index = spark.createDataFrame([(f"{v:032x}",) for v in marks + marks[:3]], "fingerprint string")
+    for radius, blocks in ((simhash.RADIUS, simhash.BLOCKS), (4, 8), (9, 4), (0, 4), (20, 16)):
+        got = {(r["fingerprint"], r["near"]): (r["distance"], r["n_rows"])
+               for r in simhash.matches(index.limit(40), index, radius, blocks).collect()}
+        asked = {int(r["fingerprint"], 16) for r in index.limit(40).collect()}
+        assert got == {(f"{v:032x}", f"{w:032x}"): ((v ^ w).bit_count(), marks.count(w) + marks[:3].count(w))
+                       for v in asked for w in set(marks) if (v ^ w).bit_count() <= radius}
+    text = " ".join(f"word{random.randrange(500)}" for _ in range(300)).split()
+    rows = [(100, " ".join(text), "s"), (101, " ".join(text[:150] + ["new", "ones"] + text[153:]), "s"), (102, "another", "s")]
+    mark = {r["doc_id"]: r["fingerprint"] for r in simhash.fingerprint(documents(spark, rows)).collect()}
+    made = simhash.fingerprint(documents(spark, rows))
+    assert {r["near"] for r in simhash.matches(made.filter("doc_id = 100"), made).collect()} == {mark[100], mark[101]}
+    rows = registry.op6_simhash(spark, sf_small).collect()
+    assert all((r["near"] is None) == (r["n_near"] is None) for r in rows)
+    count = lambda mark: sum(r["fingerprint"] == mark for r in rows)
+    assert all(sum(count(x["near"]) for x in r["near"]) == r["n_near"] for r in rows if r["near"])
+
+
 SCHEMAS = {"add": {"a": ("integer", True), "b": ("number", True), "note": ("string", False)}}
 
 
