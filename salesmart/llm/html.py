@@ -1,8 +1,4 @@
-"""HTML extraction with a host suffix array (operator 5).
-
-Pages are range-sorted by host and a hash of the page, so that a host which
-holds a third of all pages is split over tasks; a task walks through its pages
-and works on bounded chunks of one host.  Of each chunk:
+"""HTML extraction by repeated runs of a host (operator 5).
 
 1. Every page becomes blocks of visible words.  Scripts, styles and other
    markup never show; each block knows whether it stands in the article (or
@@ -10,19 +6,20 @@ and works on bounded chunks of one host.  Of each chunk:
    (menu, footer, sidebar, notice, advert, form, reader comments).  A class
    name counts by its last word (site-footer, not footer-free or has-footer);
    an article or main element ends the marks of what is around it.
-2. The pages' words are concatenated, with a different separator after each
-   page, and the suffixes are sorted by their first RUN words (ranks doubled
-   in length at each step).  Equal neighbours on distinct pages are repeated
-   substrings; together they cover all longer repeats as well.
-3. Words covered by repeats are boilerplate and leave; unique runs stay.  The
-   article element is trusted: a passage that several articles quote is not
-   boilerplate, and where there is an article nothing outside it is main text.
+2. Runs of RUN words that two or more distinct pages of a host hold are
+   repeated, over the whole table: each part of the pages (about PART words)
+   sends its distinct runs as 64-bit hashes, with the host, to buckets of the
+   hashes; a bucket adds up the pages of each run and answers every part with
+   its repeated ones.  The answers lie in the shared folder, one file per part
+   and bucket.  Hashes go in SLICES turns, which bounds the disk.
+   ``repeated`` finds the same runs of a few pages by a suffix array.
+3. Words covered by repeats are boilerplate and leave; unique runs stay.  In an
+   article a block leaves only if nearly all of it (WHOLE) is covered by runs
+   on MANY pages and a SHARE of the host's pages: a passage that some articles
+   quote stays.  Where there is an article nothing outside it is main text.
    Pages with the same words count as one page, and a page of which nothing
    would be left (a mirror) keeps its blocks.
 
-A chunk holds at most CHUNK pages or CHARS characters; the next one of the
-same host sees the last CONTEXT pages again.
-
 Edge cases: null and empty html give an empty text; unclosed elements end with
 their parent; character references are decoded, cut ones stay as they are;
 a null or relative url has an empty host; repeated pages are all returned; an
@@ -31,18 +28,23 @@ empty table gives an empty result.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, ship
+from .common import SharedFile, column, open_folder, release, shared_folder, ship, stage
 
-RUN, CHUNK, CHARS, CONTEXT = 6, 512, 1 << 23, 64
+RUN, PART, BUCKET, SLICES = 6, 1 << 20, 1 << 21, 3
+#: When a block of an article is boilerplate: share of its words covered, pages of the host and their share.
+WHOLE, MANY, SHARE = 0.9, 8, 0.5
+MIX, STEP = np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 # Element names and the words in class, id and role that mark what is not the article.
 HIDDEN = frozenset("script style template noscript iframe svg math head title object select textarea button datalist".split())
@@ -210,57 +212,287 @@ def chosen(page: list[Block]) -> list[bool]:
     return [f and b.level == level for b, f in zip(page, free)]
 
 
+def main_text(texts: list[str], wanted: list[bool], trusted: bool, cover: np.ndarray, often: np.ndarray) -> str:
+    """The wanted blocks without boilerplate; ``cover`` and ``often`` say which words lie in repeats and in common ones."""
+    if not (often if trusted else cover).any():
+        return "\n\n".join(t for t, take in zip(texts, wanted) if take)
+    at, kept = 0, []
+    for text, take in zip(texts, wanted):
+        own = text.split(" ")
+        here = slice(at, at + len(own))
+        at += len(own)
+        if not take:
+            continue
+        if not trusted:
+            kept.append(" ".join(w for w, g in zip(own, cover[here]) if not g))
+        elif often[here].mean() < WHOLE:
+            kept.append(text)
+    kept = [k for k in kept if k] or [t for t, take in zip(texts, wanted) if take]
+    return "\n\n".join(kept)
+
+
+def judged(page: list[Block]) -> tuple[list[bool], bool]:
+    """The chosen blocks, and whether they are those of an article."""
+    wanted = chosen(page)
+    return wanted, any(w and b.level and not b.marked for w, b in zip(wanted, page))
+
+
 def main_texts(pages: list[str | None]) -> list[str]:
-    """Main texts of the pages of a host."""
+    """Main texts of a few pages of a host."""
     found = [blocks(p) for p in pages]
-    words = [[b.text.split(" ") for b in page] for page in found]
-    covered = repeated([[w for b in page for w in b] for page in words])
+    streams = [[w for b in page for w in b.text.split(" ")] for page in found]
+    hashes, cover = Runs(), repeated(streams)
+    runs, counts = np.unique(np.concatenate([np.zeros(0, np.uint64)] + [
+        np.unique(hashes(s, "")) for s in dict(zip(map(tuple, streams), streams)).values()]), return_counts=True)
+    least = max(MANY, SHARE * len(set(map(tuple, streams))))
+    out = []
+    for page, stream, gone in zip(found, streams, cover):
+        wanted, trusted = judged(page)
+        out.append(main_text([b.text for b in page], wanted, trusted, gone,
+                             spread(np.isin(hashes(stream, ""), runs[counts >= least]), len(stream))))
+    return out
+
+
+class Words(dict):
+    """64-bit hashes of words, made when first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        h = self[word] = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+        return h
+
+
+class Runs:
+    """Hashes of the runs of RUN words of a page."""
+
+    def __init__(self):
+        self.known = Words()
+
+    def host(self, host: str) -> np.ndarray:
+        return np.array([self.known["//" + host]], np.uint64)
+
+    def __call__(self, words: list[str], host: str) -> np.ndarray:
+        n = len(words) - RUN + 1
+        if n <= 0:
+            return np.zeros(0, np.uint64)
+        if len(self.known) > 500_000:
+            self.known.clear()
+        h, total = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words)), np.zeros(n, np.uint64)
+        for i in range(RUN):
+            total = (total ^ (total >> np.uint64(31))) * STEP + h[i:i + n]
+        total = (total ^ (total >> np.uint64(30))) * MIX + self.host(host)
+        return (total ^ (total >> np.uint64(31))) * STEP
+
+
+def spread(starts: np.ndarray, n: int) -> np.ndarray:
+    """Of n words, which lie in a run that ``starts`` marks."""
+    at = np.zeros(n + 1, np.int64)
+    at[:len(starts)] += starts
+    at[RUN:RUN + len(starts)] -= starts[:max(0, n + 1 - RUN)]
+    return np.cumsum(at)[:n] > 0
+
+
+def pack(hashes: np.ndarray) -> bytes:
+    """Ascending hashes as differences, byte by byte place, compressed."""
+    planes = np.diff(hashes, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
+    return len(hashes).to_bytes(4, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def unpack(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:4], "little")
+    planes = np.frombuffer(pa.decompress(data[4:], 8 * n, "zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    return pa.compress(counts.astype(np.uint32).tobytes(), "zstd", asbytes=True)
+
+
+def unpack_counts(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, 4 * n, "zstd", asbytes=True), np.uint32)
+
+
+def read_files(folder: str, part: int) -> list[bytes]:
+    import pyarrow.fs
+
+    fs, base = open_folder(folder)
+    found = fs.get_file_info(pyarrow.fs.FileSelector(f"{base}/{part}", allow_not_found=True))
     out = []
-    for page, split, cover in zip(found, words, covered):
-        at, kept, wanted = 0, [], chosen(page)
-        trusted = any(w and b.level and not b.marked for w, b in zip(wanted, page))
-        for block, own, take in zip(page, split, wanted):
-            gone = cover[at:at + len(own)]
-            at += len(own)
-            if take:
-                kept.append(block.text if trusted else " ".join(w for w, g in zip(own, gone) if not g))
-        kept = [k for k in kept if k] or [b.text for b, take in zip(page, wanted) if take]
-        out.append("\n\n".join(kept))
+    for f in sorted(f.path for f in found if f.is_file and not f.base_name.startswith(".")):
+        with fs.open_input_stream(f, compression=None) as data:
+            out.append(data.read())
     return out
 
 
+def parsed(df: DataFrame) -> DataFrame:
+    """page_id, url, host, part, place, words, digest, trusted, wanted, text of every page.
+
+    ``text`` holds the blocks, one per line, ``wanted`` a byte for each.
+    """
+    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("part", pa.int64()),
+                        ("place", pa.int32()), ("words", pa.int64()), ("digest", pa.binary()), ("trusted", pa.bool_()),
+                        ("wanted", pa.binary()), ("text", pa.string())])
+
+    def run(batches):
+        part, place, size = TaskContext.get().partitionId() << 32, 0, 0
+        for batch in batches:
+            out = []
+            for key, url, html, host in zip(*(c.to_pylist() for c in batch.columns)):
+                page = blocks(html)
+                wanted, trusted = judged(page)
+                text = "\n".join(b.text for b in page)
+                stream = text.replace("\n", " ")
+                words = stream.count(" ") + 1 if stream else 0
+                if size and size + words > PART:
+                    part, place, size = part + 1, 0, 0
+                out.append({"page_id": key, "url": url, "host": host, "part": part, "place": place, "words": words,
+                            "digest": hashlib.blake2b(f"{host}\n{stream}".encode("utf-8", "replace"), digest_size=16).digest(),
+                            "trusted": trusted, "wanted": bytes(wanted), "text": text})
+                place, size = place + 1, size + words
+            yield pa.RecordBatch.from_pylist(out, schema)
+
+    return df.mapInArrow(run, "page_id long, url string, host string, part long, place int, words long, digest binary, "
+                              "trusted boolean, wanted binary, text string")
+
+
+def copies(pages: DataFrame) -> str:
+    """Folder with the places of pages whose words an earlier page of the host has, a file per part."""
+    folder = shared_folder(pages.sparkSession)
+    keys = pages.select("digest", "part", "place")
+    first = stage(keys.groupBy("digest").agg(F.min(F.struct("part", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
+                  .filter("n > 1").drop("n"))
+    again = keys.join(first, "digest").filter(F.struct("part", "place") != F.col("first"))
+
+    def write(batches):
+        for batch in batches:
+            for part, places in zip(*(c.to_pylist() for c in batch.columns)):
+                with SharedFile(f"{folder}/{part}", "copies") as file:
+                    file.write(np.array(sorted(places), np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["part"])
+
+    again.groupBy("part").agg(F.collect_list("place")).mapInArrow(write, "part long").agg(F.count("part")).first()
+    return folder
+
+
+def repeats(pages: DataFrame, buckets: int, slices: int = SLICES) -> str:
+    """Folder with the repeated runs of each part and the number of pages that hold them."""
+    spark = pages.sparkSession
+    twice, folder = copies(pages), shared_folder(spark)
+
+    def send(turn):
+        def run(batches):
+            hashes, at, held, again, size = Runs(), None, [], frozenset(), 0
+
+            def flush():
+                both = [np.concatenate([h for h, c in held if c == counts] + [np.zeros(0, np.uint64)]) for counts in (True, False)]
+                runs, where = np.unique(np.concatenate(both), return_inverse=True)
+                counts = np.bincount(where[:len(both[0])], minlength=len(runs))
+                bucket = ((runs >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+                edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+                for i in range(buckets):
+                    a, b = edges[i], edges[i + 1]
+                    if a < b:
+                        yield {"bucket": i, "part": at, "runs": pack(runs[a:b]), "counts": pack_counts(counts[a:b])}
+
+            def sent():
+                return pa.RecordBatch.from_pylist(list(flush()), pa.schema(
+                    [("bucket", pa.int32()), ("part", pa.int64()), ("runs", pa.binary()), ("counts", pa.binary())]))
+
+            for batch in batches:
+                for host, part, place, text in zip(*(c.to_pylist() for c in batch.columns)):
+                    if part != at or size > 2 * PART:
+                        if held:
+                            yield sent()
+                        if part != at:
+                            again = frozenset(x for f in read_files(twice, part) for x in np.frombuffer(f, np.int32).tolist())
+                        at, held, size = part, [], 0
+                    own = hashes(text.replace("\n", " ").split(" ") if text else [], host)
+                    size += len(own)
+                    own = np.concatenate([own, hashes.host(host)])
+                    held.append((np.unique(own[own % np.uint64(slices) == turn]), place not in again))
+            if held:
+                yield sent()
+
+        return run
+
+    def add(batches):
+        at, held = None, []
+
+        def flush():
+            runs, where = np.unique(np.concatenate([r for _, r, _ in held]), return_inverse=True)
+            total = np.bincount(where, np.concatenate([c for _, _, c in held]), len(runs)).astype(np.int64)
+            out, begin = [], 0
+            for part, own, _ in held:
+                here = total[where[begin:begin + len(own)]]
+                begin += len(own)
+                if (more := here > 1).any():
+                    out.append({"bucket": at, "part": part, "runs": pack(own[more]), "counts": pack_counts(here[more])})
+            return pa.RecordBatch.from_pylist(out, pa.schema(
+                [("bucket", pa.int32()), ("part", pa.int64()), ("runs", pa.binary()), ("counts", pa.binary())]))
+
+        for batch in batches:
+            for bucket, part, runs, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if bucket != at and held:
+                    yield flush()
+                    held = []
+                at = bucket
+                own = unpack(runs)
+                held.append((part, own, unpack_counts(counts, len(own))))
+        if held:
+            yield flush()
+
+    fields = "bucket int, part long, runs binary, counts binary"
+    for turn in range(slices):
+        def write(batches, turn=turn):
+            for batch in batches:
+                for bucket, part, runs, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                    for i, (r, c) in enumerate(zip(runs, counts)):
+                        with SharedFile(f"{folder}/{part}", f"{turn}-{bucket}-{i}") as file:
+                            file.write(len(r).to_bytes(8, "little") + r + c)
+                yield pa.RecordBatch.from_arrays([batch.column(1)], names=["part"])
+
+        sent = pages.select("host", "part", "place", "text").mapInArrow(send(np.uint64(turn)), fields)
+        answers = stage(sent.repartition("bucket").sortWithinPartitions("bucket", "part").mapInArrow(add, fields))
+        answers.select("bucket", "part", F.array("runs").alias("runs"), F.array("counts").alias("counts")).groupBy("bucket", "part").agg(
+                F.flatten(F.collect_list("runs")).alias("runs"), F.flatten(F.collect_list("counts")).alias("counts")).mapInArrow(
+                    write, "part long").agg(F.count("part")).first()
+        release(spark)
+    return folder
+
+
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text of every page."""
     ship(df.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract(column(df, url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = df.select(column(df, id_col).cast("long").alias("page_id"), column(df, url_col).alias("url"),
                      column(df, html_col).alias("html"), host.alias("host"))
-    rows = rows.withColumn("place", F.xxhash64("page_id", "url"))
-    rows = rows.repartitionByRange("host", "place").sortWithinPartitions("host", "place", "html")
+    pages = stage(parsed(rows.select("page_id", "url", "html", "host")))
+    words = pages.agg(F.sum("words")).first()[0] or 0
+    folder = repeats(pages, max(1, -(-words // BUCKET), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4))
 
     def run(batches):
-        at, held, old = None, [], 0
-
-        def flush():
-            texts = main_texts([h for _, _, h in held])[old:]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _, _ in held[old:]], pa.int64()), pa.array([u for _, u, _ in held[old:]], pa.string()),
-                 pa.array(texts, pa.string())], names=["page_id", "url", "text"])
-
-        size = 0
+        hashes, at = Runs(), None
         for batch in batches:
-            for key, url, html, host in zip(*(c.to_pylist() for c in batch.columns)):
-                if host != at:
-                    if len(held) > old:
-                        yield from flush()
-                    at, held, old, size = host, [], 0, 0
-                elif len(held) - old >= CHUNK or size >= CHARS:
-                    yield from flush()
-                    held, size = held[-CONTEXT:], 0
-                    old = len(held)
-                held.append((key, url, html))
-                size += len(html or "")
-        if len(held) > old:
-            yield from flush()
-
-    return rows.select("page_id", "url", "html", "host").mapInArrow(run, "page_id long, url string, text string")
+            ids, urls, hosts, parts, trust, want, texts = (c.to_pylist() for c in batch.columns)
+            out = []
+            for host, part, trusted, wanted, text in zip(hosts, parts, trust, want, texts):
+                if part != at:
+                    at, runs, counts = part, [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
+                    for data in read_files(folder, part):
+                        n = int.from_bytes(data[:8], "little")
+                        runs.append(unpack(data[8:8 + n]))
+                        counts.append(unpack_counts(data[8 + n:], len(runs[-1])))
+                    runs, place = np.unique(np.concatenate(runs), return_index=True)
+                    counts = np.append(np.concatenate(counts)[place], np.uint32(0))
+                    runs = np.append(runs, np.uint64(0))
+                stream = text.replace("\n", " ").split(" ") if text else []
+                own = np.concatenate([hashes(stream, host), hashes.host(host)])
+                spot = np.searchsorted(runs[:-1], own)
+                seen = np.where(runs[spot] == own, counts[spot], 0)
+                least = max(MANY, SHARE * int(seen[-1]))
+                out.append(main_text(text.split("\n") if text else [], list(wanted), trusted,
+                                     spread(seen[:-1] > 1, len(stream)), spread(seen[:-1] >= least, len(stream))))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(out, pa.string())],
+                                             names=["page_id", "url", "text"])
+
+    return pages.select("page_id", "url", "host", "part", "trusted", "wanted", "text").mapInArrow(
+        run, "page_id long, url string, text string")

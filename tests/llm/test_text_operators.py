@@ -173,6 +173,22 @@ def test_html_without_article_loses_what_pages_repeat():
     assert html.main_texts(pages[:1] * 2) == [f"{top}\n\na text of its own about rivers\n\n{end}"] * 2  # mirrors count once
 
 
+def test_html_repeats_hold_over_the_whole_host(spark, monkeypatch):
+    note, quote = "this note is under every one of our articles here", "a passage that only some of the articles quote at length"
+    rng = np.random.default_rng(9)
+    own = [" ".join(f"w{x}" for x in rng.integers(0, 9000, 40)) for _ in range(700)]
+    pages = [f"<article><p>{t}</p>{f'<p>{quote}</p>' if i % 3 == 0 else ''}<p>{note}</p></article>" if i < 600 else
+             f"<div>{t}</div>{'<div>a template that only two far pages of this host have</div>' if i in (600, 699) else ''}"
+             for i, t in enumerate(own)]
+    df = spark.createDataFrame([(i, "http://h/" if i < 690 or i == 699 else "http://o/", p) for i, p in enumerate(pages)]
+                               + [(700, "http://h/", pages[601]), (701, "http://h/", None)],
+                               "page_id long, url string, html string")
+    want = {i: t + (f"\n\n{quote}" if i % 3 == 0 and i < 600 else "") for i, t in enumerate(own)} | {700: own[601], 701: ""}
+    for parts, words in ((1, 1 << 20), (9, 300)):
+        monkeypatch.setattr(html, "PART", words)
+        assert {r["page_id"]: r["text"] for r in html.extract(df.repartition(parts)).collect()} == want
+
+
 def test_repeats_equal_brute_force():
     rng = np.random.default_rng(1)
     streams = [[str(w) for w in rng.integers(0, 4, rng.integers(0, 60))] for _ in range(12)]
