@@ -35,6 +35,7 @@ from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -253,30 +254,17 @@ def main_texts(pages: list[str | None]) -> list[str]:
     return out
 
 
-class Words(dict):
-    """64-bit hashes of words, made when first asked for."""
-
-    def __missing__(self, word: str) -> int:
-        h = self[word] = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "replace"), digest_size=8).digest(), "little")
-        return h
-
-
 class Runs:
     """Hashes of the runs of RUN words of a page."""
 
-    def __init__(self):
-        self.known = Words()
-
     def host(self, host: str) -> np.ndarray:
-        return np.array([self.known["//" + host]], np.uint64)
+        return np.array([xxhash.xxh3_64_intdigest("//" + host)], np.uint64)
 
     def __call__(self, words: list[str], host: str) -> np.ndarray:
         n = len(words) - RUN + 1
         if n <= 0:
             return np.zeros(0, np.uint64)
-        if len(self.known) > 500_000:
-            self.known.clear()
-        h, total = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words)), np.zeros(n, np.uint64)
+        h, total = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), np.zeros(n, np.uint64)
         for i in range(RUN):
             total = (total ^ (total >> np.uint64(31))) * STEP + h[i:i + n]
         total = (total ^ (total >> np.uint64(30))) * MIX + self.host(host)
@@ -383,9 +371,12 @@ def repeats(pages: DataFrame, buckets: int, slices: int = SLICES) -> str:
             hashes, at, held, again, size = Runs(), None, [], frozenset(), 0
 
             def flush():
-                both = [np.concatenate([h for h, c in held if c == counts] + [np.zeros(0, np.uint64)]) for counts in (True, False)]
-                runs, where = np.unique(np.concatenate(both), return_inverse=True)
-                counts = np.bincount(where[:len(both[0])], minlength=len(runs))
+                every = np.sort(np.concatenate([h for h, _ in held]))
+                begin = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])[:len(every)])
+                runs, counts = every[begin], np.diff(begin, append=len(every))
+                for h, counted in held:
+                    if not counted:  # the same words were counted before
+                        counts[np.searchsorted(runs, h)] -= 1
                 bucket = ((runs >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                 edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
                 for i in range(buckets):
@@ -418,14 +409,20 @@ def repeats(pages: DataFrame, buckets: int, slices: int = SLICES) -> str:
         at, held = None, []
 
         def flush():
-            runs, where = np.unique(np.concatenate([r for _, r, _ in held]), return_inverse=True)
-            total = np.bincount(where, np.concatenate([c for _, _, c in held]), len(runs)).astype(np.int64)
-            out, begin = [], 0
-            for part, own, _ in held:
-                here = total[where[begin:begin + len(own)]]
-                begin += len(own)
-                if (more := here > 1).any():
-                    out.append({"bucket": at, "part": part, "runs": pack(own[more]), "counts": pack_counts(here[more])})
+            every = np.sort(np.concatenate([r for _, r, _ in held] + [r[c > 1] for _, r, c in held]))
+            runs = every[:-1][every[1:] == every[:-1]]  # of several parts, or of several pages of one
+            runs = runs[np.concatenate([[True], runs[1:] != runs[:-1]])[:len(runs)]]
+            total, found = np.zeros(len(runs) + 1, np.int64), []
+            for _, own, counts in held:
+                spot = np.searchsorted(own, runs)
+                own = np.append(own, np.uint64(0))
+                found.append(np.flatnonzero((own[spot] == runs) & (spot < len(own) - 1)))
+                total[found[-1]] += counts[spot[found[-1]]]
+            out = []
+            for (part, _, _), here in zip(held, found):
+                here = here[total[here] > 1]
+                if len(here):
+                    out.append({"bucket": at, "part": part, "runs": pack(runs[here]), "counts": pack_counts(total[here])})
             return pa.RecordBatch.from_pylist(out, pa.schema(
                 [("bucket", pa.int32()), ("part", pa.int64()), ("runs", pa.binary()), ("counts", pa.binary())]))
 
@@ -455,6 +452,7 @@ def repeats(pages: DataFrame, buckets: int, slices: int = SLICES) -> str:
         answers.select("bucket", "part", F.array("runs").alias("runs"), F.array("counts").alias("counts")).groupBy("bucket", "part").agg(
                 F.flatten(F.collect_list("runs")).alias("runs"), F.flatten(F.collect_list("counts")).alias("counts")).mapInArrow(
                     write, "part long").agg(F.count("part")).first()
+        del sent, answers
         release(spark)
     return folder
 
