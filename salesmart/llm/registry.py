@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, dedup, html, jaccard, mixing, simhash, tokenfile, tools, toxicity, warc
+from . import bpe, dedup, html, jaccard, mixing, repeats, simhash, tokenfile, tools, toxicity, warc
 from .common import stage
 
 VOCABULARY, END_ID = 50_257, 2
@@ -94,6 +94,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = repeats.remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -201,7 +206,7 @@ FROM sets s JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) r ON r
 }
 
 OPERATORS = (op1_token_file, op2_curriculum_mix, op3_byte_bpe, op4_exact_dedup, op5_html_text, op6_simhash,
-             op7_warc, op8_toxicity, op9_tool_links, op10_jaccard_join)
+             op7_warc, op8_toxicity, op9_tool_links, op10_jaccard_join, op12_suffix_dedup)
 
 
 def queries():
