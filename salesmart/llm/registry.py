@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, dedup, html, jaccard, mixing, repeats, simhash, tokenfile, tools, toxicity, warc
+from . import bpe, dedup, html, jaccard, mixing, negatives, repair, repeats, simhash, tokenfile, tools, toxicity, warc
 from .common import stage
 
 VOCABULARY, END_ID = 50_257, 2
@@ -94,11 +94,22 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = repeats.remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.conversations(repair.pieces(repair.damage(turns)), turns)
+
+
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -184,6 +195,105 @@ FROM calls c JOIN depths d USING (call_id) LEFT JOIN answered a USING (call_id)
 UNION ALL
 SELECT conv_id, call_id, 'orphan', NULL, false, 'no call', result_id, NULL
 FROM results r WHERE NOT EXISTS (SELECT 1 FROM calls c WHERE c.call_id = r.call_id)""",
+    "op11_hard_negatives": """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q,
+         row_number() OVER () AS r
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.r AS ar, b.vec_id, b.r, a.label = b.label AS alike,
+         CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.vec_id % 100 = 0 AND a.r <> b.r),
+positives AS (
+  SELECT ar, anchor_id, vec_id AS positive_id, r AS pr, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.ar, p.pr ORDER BY s.score DESC, s.vec_id) AS place
+  FROM positives p JOIN scored s ON s.ar = p.ar AND NOT s.alike
+       AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE place <= 10""",
+    "op13_structure_repair": r"""
+WITH RECURSIVE named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations),
+-- CRC-32: eight shifts a byte
+faulty AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(
+           list_prepend(4294967295, list_transform(range(1, length(name) + 1), lambda p: CAST(unicode(substr(name, p, 1)) AS BIGINT))),
+           lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+                                    lambda x, z: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 20 AS fault
+  FROM named),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM faulty WHERE fault <> 0),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+         rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body, substr(role, 1, 1) AS c
+  FROM damaged),
+seen AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth,
+         c || lead(c) OVER (PARTITION BY conv_id ORDER BY i) AS pair
+  FROM ordered),
+turns AS (
+  SELECT *, body = '' AS blank, body <> '' AND nth > 1 AS duplicate,
+         body <> '' AND nth = 1 AND right(body, 1) NOT IN ('.', '!', '?') AS truncated
+  FROM seen),
+sums AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM turns GROUP BY conv_id),
+-- cheapest cost and least audit (k, a) of what is left, from the last turn on, for each state: start, system, user, assistant
+walk AS (
+  SELECT conv_id, n + 1 AS i, {'k': 0::BIGINT, 'a': ''} AS q0, {'k': 6::BIGINT, 'a': 'II'} AS qs,
+         {'k': 3::BIGINT, 'a': 'I'} AS qu, {'k': 0::BIGINT, 'a': ''} AS qa FROM sums
+  UNION ALL
+  SELECT conv_id, i,
+         least(b0, {'k': bu.k + 3, 'a': 'I' || bu.a}, {'k': ba.k + 6, 'a': 'II' || ba.a}),
+         least(bs, {'k': bu.k + 3, 'a': 'I' || bu.a}, {'k': ba.k + 6, 'a': 'II' || ba.a}),
+         least(bu, {'k': ba.k + 3, 'a': 'I' || ba.a}), least(ba, {'k': bu.k + 3, 'a': 'I' || bu.a})
+  FROM (
+    SELECT conv_id, i,
+           least({'k': q0.k + 4, 'a': 'D' || q0.a}, CASE WHEN stays AND c = 's' THEN {'k': qs.k + t, 'a': 'K' || qs.a}
+                 WHEN stays AND c = 'u' THEN {'k': qu.k + t, 'a': 'K' || qu.a} END, CASE WHEN stays THEN {'k': qu.k + 3 + t, 'a': 'R' || qu.a} END) AS b0,
+           least({'k': qs.k + 4, 'a': 'D' || qs.a}, CASE WHEN stays AND c = 'u' THEN {'k': qu.k + t, 'a': 'K' || qu.a} END,
+                 CASE WHEN stays THEN {'k': qu.k + 3 + t, 'a': 'R' || qu.a} END) AS bs,
+           least({'k': qu.k + 4, 'a': 'D' || qu.a}, CASE WHEN stays AND c = 'a' THEN {'k': qa.k + t, 'a': 'K' || qa.a} END,
+                 CASE WHEN stays THEN {'k': qa.k + 3 + t, 'a': 'R' || qa.a} END) AS bu,
+           least({'k': qa.k + 4, 'a': 'D' || qa.a}, CASE WHEN stays AND c = 'u' THEN {'k': qu.k + t, 'a': 'K' || qu.a} END,
+                 CASE WHEN stays THEN {'k': qu.k + 3 + t, 'a': 'R' || qu.a} END) AS ba
+    FROM (SELECT w.conv_id, m.i, w.q0, w.qs, w.qu, w.qa, m.c, NOT m.blank AND NOT m.duplicate AS stays,
+                 CASE WHEN m.truncated THEN 3 ELSE 0 END AS t
+          FROM walk w JOIN turns m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.i = w.i - 1))),
+answers AS (SELECT conv_id, q0.k AS cost, q0.a AS audit FROM walk WHERE i = 1),
+letters AS (SELECT conv_id, p, substr(audit, p, 1) AS l FROM (SELECT *, unnest(range(1, length(audit) + 1)) AS p FROM answers)),
+placed AS (
+  SELECT *, count(*) FILTER (l <> 'I') OVER run AS i, count(*) FILTER (l <> 'D') OVER run AS o
+  FROM letters WINDOW run AS (PARTITION BY conv_id ORDER BY p)),
+kept AS (
+  SELECT x.conv_id, x.p, x.l, x.o, m.role, coalesce(m.text, '') AS text,
+         max(CASE WHEN x.o = 1 AND x.l = 'K' AND m.c = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY x.conv_id) AS head
+  FROM placed x LEFT JOIN turns m ON m.conv_id IS NOT DISTINCT FROM x.conv_id AND m.i = x.i AND x.l <> 'I'
+  WHERE x.l <> 'D'),
+repaired AS (
+  SELECT conv_id, string_agg(CASE WHEN l = 'K' THEN role WHEN (o - head) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                             || ':' || text, chr(10) ORDER BY p) AS lines
+  FROM kept GROUP BY conv_id)
+SELECT c.conv_id, coalesce(s.gaps, 0) AS gaps, coalesce(s.blank, 0) AS blank, coalesce(s.duplicate, 0) AS duplicate,
+       coalesce(s.truncated, 0) AS truncated, coalesce(s.illegal, 0) AS illegal, coalesce(a.cost, 0) AS cost,
+       coalesce(a.audit, '') AS audit, sha256(coalesce(r.lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN answers a ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id""",
     "op10_jaccard_join": rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all({LOWERED}, '{WORDS}') AS w FROM documents),
@@ -206,7 +316,8 @@ FROM sets s JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) r ON r
 }
 
 OPERATORS = (op1_token_file, op2_curriculum_mix, op3_byte_bpe, op4_exact_dedup, op5_html_text, op6_simhash,
-             op7_warc, op8_toxicity, op9_tool_links, op10_jaccard_join, op12_suffix_dedup)
+             op7_warc, op8_toxicity, op9_tool_links, op10_jaccard_join, op11_hard_negatives,
+             op12_suffix_dedup, op13_structure_repair)
 
 
 def queries():
