@@ -15,7 +15,8 @@ score lies in the window from LOW to HIGH percent of p.
    block.  A block is read for an anchor's positives if it may hold its label
    and reaches the floor, for its negatives if it meets one of its windows.
 4. Chosen blocks meet the chunks that asked for them, one block and one chunk
-   at a time; each gives its best rows, and a ranking keeps the best of all.
+   at a time.  Some chunks read a lane of blocks one after the other and keep
+   their best rows so far; a ranking of the lanes' rows keeps the best of all.
 
 The bounds are exact, so nothing is lost, whatever the data; where vectors lie
 without order in many dimensions every block meets some window and is read.
@@ -38,8 +39,10 @@ from pyspark.sql import functions as F
 from .common import column, ship, stage
 
 SCALE, POSITIVES, NEGATIVES, LOW, HIGH = 256, 5, 10, 30, 90
-#: Vectors of a block, anchors of a chunk, blocks of a page of zone maps, chunks that share one sending of a block.
-BLOCK, CHUNK, PAGE, SHARE = 1024, 128, 1024, 64
+#: Vectors of a block, anchors of a chunk, blocks of a page of zone maps.
+BLOCK, CHUNK, PAGE = 1024, 128, 1024
+#: Chunks that share one sending of a block, and blocks whose best rows are merged before they are ranked.
+SHARE, LANE = 16, 64
 #: Dimensions and bits of each that the curve runs through.
 CURVE_DIMS, CURVE_BITS = 64, 2
 LIMIT32 = (1 << 31) - 1
@@ -66,7 +69,7 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> list[bytes]:
     turn = np.zeros(len(cells), np.int64)
     for bit in range(bits - 1, 0, -1):
         turn ^= np.where(x[-1] & (1 << bit), (1 << bit) - 1, 0)
-    index = np.stack([((c ^ turn) >> bit) & 1 for bit in range(bits - 1, -1, -1) for c in x], 1) if n else np.zeros((len(cells), 0))
+    index = np.stack([((c ^ turn) >> bit) & 1 for bit in range(bits - 1, -1, -1) for c in x], 1)
     return [row.tobytes() for row in np.packbits(index.astype(np.uint8), axis=1)]
 
 
@@ -77,10 +80,10 @@ class Space:
         self.dims, self.low, self.high = dims, low, high
         most = max(abs(low), abs(high))
         self.kind = "<i2" if most < 1 << 15 else "<i4"
-        self.exact = most * most * max(dims, 1) < 1 << 53  # then sums of products are exact as doubles
+        self.exact = most * most * dims < 1 << 53  # then sums of products are exact as doubles
 
     def matrix(self, packed: bytes) -> np.ndarray:
-        values = np.frombuffer(packed, self.kind).reshape(-1, self.dims) if self.dims else np.zeros((0, 0))
+        values = np.frombuffer(packed, self.kind).reshape(-1, self.dims)
         return values.astype(np.float64 if self.exact else np.int64)
 
     def pack(self, matrix: np.ndarray) -> bytes:
@@ -118,7 +121,7 @@ def _quantised(df: DataFrame, id_col: str, vector_col: str, label_col: str, anch
     found = rows.agg(F.max(F.size("vector")).alias("dims"), F.min(F.array_min("vector")).alias("low"),
                      F.max(F.array_max("vector")).alias("high")).first()
     ends = quantise(np.array([found["low"] or 0.0, found["high"] or 0.0]), scale).tolist()
-    space = Space(found["dims"] or 0, min(ends[0], 0), max(ends[1], 0))
+    space = Space(max(found["dims"] or 0, 1), min(ends[0], 0), max(ends[1], 0))
 
     def run(batches):
         for batch in batches:
@@ -193,7 +196,7 @@ def _chunks(blocks: DataFrame, space: Space, positives: int) -> DataFrame:
                 marked = np.flatnonzero(block["anchors"])
                 if not len(marked):
                     continue
-                matrix, labels = space.matrix(block["vectors"]).reshape(len(block["ids"]), -1), np.array(block["labels"])
+                matrix, labels = space.matrix(block["vectors"]), np.array(block["labels"])
                 for i in marked.tolist():
                     scores = matrix @ matrix[i]
                     like = np.flatnonzero(labels == labels[i])
@@ -262,9 +265,8 @@ def _chosen(chunks: DataFrame, pages: DataFrame, n_pages: int, space: Space, sha
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                vectors = space.matrix(row["vectors"]).reshape(len(row["ids"]), -1)
-                boxes = len(row["blocks"])
-                least, most = bounds(vectors, space.matrix(row["low"]).reshape(boxes, -1), space.matrix(row["high"]).reshape(boxes, -1))
+                vectors = space.matrix(row["vectors"])
+                least, most = bounds(vectors, space.matrix(row["low"]), space.matrix(row["high"]))
                 need = np.zeros(least.shape, bool)
                 if share is None:
                     for i, (label, floor) in enumerate(zip(row["labels"], row["floors"])):
@@ -286,49 +288,68 @@ def _chosen(chunks: DataFrame, pages: DataFrame, n_pages: int, space: Space, sha
     return joined.mapInArrow(run, "chunk long, block long, members array<int>")
 
 
-def _read(chosen: DataFrame, chunks: DataFrame, blocks: DataFrame, space: Space, pick, ddl: str) -> DataFrame:
+def _read(chosen: DataFrame, chunks: DataFrame, blocks: DataFrame, space: Space, pick, k: int, ddl: str) -> DataFrame:
     """Brings the chosen blocks and their chunks together and applies ``pick(block, chunk, members, scores)``.
 
+    It gives rows (key ..., id, row, score), of which the k best of each key in a lane are returned.
+
     Rows of a block come sorted: first its vectors, then the chunks that asked
     for it.  Only SHARE chunks or so share one sending of a block, so neither a
     block nor a chunk that many ask for gathers in one task.
     """
-    shares = max(1, -(-chunks.count() // SHARE))
-    share = F.pmod(F.xxhash64("chunk"), F.lit(shares))
-    data = chosen.join(chunks, "chunk").withColumn("share", share)
-    extra = "positives" if "positives" in chunks.columns else None
-    fields = ["ids", "labels", "rows", "vectors"]
-    left = chosen.select("block", share.alias("share")).distinct().join(blocks.select("block", *fields), "block")
-    none = F.lit(None)
-    chunk_rows = data.select("block", "share", F.lit(1).alias("kind"), "chunk", "members", *fields,
-                             (F.col(extra) if extra else none.cast("array<struct<member:int,place:int,score:bigint>>")).alias("positives"))
-    block_rows = left.select("block", "share", F.lit(0).alias("kind"), none.cast("long").alias("chunk"),
-                             none.cast("array<int>").alias("members"), *fields,
-                             none.cast("array<struct<member:int,place:int,score:bigint>>").alias("positives"))
     from pyspark.sql.pandas.types import to_arrow_schema
-    schema = to_arrow_schema(blocks.sparkSession.createDataFrame([], ddl).schema)
+
+    spark = blocks.sparkSession
+    schema = to_arrow_schema(spark.createDataFrame([], ddl).schema)
+    n_blocks, tasks = blocks.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = F.pmod(F.xxhash64("chunk"), F.lit(max(1, -(-chunks.count() // SHARE)))).alias("share")
+    lane = F.pmod(F.xxhash64("block"), F.lit(max(-(-n_blocks // LANE), min(n_blocks, tasks), 1))).alias("lane")
+    fields, asked = ["ids", "labels", "rows", "vectors"], "array<struct<member:int,place:int,score:bigint>>"
+    scores_asked = F.col("positives") if "positives" in chunks.columns else F.lit(None).cast(asked).alias("positives")
+    chunk_rows = chosen.join(chunks, "chunk").select(
+        lane, share, "block", F.lit(1).alias("kind"), "chunk", "members", *fields, scores_asked)
+    sent = chosen.select("block", share).distinct()
+    block_rows = sent.join(blocks.select("block", *fields), "block").select(
+        lane, "share", "block", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("chunk"),
+        F.lit(None).cast("array<int>").alias("members"), *fields, F.lit(None).cast(asked).alias("positives"))
 
     def run(batches):
-        block = None
+        block, group, found = None, None, {}
+
+        def least(rows):
+            return sorted(rows, key=lambda r: (-r[-1], r[-3], r[-2]))[:k]
+
+        def flush():
+            rows = [row for rows in found.values() for row in least(rows)]
+            for i in range(0, len(rows), 50_000):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), f.type) for c, f in zip(zip(*rows[i:i + 50_000]), schema)], schema=schema)
+
         for batch in batches:
-            out = []
             at = {name: i for i, name in enumerate(batch.schema.names)}
             for r in range(batch.num_rows):
                 get = lambda name: batch.column(at[name])[r]
-                n = len(get("ids"))
+                here = get("lane").as_py(), get("share").as_py()
+                if here != group:
+                    yield from flush()
+                    group, found = here, {}
                 own = {"ids": _ids(get("ids").values), "labels": get("labels").values.to_numpy(),
-                       "rows": get("rows").values.to_numpy(), "matrix": space.matrix(get("vectors").as_py()).reshape(n, -1)}
+                       "rows": get("rows").values.to_numpy(), "matrix": space.matrix(get("vectors").as_py())}
                 if get("kind").as_py() == 0:
                     block = own
                     continue
                 members = get("members").as_py()
                 scores = (own["matrix"][members] @ block["matrix"].T).astype(np.int64)
-                out += pick(block, own | {"chunk": get("chunk").as_py(), "positives": get("positives").as_py()}, members, scores)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+                chunk = own | {"chunk": get("chunk").as_py(), "positives": get("positives").as_py()}
+                for row in pick(block, chunk, members, scores):
+                    rows = found.setdefault(row[:-3], [])
+                    rows.append(row)
+                    if len(rows) >= 4 * k:
+                        found[row[:-3]] = least(rows)
+        yield from flush()
 
-    ready = block_rows.unionByName(chunk_rows).repartition("block", "share").sortWithinPartitions("block", "share", "kind", "chunk")
-    return ready.mapInArrow(run, ddl)
+    ready = block_rows.unionByName(chunk_rows).repartition("lane", "share")
+    return ready.sortWithinPartitions("lane", "share", "block", "kind", "chunk").mapInArrow(run, ddl)
 
 
 def mine(df: DataFrame, anchors: Column, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
@@ -346,7 +367,7 @@ def mine(df: DataFrame, anchors: Column, id_col: str = "vec_id", vector_col: str
             for j in best(s, block["ids"], mine_, positives).tolist():
                 yield chunk["chunk"], m, int(block["ids"][j]), int(block["rows"][j]), int(s[j])
 
-    found = _read(_chosen(chunks, pages, n_pages, space, None), chunks, blocks, space, lambda *a: list(like(*a)),
+    found = _read(_chosen(chunks, pages, n_pages, space, None), chunks, blocks, space, like, positives,
                   "chunk long, member int, id long, row long, score long")
     order = Window.partitionBy("chunk", "member").orderBy(F.desc("score"), "id", "row")
     ranked = stage(found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= positives))
@@ -365,7 +386,7 @@ def mine(df: DataFrame, anchors: Column, id_col: str = "vec_id", vector_col: str
                 for j in best(s, block["ids"], np.flatnonzero(other & (s >= a) & (s <= b)), negatives).tolist():
                     yield chunk["chunk"], m, p["place"], int(block["ids"][j]), int(block["rows"][j]), int(s[j])
 
-    hits = _read(_chosen(windowed, pages, n_pages, space, (low, high)), windowed, blocks, space, lambda *a: list(unlike(*a)),
+    hits = _read(_chosen(windowed, pages, n_pages, space, (low, high)), windowed, blocks, space, unlike, negatives,
                  "chunk long, member int, place int, negative long, row long, negative_score long")
     order = Window.partitionBy("chunk", "member", "place").orderBy(F.desc("negative_score"), "negative", "row")
     hits = hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= negatives)
