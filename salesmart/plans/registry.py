@@ -24,7 +24,7 @@ from ..session import configure, scratch_path
 from ..sinks import tables as sinks
 from ..sources import csv_landing, testdata
 from ..streaming.ingest import ingest_available
-from ..streaming.quota_stream import OUTPUT as QUOTA_OUTPUT, run_quota_stream
+from ..streaming.quota_stream import current_decisions, run_quota_stream
 from .adhoc import run_sql
 from .stage import Stager
 from .warehouse import warehouse
@@ -126,29 +126,37 @@ def _quota_remaining(spark, sf):
     return quota.remaining(testdata.request_log(spark, sf), QUOTA_TEST_LIMIT)
 
 
-def _quota_stream(spark, sf):
-    """The request log lands in three time-ordered chunks; the stream runs
-    once per chunk (availableNow), carrying its state across runs."""
+def _quota_stream_of(spark, sf, chunks_of):
+    """The request log lands in three chunks; the stream runs once per chunk
+    (availableNow), carrying its state across runs."""
     configure(spark)
     log = testdata.request_log(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
     base = scratch_path(spark, "quota_stream", unique=True)
     src, sink, ckpt = (os.path.join(base, p) for p in ("source", "sink", "checkpoint"))
-    bounds = log.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    if bounds["lo"] is not None:
-        lo, step = bounds["lo"], (bounds["hi"] - bounds["lo"]) / 3
-        edges = [None, lo + step, lo + 2 * step, None]
-        for i in range(3):
-            chunk = log
-            if edges[i] is not None:
-                chunk = chunk.where(F.col("ts") >= F.lit(edges[i]))
-            if edges[i + 1] is not None:
-                chunk = chunk.where(F.col("ts") < F.lit(edges[i + 1]))
-            chunk.write.mode("append").parquet(src)
-            run_quota_stream(spark, src, sink, ckpt, QUOTA_TEST_LIMIT)
-    out = spark.read.schema(QUOTA_OUTPUT).parquet(sink) if bounds["lo"] is not None \
-        else spark.createDataFrame([], QUOTA_OUTPUT)
-    return out.select("client", "request_id", F.col("ts").cast("timestamp_ntz").alias("ts"),
-                      "day", "admitted")
+    for chunk in chunks_of(log):
+        chunk.write.mode("append").parquet(src)
+        run_quota_stream(spark, src, sink, ckpt, QUOTA_TEST_LIMIT)
+    return current_decisions(spark, sink).select(
+        "client", "request_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "day", "admitted")
+
+
+def _quota_stream(spark, sf):
+    """Chunks in time order."""
+    def by_time(log):
+        bounds = log.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+        if bounds["lo"] is None:
+            return [log]
+        step = (bounds["hi"] - bounds["lo"]) / 3
+        third = (F.when(F.col("ts") < F.lit(bounds["lo"] + step), 0)
+                 .when(F.col("ts") < F.lit(bounds["lo"] + 2 * step), 1).otherwise(2))
+        return [log.where(third == i) for i in range(3)]
+    return _quota_stream_of(spark, sf, by_time)
+
+
+def _quota_stream_late(spark, sf):
+    """Chunks that each hold requests of all days, so most requests come late."""
+    return _quota_stream_of(spark, sf, lambda log: [
+        log.where(F.pmod(F.xxhash64("request_id"), F.lit(3)) == i) for i in range(3)])
 
 
 def _quota_remaining_as_of(spark, sf):
@@ -293,6 +301,7 @@ def queries() -> dict[str, Query]:
     q["quota_admission"] = _quota_admission
     q["quota_remaining"] = _quota_remaining
     q["quota_stream"] = _quota_stream
+    q["quota_stream_late"] = _quota_stream_late
     q["quota_remaining_as_of"] = _quota_remaining_as_of
     q["latest_run"] = _latest_run
     q["client_key"] = _client_key
@@ -335,6 +344,7 @@ def oracle_sql() -> dict[str, str]:
     s["quota_admission"] = oracle.quota_admission(QUOTA_TEST_LIMIT)
     s["quota_remaining"] = oracle.quota_remaining(QUOTA_TEST_LIMIT)
     s["quota_stream"] = oracle.quota_admission(QUOTA_TEST_LIMIT)
+    s["quota_stream_late"] = oracle.quota_admission(QUOTA_TEST_LIMIT)
     s["quota_remaining_as_of"] = oracle.quota_remaining_as_of(QUOTA_AS_OF, QUOTA_TEST_LIMIT)
     s["latest_run"] = oracle.latest_run(RUN_LOG_NOW.strftime("%Y-%m-%d %H:%M:%S"),
                                         RUN_LOG_PIPELINES)

@@ -1,94 +1,150 @@
-"""Daily query quota as a stateful stream (``applyInPandasWithState``).
-
-State per client: ``(day, used)`` -- the day of its last admitted-or-
-refused request and the counter for that day.  A request on another day
-resets the counter (as the original does when the stored date is not
-today); it is admitted while ``used < limit`` and only admitted requests
-count.  Within a micro-batch a client's requests are handled in
-``(ts, request_id)`` order; across batches the log is taken in arrival
-order, so on a log that arrives in time order the result equals the batch
-``quota.admissions``.
-
-State is O(1) per client and expires one day after the client's last
-day (event-time timeout under a one-day watermark).  The rows of one
-client in one micro-batch are held together, which the trigger size
-bounds.
+"""Daily query quota over a stream of request logs that may come late.
+
+A request is admitted iff it is among the first ``limit`` requests of its
+client on its day, whatever the order in which the log arrives.  So the state
+is what decides that: the ``limit`` first requests of every client-day
+(``firsts``), stored as a table partitioned by day and by the micro-batch
+that wrote it.  Each micro-batch (``foreachBatch``)
+
+1. reads the newest stored version of the days it touches (partition pruned);
+2. adds its own requests and keeps the ``limit`` first per client-day.  Spark
+   plans ``row_number() <= limit`` as a *partial* ``WindowGroupLimit`` before
+   the shuffle, so a client with a third of all requests brings ``limit`` rows
+   per task, not its whole traffic;
+3. answers its own requests by comparing them with the last admitted one, in
+   an equi join of which AQE can split a hot client-day;
+4. takes back the answers of earlier requests that a late one has pushed out.
+
+Answers are a log: partition ``batch``, and ``revision`` true for an answer
+taken back.  ``current_decisions`` gives the newest answer of each request.
+
+A micro-batch that is run again after a failure reads versions older than its
+own and overwrites exactly its own partitions, so the outcome is the same.
+Versions that a later committed one replaced are deleted.  With
+``keep_days`` the state of days that lie more than that many days before the
+newest day is dropped; requests for such a closed day are refused (``late``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from datetime import timedelta, timezone
+import os
+from datetime import date, timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from ..operators.quota import DAILY_LIMIT
+from ..plans.stage import Stager
+from ..session import configure
+from ..sinks.tables import _delete
 
-OUTPUT = "client string, request_id long, ts timestamp, day date, admitted boolean"
-STATE = "day date, used long"
 SOURCE = "client string, ts timestamp, request_id long"
+FIRSTS = SOURCE + ", day date, batch long"
+OUTPUT = "client string, request_id long, ts timestamp, day date, admitted boolean"
+DECISIONS = OUTPUT + ", revision boolean, late boolean, batch long"
+
+
+def firsts_path(sink_path: str) -> str:
+    return f"{sink_path.rstrip('/')}_firsts"
+
+
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A partitioned table; empty if nothing was written yet."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _write(df: DataFrame, path: str, *parts: str) -> None:
+    """Replaces the partitions that ``df`` has rows for, and no others."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(path))
+
+
+def _newest_versions(firsts: DataFrame, before: int) -> dict[date, int]:
+    """Day -> newest batch before ``before``; read off the partitions, one row per day."""
+    rows = (firsts.select("day", "batch").where(F.col("batch") < before)
+            .groupBy("day").agg(F.max("batch").alias("batch")).collect())
+    return {r["day"]: r["batch"] for r in rows}
+
+
+def _version_filter(versions: dict[date, int]):
+    chosen = F.lit(False)
+    for day, batch in versions.items():
+        chosen = chosen | (F.col("day").eqNullSafe(F.lit(day)) & (F.col("batch") == batch))
+    return chosen
+
+
+def decide(batch: DataFrame, batch_id: int, sink_path: str, limit: int = DAILY_LIMIT,
+           keep_days: int | None = None) -> None:
+    """One micro-batch: answers its requests and takes back what they push out."""
+    spark = batch.sparkSession
+    stager = Stager(spark, f"quota-{batch_id}")
+    requests = stager.put(batch.select("client", "ts", "request_id", F.to_date("ts").alias("day")), "requests")
+    touched = [r["day"] for r in requests.select("day").distinct().collect()]
+    if not touched:
+        return
+    state = firsts_path(sink_path)
+    stored = _read(spark, state, FIRSTS)
+    versions = _newest_versions(stored, batch_id)
+    known = [d for d in [*versions, *touched] if d is not None]
+    closed = max(known) - timedelta(days=keep_days) if keep_days is not None and known else None
+    is_open = F.lit(True) if closed is None else F.coalesce(F.col("day") >= F.lit(closed), F.lit(True))
+
+    prior = stored.where(_version_filter({d: v for d, v in versions.items() if d in touched})).select(
+        "client", "ts", "request_id", "day")
+    order = Window.partitionBy("client", "day").orderBy("ts", "request_id")
+    ranked = (prior.unionByName(requests.where(is_open)).withColumn("_rn", F.row_number().over(order))
+              .where(F.col("_rn") <= limit).drop("_rn"))
+    firsts = stager.put(ranked, "firsts")
+    cut = stager.stage(firsts.groupBy("client", "day").agg(F.max(F.struct("ts", "request_id")).alias("_cut"))
+                       .select(F.col("client").alias("_client"), F.col("day").alias("_day"), "_cut"), "cutoffs")
+    same = F.col("client").eqNullSafe(F.col("_client")) & F.col("day").eqNullSafe(F.col("_day"))
+    request = F.struct("ts", "request_id")
+
+    answers = requests.join(cut, same, "left").select(
+        "client", "request_id", "ts", "day",
+        F.coalesce((request <= F.col("_cut")) & is_open, F.lit(False)).alias("admitted"),
+        F.lit(False).alias("revision"), (~is_open).alias("late"))
+    taken_back = prior.join(cut, same).where(request > F.col("_cut")).select(
+        "client", "request_id", "ts", "day", F.lit(False).alias("admitted"),
+        F.lit(True).alias("revision"), F.lit(False).alias("late"))
+    number = F.lit(batch_id).cast("long").alias("batch")
+    _write(answers.unionByName(taken_back).select("*", number), sink_path, "batch")
+    _write(firsts.select("*", number), state, "day", "batch")
+
+    for day, version in versions.items():
+        # the newest version before this batch stays: a retry of this batch reads it
+        if day is None or (closed is not None and day < closed):
+            continue
+        for old in stored.where((F.col("day") == F.lit(day)) & (F.col("batch") < version)).select("batch").distinct().collect():
+            _delete(spark, os.path.join(state, f"day={day}", f"batch={old['batch']}"))
+    for day in versions:
+        if closed is not None and day is not None and day < closed:
+            _delete(spark, os.path.join(state, f"day={day}"))
+
+
+def current_decisions(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The newest answer of every request (``OUTPUT``); an answer taken back beats the one it revises."""
+    rows = _read(spark, sink_path, DECISIONS)
+    newest = F.max_by(F.col("admitted"), F.struct("batch", "revision")).alias("admitted")
+    return rows.groupBy("client", "request_id", "ts", "day").agg(newest)
 
 
-def _decide(limit: int):
-    def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-           ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        pdf = pd.concat(list(batches), ignore_index=True)
-        if pdf.empty:
-            return
-        pdf = pdf.sort_values(["ts", "request_id"], kind="stable", ignore_index=True)
-        pdf["day"] = pdf["ts"].dt.normalize()
-        last_day, used = (state.get if state.exists else (None, 0))
-        start = pd.Series(0, index=pdf.index)
-        if last_day is not None:
-            start[pdf["day"].dt.date == last_day] = used
-        rank = pdf.groupby("day", sort=False).cumcount() + start
-        pdf["admitted"] = rank < limit
-        final_day = pdf["day"].iloc[-1]
-        final_used = int(min(limit, rank[pdf["day"] == final_day].iloc[-1] + 1))
-        state.update((final_day.date(), final_used))
-        # expire the client one day after its last day ends (event time)
-        expire = (final_day + timedelta(days=2)).to_pydatetime()
-        state.setTimeoutTimestamp(int(expire.replace(tzinfo=timezone.utc).timestamp() * 1000))
-        pdf["day"] = pdf["day"].dt.date
-        yield pdf[["client", "request_id", "ts", "day", "admitted"]]
-    return fn
-
-
-def quota_query(stream: DataFrame, limit: int = DAILY_LIMIT) -> DataFrame:
-    return (stream.withWatermark("ts", "1 day").groupBy("client")
-            .applyInPandasWithState(_decide(limit), OUTPUT, STATE, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
-
-
-def run_quota_stream(spark: SparkSession, source_dir: str, sink_path: str,
-                     checkpoint: str, limit: int = DAILY_LIMIT,
-                     state_partitions: int | None = None,
-                     max_files_per_trigger: int | None = None) -> None:
-    """Process all request-log files not yet seen (availableNow).
-
-    The state store is split into ``state_partitions`` partitions (default:
-    the cluster's total cores), fixed when the checkpoint is created.  The
-    setting lives in a child session so the caller's settings stay as they
-    are.
-    """
-    from ..session import configure
-    ss = spark.newSession()
-    configure(ss)
-    n = state_partitions or spark.sparkContext.defaultParallelism
-    ss.conf.set("spark.sql.shuffle.partitions", str(n))
-    reader = ss.readStream.schema(SOURCE)
+def run_quota_stream(spark: SparkSession, source_dir: str, sink_path: str, checkpoint: str,
+                     limit: int = DAILY_LIMIT, max_files_per_trigger: int | None = None,
+                     keep_days: int | None = None) -> None:
+    """Process all request-log files not yet seen (availableNow)."""
+    session = configure(spark.newSession())
+    for name in ("spark.sql.shuffle.partitions",):
+        session.conf.set(name, spark.conf.get(name))
+    reader = session.readStream.schema(SOURCE)
     if max_files_per_trigger:
-        # bounds a micro-batch, and with it the rows one client brings to a task
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.parquet(source_dir)
-    q = (quota_query(src, limit).writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start(sink_path))
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    query = (reader.parquet(source_dir).writeStream
+             .foreachBatch(lambda df, n: decide(df, n, sink_path, limit, keep_days))
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
