@@ -41,6 +41,8 @@ from ..sinks.tables import _delete
 SOURCE = "client string, ts timestamp, request_id long"
 FIRSTS = SOURCE + ", day date, batch long"
 OUTPUT = "client string, request_id long, ts timestamp, day date, admitted boolean"
+#: Name of the partition of a null day.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 DECISIONS = OUTPUT + ", revision boolean, late boolean, batch long"
 
 
@@ -62,11 +64,16 @@ def _write(df: DataFrame, path: str, *parts: str) -> None:
      .partitionBy(*parts).parquet(path))
 
 
-def _newest_versions(firsts: DataFrame, before: int) -> dict[date, int]:
-    """Day -> newest batch before ``before``; read off the partitions, one row per day."""
-    rows = (firsts.select("day", "batch").where(F.col("batch") < before)
-            .groupBy("day").agg(F.max("batch").alias("batch")).collect())
-    return {r["day"]: r["batch"] for r in rows}
+def _versions(spark: SparkSession, path: str, before: int) -> dict[date | None, list[int]]:
+    """Day -> batches before ``before`` that stored a version of it, from the names of the partitions."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "day=*", "batch=*"))
+    found: dict[date | None, list[int]] = {}
+    for status in pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []:
+        target = status.getPath()
+        day, batch = target.getParent().getName()[len("day="):], int(target.getName()[len("batch="):])
+        if batch < before:
+            found.setdefault(None if day == NO_DAY else date.fromisoformat(day), []).append(batch)
+    return {day: sorted(batches) for day, batches in found.items()}
 
 
 def _version_filter(versions: dict[date, int]):
@@ -87,12 +94,12 @@ def decide(batch: DataFrame, batch_id: int, sink_path: str, limit: int = DAILY_L
         return
     state = firsts_path(sink_path)
     stored = _read(spark, state, FIRSTS)
-    versions = _newest_versions(stored, batch_id)
+    versions = _versions(spark, state, batch_id)
     known = [d for d in [*versions, *touched] if d is not None]
     closed = max(known) - timedelta(days=keep_days) if keep_days is not None and known else None
     is_open = F.lit(True) if closed is None else F.coalesce(F.col("day") >= F.lit(closed), F.lit(True))
 
-    prior = stored.where(_version_filter({d: v for d, v in versions.items() if d in touched})).select(
+    prior = stored.where(_version_filter({d: v[-1] for d, v in versions.items() if d in touched})).select(
         "client", "ts", "request_id", "day")
     order = Window.partitionBy("client", "day").orderBy("ts", "request_id")
     ranked = (prior.unionByName(requests.where(is_open)).withColumn("_rn", F.row_number().over(order))
@@ -112,17 +119,16 @@ def decide(batch: DataFrame, batch_id: int, sink_path: str, limit: int = DAILY_L
         F.lit(True).alias("revision"), F.lit(False).alias("late"))
     number = F.lit(batch_id).cast("long").alias("batch")
     _write(answers.unionByName(taken_back).select("*", number), sink_path, "batch")
-    _write(firsts.select("*", number), state, "day", "batch")
+    # few files per day, and a day with many clients is split over several writers
+    _write(firsts.select("*", number).hint("rebalance", "day"), state, "day", "batch")
 
-    for day, version in versions.items():
-        # the newest version before this batch stays: a retry of this batch reads it
-        if day is None or (closed is not None and day < closed):
-            continue
-        for old in stored.where((F.col("day") == F.lit(day)) & (F.col("batch") < version)).select("batch").distinct().collect():
-            _delete(spark, os.path.join(state, f"day={day}", f"batch={old['batch']}"))
-    for day in versions:
+    for day, batches in versions.items():
+        folder = os.path.join(state, f"day={NO_DAY if day is None else day}")
         if closed is not None and day is not None and day < closed:
-            _delete(spark, os.path.join(state, f"day={day}"))
+            _delete(spark, folder)
+            continue
+        for old in batches[:-1]:  # a retry of this batch reads the newest version before it
+            _delete(spark, os.path.join(folder, f"batch={old}"))
 
 
 def current_decisions(spark: SparkSession, sink_path: str) -> DataFrame:
