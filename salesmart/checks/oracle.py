@@ -431,3 +431,35 @@ def adhoc(name: str) -> str:
 def appended_twice(name: str) -> str:
     return (_with("fact", extra=[_MONTHLY[name]])
             + f"SELECT * FROM {name} UNION ALL SELECT * FROM {name}")
+
+
+# ---------------------------------------------------------------- landing files
+
+
+def landed_after_replacement() -> str:
+    """The files of ids divisible by 4 were landed again with even products only."""
+    return ("WITH " + ",\n".join(_landing("fact")) + "\nSELECT * FROM land_transactions "
+            "WHERE transaction_id % 4 <> 0 OR product_id % 2 = 0")
+
+
+def monthly_of_even_orders(name: str) -> str:
+    """A metric after the line items were landed again without odd orders."""
+    return monthly(name).replace("FROM lineitem l ", "FROM (SELECT * FROM lineitem WHERE l_orderkey % 2 = 0) l ")
+
+
+def awkward_products() -> str:
+    """Names with quotes, separators, line breaks and blanks, whatever the order of the columns."""
+    return """SELECT p_partkey AS product_id,
+       CASE p_partkey % 5 WHEN 0 THEN p_name || ', "M8"' WHEN 1 THEN p_name || chr(10) || 'second line'
+            WHEN 2 THEN '"' || p_name || '"' WHEN 3 THEN '  ' || p_name || ' ' ELSE p_name END AS product_name,
+       p_type AS product_category, CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS VARCHAR) AS unit_price
+FROM part"""
+
+
+def bad_product_records() -> str:
+    """Records of three and of five fields, and keys that are no numbers."""
+    return """SELECT 'products' AS table_name, CASE WHEN p_partkey % 50 < 2 THEN 'malformed' ELSE 'unparsable' END AS reason,
+       CASE WHEN p_partkey % 50 = 2 THEN 'product_id' END AS column_name,
+       CASE p_partkey % 50 WHEN 0 THEN p_partkey || ',short,c' WHEN 1 THEN p_partkey || ',n,c,1.00,long'
+            ELSE 'k' || p_partkey || ',n,c,1.00' END AS record
+FROM part WHERE p_partkey % 50 < 3"""

@@ -8,6 +8,7 @@ checkpoint folder.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -23,7 +24,8 @@ from ..schemas import DIMENSIONS, METRICS
 from ..session import configure, scratch_path
 from ..sinks import tables as sinks
 from ..sources import csv_landing, testdata
-from ..streaming.ingest import ingest_available
+from ..sources.listing import list_files
+from ..streaming.ingest import ingest_available, ingest_changed, landed
 from ..streaming.quota_stream import current_decisions, run_quota_stream
 from .adhoc import run_sql
 from .stage import Stager
@@ -277,6 +279,87 @@ def _ingest_stream(spark, sf):
     return quality.cleanse_transactions(fact, dims)
 
 
+def _land_files(spark, rows, folder: str) -> None:
+    """CSV files ``<file>.csv`` by the column ``file``, one task each; files of the same name are replaced."""
+    part = f"{folder}_{uuid.uuid4().hex[:8]}"
+    rows.repartition("file").write.partitionBy("file").option("header", True).csv(part)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for file in list_files(spark, part):
+        source = jvm.org.apache.hadoop.fs.Path(file.path)
+        target = jvm.org.apache.hadoop.fs.Path(folder, f"{source.getParent().getName()}.csv")
+        jvm.org.apache.hadoop.fs.FileUtil.copy(source.getFileSystem(conf), source, target.getFileSystem(conf), target, True, True, conf)
+
+
+def _ingest_replaced(spark, sf):
+    """Landed files, of which a quarter is landed again with fewer rows under the old names."""
+    configure(spark)
+    base = scratch_path(spark, "ingest_replaced", unique=True)
+    src, sink = os.path.join(base, "source"), os.path.join(base, "landed")
+    n = 4 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+    land = testdata.landing_table(spark, sf, "transactions", "fact").withColumn("file", F.pmod("transaction_id", F.lit(n)))
+    _land_files(spark, land, src)
+    ingest_changed(spark, src, "transactions", sink)
+    _land_files(spark, land.where("transaction_id % 4 = 0 AND product_id % 2 = 0"), src)
+    ingest_changed(spark, src, "transactions", sink)
+    return landed(spark, sink, "transactions")
+
+
+def _fresh_after_relanding(spark, sf):
+    """A warehouse over a copy of the input, again after its line items were landed anew."""
+    configure(spark)
+    copy = scratch_path(spark, "relanded", unique=True)
+    for t in testdata.SOURCES:
+        spark.read.parquet(os.path.join(sf, f"{t}.parquet")).write.parquet(os.path.join(copy, f"{t}.parquet"))
+    warehouse(spark, copy).monthly("monthly_payment").count()
+    lines = spark.read.parquet(os.path.join(sf, "lineitem.parquet")).where(F.col("l_orderkey") % 2 == 0)
+    lines.write.mode("overwrite").parquet(os.path.join(copy, "lineitem.parquet"))
+    return warehouse(spark, copy).monthly("monthly_payment")
+
+
+def _awkward_products(spark, sf):
+    """Products whose names hold quotes, separators, line breaks and blanks."""
+    p = testdata.read(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
+    kind, name = F.col("p_partkey") % 5, F.col("p_name")
+    return p.select(F.col("p_partkey").alias("product_id"),
+                    F.when(kind == 0, F.concat(name, F.lit(', "M8"'))).when(kind == 1, F.concat(name, F.lit("\nsecond line")))
+                    .when(kind == 2, F.concat(F.lit('"'), name, F.lit('"'))).when(kind == 3, F.concat(F.lit("  "), name, F.lit(" ")))
+                    .otherwise(name).alias("product_name"),
+                    F.col("p_type").alias("product_category"),
+                    F.col("p_retailprice").cast("decimal(10,2)").cast("string").alias("unit_price"))
+
+
+def _land_awkward(spark, sf) -> str:
+    """Two orders of columns, and files with records of three or five fields and keys that are no numbers."""
+    base = scratch_path(spark, "landing_csv", "awkward", unique=True)
+    rows = _awkward_products(spark, sf)
+    csv_landing.land_csv(rows.where(F.col("product_id") % 2 == 0), os.path.join(base, "plain"))
+    csv_landing.land_csv(rows.where(F.col("product_id") % 2 == 1)
+                         .select("unit_price", F.lit("x").alias("note"), "product_name", "product_id", "product_category"),
+                         os.path.join(base, "reordered"))
+    key, kind = F.col("product_id").cast("string"), F.col("product_id") % 50
+    line = (F.when(kind == 0, F.concat(key, F.lit(",short,c"))).when(kind == 1, F.concat(key, F.lit(",n,c,1.00,long")))
+            .when(kind == 2, F.concat(F.lit("k"), key, F.lit(",n,c,1.00"))))
+    head = spark.range(4).select(F.col("id").alias("b"), F.lit(0).alias("o"),
+                                 F.lit("product_id,product_name,product_category,unit_price").alias("value"))
+    body = rows.select((F.col("product_id") % 4).alias("b"), F.lit(1).alias("o"), line.alias("value")).where("value IS NOT NULL")
+    # each of the four files is written by one task, its header first
+    (head.unionByName(body).repartition("b").sortWithinPartitions("b", "o").select("b", "value")
+     .write.partitionBy("b").text(os.path.join(base, "broken")))
+    return base
+
+
+def _csv_awkward(spark, sf):
+    configure(spark)
+    rows = csv_landing.read_landing_csv(spark, _land_awkward(spark, sf), "products")
+    return rows.where("product_id IS NOT NULL")
+
+
+def _csv_bad_records(spark, sf):
+    configure(spark)
+    bad = csv_landing.bad_records(spark, _land_awkward(spark, sf), "products")
+    return bad.select("table_name", "reason", "column_name", "record")
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for name in SPECS:
@@ -317,6 +400,10 @@ def queries() -> dict[str, Query]:
     q["export_csv_roundtrip"] = _export_roundtrip
     q["ingest_csv_roundtrip"] = _ingest_csv_roundtrip
     q["ingest_stream_available_now"] = _ingest_stream
+    q["ingest_replaced_file"] = _ingest_replaced
+    q["warehouse_fresh_after_relanding"] = _fresh_after_relanding
+    q["csv_awkward_fields"] = _csv_awkward
+    q["csv_bad_records"] = _csv_bad_records
     return q
 
 
@@ -361,4 +448,8 @@ def oracle_sql() -> dict[str, str]:
     s["export_csv_roundtrip"] = oracle.monthly("monthly_product")
     s["ingest_csv_roundtrip"] = oracle.dq_table("transactions", "fact")
     s["ingest_stream_available_now"] = oracle.dq_table("transactions", "fact")
+    s["ingest_replaced_file"] = oracle.landed_after_replacement()
+    s["warehouse_fresh_after_relanding"] = oracle.monthly_of_even_orders("monthly_payment")
+    s["csv_awkward_fields"] = oracle.awkward_products()
+    s["csv_bad_records"] = oracle.bad_product_records()
     return s

@@ -11,7 +11,8 @@ under the shared checkpoint folder and re-read, so
 * a lost executor costs at most a re-read of a stored table;
 * every broadcast decision rests on a measured row count.
 
-Warehouses are memoised per (application, input folder, options).
+Warehouses are memoised per (application, input folder, options) until a
+file of the input folder changes.
 """
 
 from __future__ import annotations
@@ -28,9 +29,10 @@ from ..operators.rollups import ROLLUPS, rollup
 from ..schemas import DIMENSIONS, KEYS
 from ..sinks.tables import refresh
 from ..sources import csv_landing, testdata
+from ..sources.listing import fingerprint
 from .stage import Stager
 
-_CACHE: dict[tuple, "Warehouse"] = {}
+_CACHE: dict[tuple, tuple[str, "Warehouse"]] = {}
 
 
 class Warehouse:
@@ -215,9 +217,15 @@ def from_csv(spark: SparkSession, folder: str, strategy: str = "eager") -> Wareh
 
 def warehouse(spark: SparkSession, sf_dir: str, faults: str = "fact",
               strategy: str = "eager") -> Warehouse:
-    """Memoised warehouse of ``sf_dir`` for this Spark application."""
+    """Memoised warehouse of ``sf_dir`` for this Spark application.
+
+    A table that was landed again gives a new warehouse: the memo also
+    holds the names, times and sizes of the files it was built from.
+    """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), faults, strategy)
-    wh = _CACHE.get(key)
-    if wh is None:
-        wh = _CACHE[key] = Warehouse(spark, sf_dir, faults, strategy=strategy)
+    state = fingerprint(spark, *(os.path.join(sf_dir, f"{t}.parquet") for t in testdata.SOURCES))
+    built, wh = _CACHE.get(key, ("", None))
+    if wh is None or built != state:
+        wh = Warehouse(spark, sf_dir, faults, strategy=strategy)
+        _CACHE[key] = state, wh
     return wh

@@ -18,18 +18,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import LANDING, MONEY
+from .listing import fingerprint
 
 
-_SCANS: dict[tuple[str, str], DataFrame] = {}
+#: Driver tables that the star schema is made from.
+SOURCES = ("customer", "nation", "supplier", "orders", "part", "lineitem")
+
+_SCANS: dict[tuple[str, str], tuple[str, DataFrame]] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one driver table (memoised: the footer read happens once)."""
+    """Scan of one driver table (memoised until its files change: the footer read happens once)."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    return _SCANS[key]
+    key, state = (spark.sparkContext.applicationId, path), fingerprint(spark, path)
+    if _SCANS.get(key, ("",))[0] != state:
+        _SCANS[key] = state, spark.read.parquet(path)
+    return _SCANS[key][1]
 
 
 def _conform(df: DataFrame, table: str) -> DataFrame:
