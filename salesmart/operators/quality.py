@@ -14,18 +14,20 @@ Because step 3 runs after step 2, an invalid copy still takes its valid
 twin down with it; because step 1 runs first, a NULL-bearing copy does not.
 
 Physical shape (transactions).  A naive plan would shuffle the full fact
-once for the duplicate rule and once more per dimension semi join.  Here
-every rule is reduced to a set of *transaction ids* to remove:
-
-* duplicate ids come from ``groupBy(id).count()`` (map-side partial
-  aggregation, so a hot id collapses before the shuffle);
-* orphan ids come from the *distinct* fact keys per dimension (again
-  pre-aggregated) anti-joined with the dimension keys, joined back to the
-  ``(id, key)`` pairs only for the usually few missing keys;
-* the union of those ids (deduplicated) is removed with a single anti
-  join, the only place where whole fact rows are shuffled -- or none at
-  all when the staged set's measured size allows a broadcast.  A hot id
-  on the fact side is split by AQE's skew-join handling.
+once for the duplicate rule and once more per dimension semi join.  Here the
+fact is read three times, and whole rows move at most once:
+
+1. ``faulty_keys``: every complete row counts its five keys (its id and one per
+   dimension) in one aggregation, pre-aggregated on the map side.  Ids counted
+   twice and keys that their dimension lacks remain, usually few.
+2. ``rejected_marks``: every row is marked with what is wrong with it, one
+   skinny mark per fault; keys are looked up among the faulty ones in a single
+   join.  The staged marks are the classification of the fact: the cleansing,
+   the orphan report and the rejects report all read them instead of the fact.
+3. The ids that the marks remove leave in one anti join, the only place where
+   whole fact rows are shuffled -- or none at all when the staged set's
+   measured size allows a broadcast.  A hot id on the fact side is split by
+   AQE's skew-join handling.
 
 This is equivalent to the row-by-row rules: after the duplicate rule each
 surviving id names exactly one row, and the value checks are row-local.
@@ -112,35 +114,52 @@ def drop_invalid(df: DataFrame, table: str) -> DataFrame:
     return df if cond is None else df.where(~cond)
 
 
-def missing_dimension_keys(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """``(dimension, key_value)``: distinct fact keys absent from a dimension.
+#: Tags of marks besides the dimensions' names; the fact's name marks a repeated id.
+FACT, MISSING, INVALID = "transactions", "missing", "invalid"
 
-    ``key NOT IN (SELECT key FROM dim)`` per dimension.  The fact side is
-    reduced to its distinct keys first (map-side partial aggregation), so
-    the anti join moves one row per key, not per transaction.  The
-    dimensions must already be cleansed (keys non-NULL), so ``NOT IN`` and
-    the anti join agree.
+
+def _key_marks() -> list:
+    """(tag, key) of a fact row: its id and its key into each dimension."""
+    keys = {FACT: KEYS[FACT], **FACT_KEYS}
+    return [F.struct(F.lit(tag).alias("tag"), F.col(c).cast("long").alias("key")) for tag, c in keys.items()]
+
+
+def faulty_keys(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """``(tag, key)``: ids that complete rows hold twice, and keys absent from their dimension.
+
+    ``key NOT IN (SELECT key FROM dim)`` per dimension: the dimensions must
+    already be cleansed (keys non-NULL), so it agrees with the outer join's
+    misses.  One pass over the fact counts all keys at once; the join moves
+    one row per key, not per transaction.
+    """
+    passed = drop_missing(fact, REQUIRED[FACT])
+    counted = (passed.select(F.explode(F.array(*_key_marks())).alias("mark"))
+               .groupBy(F.col("mark.tag").alias("tag"), F.col("mark.key").alias("key"))
+               .agg(F.count(F.lit(1)).alias("copies")))
+    known = reduce(DataFrame.unionByName, [
+        dims[table].select(F.lit(table).alias("tag"), F.col(key).cast("long").alias("key"), F.lit(True).alias("known"))
+        for table, key in FACT_KEYS.items()])
+    faulty = F.when(F.col("tag") == FACT, F.col("copies") > 1).otherwise(F.col("known").isNull())
+    return counted.join(known, ["tag", "key"], "left").where(faulty).select("tag", "key")
+
+
+def rejected_marks(fact: DataFrame, dims: dict[str, DataFrame], stage: Stage = lazy_stage) -> DataFrame:
+    """``(transaction_id, tag, key)``: what is wrong with which row, one row per fault.
+
+    Tags: ``missing`` (then nothing else is looked at), the fact's name for
+    every copy of a repeated id, ``invalid`` values, and a dimension's name for
+    a key that it lacks.
     """
-    parts = []
-    for table, key in FACT_KEYS.items():
-        dim_keys = dims[table].select(key).where(F.col(key).isNotNull())
-        lost = fact.select(key).distinct().join(dim_keys, key, "left_anti")
-        parts.append(lost.select(F.lit(table).alias("dimension"),
-                                 F.col(key).alias("key_value")))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def orphan_ids(fact: DataFrame, dims: dict[str, DataFrame], id_col: str,
-               stage: Stage = lazy_stage) -> DataFrame:
-    """``(id, dimension, key_value)`` of fact rows with a key missing in a dimension."""
-    lost = stage(missing_dimension_keys(fact, dims), "missing_keys")
-    parts = []
-    for table, key in FACT_KEYS.items():
-        keys = lost.where(F.col("dimension") == table).select(F.col("key_value").alias(key))
-        parts.append(fact.select(id_col, key).join(keys, key, "left_semi")
-                     .select(id_col, F.lit(table).alias("dimension"),
-                             F.col(key).alias("key_value")))
-    return reduce(DataFrame.unionByName, parts)
+    id_col = KEYS[FACT]
+    faulty = stage(faulty_keys(fact, dims), "missing_keys")
+    only = lambda tag: F.struct(F.lit(tag).alias("tag"), F.lit(None).cast("long").alias("key"))
+    none = F.array().cast("array<struct<tag:string,key:bigint>>")
+    marks = F.when(missing(FACT), F.array(only(MISSING))).otherwise(
+        F.concat(F.array(*_key_marks()), F.when(invalid_values(FACT), F.array(only(INVALID))).otherwise(none)))
+    rows = fact.select(F.col(id_col), F.explode(marks).alias("mark")).select(id_col, "mark.tag", "mark.key")
+    found = rows.join(faulty.withColumn("faulty", F.lit(True)), ["tag", "key"], "left")
+    wrong = F.col("faulty").isNotNull() | F.col("tag").isin(MISSING, INVALID)
+    return stage(found.where(wrong).select(id_col, "tag", "key"), "rejected_marks")
 
 
 # --------------------------------------------------------------------------
@@ -168,57 +187,73 @@ def cleanse_dimension(df: DataFrame, table: str, stage: Stage = lazy_stage) -> D
     return to_typed(kept, table)
 
 
-def transaction_removals(fact: DataFrame, dims: dict[str, DataFrame],
-                         stage: Stage = lazy_stage) -> DataFrame:
+def transaction_removals(marks: DataFrame) -> DataFrame:
     """Ids the duplicate and referential rules remove (after the NULL rule)."""
-    key = KEYS["transactions"]
-    passed = drop_missing(fact, REQUIRED["transactions"])
-    dup = duplicate_keys(passed, [key])
-    # distinct before the union: an id with many orphan rows collapses
-    # map-side; no aggregate sits on top of the union, so the anti join's
-    # build side is a plain shuffle and AQE can split a hot id there
-    orph = orphan_ids(passed, dims, key, stage).select(key).distinct()
-    return dup.unionByName(orph)
-
-
-def cleanse_transactions(fact: DataFrame, dims: dict[str, DataFrame],
-                         stage: Stage = lazy_stage) -> DataFrame:
-    """Cleansed, typed fact.  ``dims`` must be the cleansed dimensions."""
-    key = KEYS["transactions"]
-    passed = drop_missing(fact, REQUIRED["transactions"])
-    removed = stage(transaction_removals(fact, dims, stage), "removed_ids")
-    kept = drop_invalid(passed, "transactions").join(removed, key, "left_anti")
-    return to_typed(kept, "transactions")
+    # a hot id collapses map-side; once staged, the anti join's build side is
+    # a plain shuffle and AQE can split the hot id on the fact side
+    return marks.where(~F.col("tag").isin(MISSING, INVALID)).select(KEYS[FACT]).distinct()
+
+
+def cleanse_transactions(fact: DataFrame, dims: dict[str, DataFrame], stage: Stage = lazy_stage,
+                         marks: DataFrame | None = None) -> DataFrame:
+    """Cleansed, typed fact.  ``dims`` must be the cleansed dimensions; ``marks``
+    are those of ``rejected_marks``, if they are at hand."""
+    marks = rejected_marks(fact, dims, stage) if marks is None else marks
+    removed = stage(transaction_removals(marks), "removed_ids")
+    passed = drop_missing(fact, REQUIRED[FACT])
+    kept = drop_invalid(passed, FACT).join(removed, KEYS[FACT], "left_anti")
+    return to_typed(kept, FACT)
 
 
 # --------------------------------------------------------------------------
 # reports
 
 
-def referential_orphans(fact: DataFrame, dims: dict[str, DataFrame],
-                        stage: Stage = lazy_stage) -> DataFrame:
+def _spoiled(marks: DataFrame, *tags: str) -> DataFrame:
+    return marks.where(F.col("tag").isin(*tags)).select(KEYS[FACT]).distinct()
+
+
+def referential_orphans(fact: DataFrame, dims: dict[str, DataFrame], stage: Stage = lazy_stage,
+                        marks: DataFrame | None = None) -> DataFrame:
     """Orphan report: rows that reach the referential check and fail it.
 
     One row per (transaction, failing dimension); a row can fail several.
     """
-    key = KEYS["transactions"]
-    passed = drop_missing(fact, REQUIRED["transactions"])
-    reaching = drop_invalid(drop_all_duplicates(passed, [key], stage), "transactions")
-    return orphan_ids(reaching, dims, key, stage)
+    key = KEYS[FACT]
+    marks = rejected_marks(fact, dims, stage) if marks is None else marks
+    spoiled = stage(_spoiled(marks, FACT, INVALID), "spoiled_ids")
+    return (marks.where(F.col("tag").isin(*FACT_KEYS)).join(spoiled, key, "left_anti")
+            .select(key, F.col("tag").alias("dimension"), F.col("key").alias("key_value")))
+
+
+def transaction_reasons(marks: DataFrame, stage: Stage = lazy_stage) -> DataFrame:
+    """``(transaction_id, reason)`` of every removed fact row, from the marks alone."""
+    key = KEYS[FACT]
+    reason = lambda df, text: df.select(key, F.lit(text).alias("reason"))
+    repeated = stage(_spoiled(marks, FACT), "repeated_ids")
+    spoiled = stage(_spoiled(marks, FACT, INVALID), "spoiled_ids")
+    orphans = marks.where(F.col("tag").isin(*FACT_KEYS)).select(key).distinct()
+    return reduce(DataFrame.unionByName, [
+        reason(marks.where(F.col("tag") == MISSING), "missing"),
+        reason(marks.where(F.col("tag") == FACT), "duplicate"),
+        reason(marks.where(F.col("tag") == INVALID).join(repeated, key, "left_anti"), "invalid"),
+        reason(orphans.join(spoiled, key, "left_anti"), "orphan")])
 
 
 def reject_reasons(df: DataFrame, table: str, dims: dict[str, DataFrame] | None = None,
-                   stage: Stage = lazy_stage) -> DataFrame:
+                   stage: Stage = lazy_stage, marks: DataFrame | None = None) -> DataFrame:
     """``(table_name, <key>, reason)`` for every removed row.
 
     The reason is the first rule that removes the row: ``missing``,
-    ``duplicate``, ``invalid`` (value) or ``orphan`` (reference).  One
-    classification pass: the rows passing the NULL rule are left-joined to
-    the (staged, distinct) duplicate-key set and, for the fact, to the
-    orphan-id set; both joins are on the key, so the table is shuffled at
-    most once (not at all when the sets are small enough to broadcast).
+    ``duplicate``, ``invalid`` (value) or ``orphan`` (reference).  The fact's
+    come from its marks.  A dimension is classified in one pass: its complete
+    rows are left-joined to the (staged) duplicate-key set, so it is shuffled
+    at most once, not at all when that set is small enough to broadcast.
     """
     key = KEYS[table]
+    if table == FACT:
+        out = transaction_reasons(rejected_marks(df, dims, stage) if marks is None else marks, stage)
+        return out.select(F.lit(table).alias("table_name"), key, "reason")
     miss = df.where(missing(table)).select(key, F.lit("missing").alias("reason"))
     passed = drop_missing(df, REQUIRED[table])
     dups = stage(duplicate_keys(passed, [key]), f"{table}_duplicate_keys")
@@ -227,15 +262,8 @@ def reject_reasons(df: DataFrame, table: str, dims: dict[str, DataFrame] | None
     cond = invalid_values(table)
     if cond is not None:
         reason = reason.when(cond, F.lit("invalid"))
-    if table == "transactions":
-        # ids with a missing dimension key, over the same rows the cleansing sees
-        orph = stage(orphan_ids(passed, dims, key, stage).select(key).distinct(),
-                     "orphan_ids")
-        flagged = flagged.join(orph.withColumn("_orphan", F.lit(True)), key, "left")
-        reason = reason.when(F.col("_orphan"), F.lit("orphan"))
     removed = flagged.select(key, reason.alias("reason")).where(F.col("reason").isNotNull())
-    out = miss.unionByName(removed)
-    return out.select(F.lit(table).alias("table_name"), key, "reason")
+    return miss.unionByName(removed).select(F.lit(table).alias("table_name"), key, "reason")
 
 
 def reject_counts(rejects: DataFrame) -> DataFrame:

@@ -82,10 +82,7 @@ def _dedupe_drop_all(spark, sf):
 
 
 def _ref_orphans(spark, sf):
-    wh = _wh(spark, sf, "all")
-    dims = {d: wh.clean(d) for d in DIMENSIONS}
-    return quality.referential_orphans(wh.landing("transactions"), dims,
-                                       Stager(spark, "orphans").stage)
+    return _wh(spark, sf, "all").orphans()
 
 
 def _rejects(spark, sf):

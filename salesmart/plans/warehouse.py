@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ _CACHE: dict[tuple, tuple[str, "Warehouse"]] = {}
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, faults: str = "fact",
                  materialize: bool = True, strategy: str = "eager",
-                 landing: dict[str, DataFrame] | None = None):
+                 landing: dict[str, DataFrame] | None = None, malformed: DataFrame | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.faults = faults
@@ -46,6 +47,7 @@ class Warehouse:
         tag = f"wh-{faults}-{strategy}"
         self.stager = Stager(spark, tag, enabled=materialize)
         self._landing_override = landing
+        self._malformed = malformed
         self._tables: dict[str, DataFrame] = {}
 
     def _concurrently(self, fns) -> None:
@@ -88,35 +90,48 @@ class Warehouse:
                 df = quality.cleanse_dimension(self.landing(table), table,
                                                self._named_stage(table))
             else:
-                # the landed fact and the four cleansed dimensions are independent
-                self._concurrently([lambda: self.landing("transactions")] +
-                                   [lambda d=d: self.clean(d) for d in DIMENSIONS])
-                dims = {d: self.clean(d) for d in DIMENSIONS}
-                df = quality.cleanse_transactions(self.landing("transactions"), dims,
-                                                  self.stager.stage)
+                df = quality.cleanse_transactions(self.landing("transactions"), self._dimensions(),
+                                                  self.stager.stage, self.marks())
             # dimensions are stored bucketed on their (now unique) key
             bucket = KEYS[table] if table in DIMENSIONS else None
             self._tables[key] = self.stager.put(df, key, bucket_by=bucket)
         return self._tables[key]
 
+    def _dimensions(self) -> dict[str, DataFrame]:
+        # the landed fact and the four cleansed dimensions are independent
+        self._concurrently([lambda: self.landing("transactions")] +
+                           [lambda d=d: self.clean(d) for d in DIMENSIONS])
+        return {d: self.clean(d) for d in DIMENSIONS}
+
+    def marks(self) -> DataFrame:
+        """Stored classification of the fact: what is wrong with which row."""
+        if "marks" not in self._tables:
+            dims = self._dimensions()
+            self._tables["marks"] = quality.rejected_marks(self.landing("transactions"), dims, self.stager.stage)
+        return self._tables["marks"]
+
+    def orphans(self) -> DataFrame:
+        """(transaction_id, dimension, key_value) of references that fail, from the marks."""
+        return quality.referential_orphans(None, None, self._named_stage("orphans"), self.marks())
+
     def rejects(self) -> DataFrame:
         """Stored rejects report of all five tables: (table_name, key_value, reason)."""
         if "rejects" not in self._tables:
-            self.clean("transactions")
-            dims = {d: self.clean(d) for d in DIMENSIONS}
+            marks = self.marks()
             tables = DIMENSIONS + ("transactions",)
             built: dict[str, DataFrame] = {}
 
             def build(t: str) -> None:
                 # each table stages its own small sets; the five are independent
-                r = quality.reject_reasons(self.landing(t), t,
-                                           dims if t == "transactions" else None,
-                                           self._named_stage(f"rejects_{t}"))
+                r = quality.reject_reasons(self.landing(t), t, None, self._named_stage(f"rejects_{t}"),
+                                           marks if t == "transactions" else None)
                 built[t] = r.select("table_name", F.col(r.columns[1]).alias("key_value"),
                                     "reason")
 
             self._concurrently([lambda t=t: build(t) for t in tables])
             parts = [built[t] for t in tables]
+            if self._malformed is not None:
+                parts.append(self._malformed.select("table_name", F.lit(None).cast("long").alias("key_value"), "reason"))
             out = parts[0]
             for p in parts[1:]:
                 out = out.unionByName(p)
@@ -209,10 +224,16 @@ class Warehouse:
 
 def from_csv(spark: SparkSession, folder: str, strategy: str = "eager") -> Warehouse:
     """Warehouse over landed CSV files: ``<folder>/<table>/`` per base table
-    (customers, employees, payments, products, transactions), header row."""
+    (customers, employees, payments, products, transactions), header row.
+
+    Records with too few or too many fields are in the rejects report as ``malformed``.
+    """
+    tables = DIMENSIONS + ("transactions",)
+    bad = [csv_landing.bad_records(spark, os.path.join(folder, t), t) for t in tables]
+    malformed = reduce(DataFrame.unionByName, bad).where(F.col("reason") == csv_landing.MALFORMED)
     landing = {t: csv_landing.read_landing_csv(spark, os.path.join(folder, t), t)
-               for t in DIMENSIONS + ("transactions",)}
-    return Warehouse(spark, folder, "csv", strategy=strategy, landing=landing)
+               for t in tables}
+    return Warehouse(spark, folder, "csv", strategy=strategy, landing=landing, malformed=malformed)
 
 
 def warehouse(spark: SparkSession, sf_dir: str, faults: str = "fact",

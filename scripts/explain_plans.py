@@ -42,9 +42,12 @@ def main() -> None:
          lambda: testdata.transactions(spark, sf)),
         ("Cleansing of the fact; staged sets measured small, so broadcast",
          lambda: quality.cleanse_transactions(land, dims, st.stage)),
-        ("Removed-id set with broadcasting off (the 100 TB shape): duplicate ids by "
-         "partial aggregation, orphan ids from distinct keys, fact side ships (id, key) only",
-         lambda: quality.transaction_removals(land, dims, st.stage)),
+        ("Faulty keys with broadcasting off (the 100 TB shape): all five keys of a row "
+         "counted in one aggregation, one join with the dimensions' keys",
+         lambda: quality.faulty_keys(land, dims)),
+        ("Marks of the rejected rows with broadcasting off: keys looked up in one join, "
+         "fact side ships (id, tag, key) only",
+         lambda: quality.rejected_marks(land, dims)),
         ("Cleansing with broadcasting off (the 100 TB shape): one sort-merge anti join "
          "against the staged removed-id set, both sides plain shuffles (AQE skew split)",
          lambda: quality.cleanse_transactions(land, dims, st.stage)),
@@ -56,9 +59,8 @@ def main() -> None:
          lambda: wh.rollup("customer", "quarterly")),
         ("KPI period totals: one pass over the fact, labels exploded from monthly rows",
          lambda: kpi.period_totals(wh.clean("transactions"))),
-        ("Rejects of the fact with broadcasting off: one classification pass (left joins "
-         "to the staged duplicate and orphan id sets on the same key)",
-         lambda: quality.reject_reasons(land, "transactions", dims, st.stage)),
+        ("Rejects of the fact with broadcasting off: from the staged marks, without the fact",
+         lambda: quality.transaction_reasons(wh.marks(), st.stage)),
         ("Quota cut-offs: partial WindowGroupLimit before the exchange",
          lambda: quota._cutoffs(quota._with_day(log), 5)),
         ("Quota admission: requests joined to the staged cut-offs",

@@ -90,3 +90,27 @@ def test_staged_row_counts_are_observed_exactly(spark):
     assert st.staged["plain"]._rows == back.count() == df.count()
     assert st.staged["bucketed"]._rows == bucketed.count() == df.count()
     assert st.fits_broadcast("plain")
+
+
+def _scans(df, path):
+    """How many scans of the stored fact a plan holds (one entry)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    leaves = [leaves.apply(i) for i in range(leaves.size())]
+    roots = [x.relation().location().rootPaths().mkString(",") for x in leaves if x.nodeName() == "LogicalRelation"]
+    return [sum(path in r for r in roots)]
+
+
+def test_the_fact_is_read_three_times_and_never_by_the_reports(spark, sf_small):
+    """Marks: one pass counts the keys, one marks the rows; the reports read the marks."""
+    from salesmart.operators import quality
+    w = Warehouse(spark, sf_small, "all")
+    fact = w.stager.staged["landing_transactions"].path if w.landing("transactions") else ""
+    dims = {d: w.clean(d) for d in ("customers", "employees", "payments", "products")}
+    assert len(w.landing("transactions").inputFiles()) > 0 and fact
+    assert _scans(quality.faulty_keys(w.landing("transactions"), dims), fact) == [1]
+    faulty = w.stager.put(quality.faulty_keys(w.landing("transactions"), dims), "faulty")
+    marks = quality.rejected_marks(w.landing("transactions"), dims, lambda df, name: faulty if name == "missing_keys" else df)
+    assert _scans(marks, fact) == [1]
+    assert _scans(quality.cleanse_transactions(w.landing("transactions"), dims, w.stager.stage, w.marks()), fact) == [1]
+    for report in (w.orphans(), quality.transaction_reasons(w.marks())):
+        assert _scans(report, fact) == [0]

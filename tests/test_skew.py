@@ -71,3 +71,28 @@ def test_hot_client_day_is_split_and_exact(spark):
                 spark.conf.set(k, v)
     assert {r["count"] for r in got} == {5}
     assert "skew=true" in plan, plan
+
+
+def test_rejects_of_a_hot_id_and_hot_keys(spark):
+    """A third of the rows share an id, another third lacks the same customer: every row has its reason."""
+    n = 3000
+    rows = [(7 if i % 3 == 0 else 100 + i, "2020-01-05 00:00:00", 99 if i % 3 == 1 else 1, 1, 1, 1, 1,
+             "x" if i % 30 in (0, 1) else "1.00") for i in range(n)] + [(None, "t", 1, 1, 1, 1, 1, "1.00")] * 500
+    fact = spark.createDataFrame(rows, LANDING["transactions"]).repartition(6)
+    dims = {t: spark.createDataFrame([(1,)], f"{k} long") for t, k in quality.FACT_KEYS.items()}
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    try:
+        for k, v in SKEW_CONF.items():
+            spark.conf.set(k, v)
+        st = Stager(spark, "t_skew_rejects")
+        marks = quality.rejected_marks(fact, dims, st.stage)
+        got = {r["reason"]: r["count"] for r in quality.transaction_reasons(marks, st.stage).groupBy("reason").count().collect()}
+        orphans = quality.referential_orphans(None, None, st.stage, marks).groupBy("dimension", "key_value").count().collect()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert got == {"duplicate": n // 3, "invalid": n // 30, "orphan": n // 3 - n // 30, "missing": 500}
+    assert [tuple(r) for r in orphans] == [("customers", 99, n // 3 - n // 30)]
