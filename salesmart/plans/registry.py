@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..checks import oracle
 from ..functions.columns import client_key
 from ..operators import kpi, preview, quality, quota, runs
+from ..operators.distinct_state import SKETCH_ERROR, distinct_in_periods, estimated_in_periods
 from ..operators.metrics import SPECS, average_columns, monthly_metric
 from ..operators.rollups import ROLLUPS, exact_distinct_rollup
 from ..schemas import DIMENSIONS, METRICS
@@ -104,6 +105,21 @@ def _employee_exact(period: str) -> Query:
     return q
 
 
+def _exact_from_state(entity: str, period: str) -> Query:
+    return lambda spark, sf: _wh(spark, sf).exact_rollup(entity, period)
+
+
+def _sketch_within_error(spark, sf):
+    """Exact customers per employee and year, and whether the sketches' estimate is within its error."""
+    wh = _wh(spark, sf)
+    exact = distinct_in_periods(wh.distinct_state("monthly_employee"), "monthly_employee", "yearly")
+    rough = estimated_in_periods(wh.distinct_state("monthly_employee", "sketches"), "monthly_employee", "yearly")
+    name = "unique_customers_serviced"
+    joined = exact.join(rough.withColumnRenamed(name, "estimate"), ["year", "employee_id"], "left")
+    error = F.abs(F.col("estimate") - F.col(name)) <= F.greatest(F.lit(1.0), F.col(name) * SKETCH_ERROR)
+    return joined.select("year", "employee_id", name, F.coalesce(error, F.lit(False)).alias("within_error"))
+
+
 def _kpi_period_totals(spark, sf):
     return kpi.period_totals(_wh(spark, sf).clean("transactions"))
 
@@ -376,6 +392,10 @@ def queries() -> dict[str, Query]:
     q["dq_reject_counts"] = _reject_counts
     q["yearly_employee_exact"] = _employee_exact("yearly")
     q["quarterly_employee_exact"] = _employee_exact("quarterly")
+    for entity in ("employee", "payment"):
+        for period in ("quarterly", "yearly"):
+            q[f"{period}_{entity}_from_state"] = _exact_from_state(entity, period)
+    q["yearly_employee_sketch"] = _sketch_within_error
     q["kpi_period_totals"] = _kpi_period_totals
     q["kpi_first_seen_customers"] = _kpi_first_seen
     q["quota_admission"] = _quota_admission
@@ -423,6 +443,10 @@ def oracle_sql() -> dict[str, str]:
     s["dq_reject_counts"] = oracle.reject_counts()
     s["yearly_employee_exact"] = oracle.employee_exact("yearly")
     s["quarterly_employee_exact"] = oracle.employee_exact("quarterly")
+    for period in ("quarterly", "yearly"):
+        s[f"{period}_employee_from_state"] = oracle.employee_exact(period)
+        s[f"{period}_payment_from_state"] = oracle.payment_exact(period)
+    s["yearly_employee_sketch"] = oracle.employee_distinct_within_error()
     s["kpi_period_totals"] = oracle.kpi_period_totals()
     s["kpi_first_seen_customers"] = oracle.kpi_first_seen_customers()
     s["quota_admission"] = oracle.quota_admission(QUOTA_TEST_LIMIT)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality
+from ..operators.distinct_state import exact_rollup, monthly_bitmaps, monthly_sketches
 from ..operators.metrics import SPECS, monthly_metric
 from ..operators.rollups import ROLLUPS, rollup
 from ..schemas import DIMENSIONS, KEYS
@@ -164,6 +165,19 @@ class Warehouse:
             self._tables[name] = self.stager.put(df, name)
         return self._tables[name]
 
+    def distinct_state(self, name: str, kind: str = "bitmaps") -> DataFrame:
+        """Stored mergeable monthly state of a metric's distinct measure (``bitmaps`` or ``sketches``)."""
+        key = f"{name}_{kind}"
+        if key not in self._tables:
+            make = {"bitmaps": monthly_bitmaps, "sketches": monthly_sketches}[kind]
+            self._tables[key] = self.stager.put(make(self.clean("transactions"), name), key)
+        return self._tables[key]
+
+    def exact_rollup(self, entity: str, period: str) -> DataFrame:
+        """Roll-up with true distinct counts, merged from stored monthly state."""
+        source = ROLLUPS[entity].source
+        return exact_rollup(self.monthly(source), self.distinct_state(source), entity, period)
+
     def publish(self, root: str, months: list[str] | None = None,
                 names: tuple[str, ...] = tuple(SPECS)) -> dict[str, str]:
         """Write the monthly tables under ``root/<name>``, partitioned by month.
