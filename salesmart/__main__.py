@@ -6,7 +6,9 @@
 ``--csv`` reads ``<folder>/<table>/`` CSV files (header row) for the five base
 tables; ``--tables`` maps the driver's test tables instead.  Written under
 ``--out``: the cleansed tables, the monthly tables partitioned by
-``month_year`` (``--months`` recomputes only those months in place), the
+``month_year`` (``--months`` recomputes only those months in place;
+``--mode append`` adds the rows under ``--load-id`` instead, by default a
+fingerprint of the input, so that a rerun over the same input adds nothing), the
 quarterly and yearly roll-ups, and the rejects report.
 """
 
@@ -21,6 +23,7 @@ from .plans.warehouse import from_csv, warehouse
 from .schemas import BASE_TABLES
 from .session import build_session, configure
 from .sinks.tables import refresh
+from .sources.listing import fingerprint
 
 
 def main(argv: list[str] | None = None) -> dict:
@@ -31,6 +34,8 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--faults", default="fact", choices=["fact", "all", "none"])
     ap.add_argument("--out", required=True, help="output root")
     ap.add_argument("--months", nargs="*", help="recompute only these yyyy-MM months")
+    ap.add_argument("--mode", default="refresh", choices=["refresh", "append"], help="how monthly tables are written")
+    ap.add_argument("--load-id", help="name of an append; another name appends the rows again")
     ap.add_argument("--master", default=None, help="e.g. local[8]; omit under spark-submit")
     args = ap.parse_args(argv)
 
@@ -39,13 +44,17 @@ def main(argv: list[str] | None = None) -> dict:
     else:
         from pyspark.sql import SparkSession
         spark = configure(SparkSession.builder.getOrCreate())
-    wh = from_csv(spark, args.csv) if args.csv else warehouse(spark, args.tables, args.faults)
+    wh = (from_csv(spark, args.csv, partition_fact=True) if args.csv
+          else warehouse(spark, args.tables, args.faults, partition_fact=True))
+    load_id = None
+    if args.mode == "append":
+        load_id = args.load_id or "-".join([fingerprint(spark, args.csv or args.tables), *sorted(args.months or ())])
 
     written = {}
     for t in BASE_TABLES:
         written[t] = os.path.join(args.out, "clean", t)
         refresh(wh.clean(t), written[t])
-    written.update(wh.publish(os.path.join(args.out, "monthly"), args.months))
+    written.update(wh.publish(os.path.join(args.out, "monthly"), args.months, load_id=load_id))
     for entity in ROLLUPS:
         for period in ("quarterly", "yearly"):
             name = f"{period}_{entity}"

@@ -420,6 +420,13 @@ def preview_first_n(n: int) -> str:
   FROM land_products) x WHERE line_no <= {n}"""
 
 
+def all_product_lines() -> str:
+    """Every product row as a CSV line, numbered by product."""
+    return _with("none", ["products"]) + """SELECT ROW_NUMBER() OVER (ORDER BY product_id) AS line_no,
+       concat_ws(',', CAST(product_id AS VARCHAR), product_name, product_category, unit_price) AS line
+FROM land_products"""
+
+
 ADHOC = {
     "adhoc_sql": """SELECT customer_state, CAST(SUM(total_money_spent) AS DECIMAL(18,2)) AS revenue,
        CAST(COUNT(DISTINCT customer_id) AS BIGINT) AS customers

@@ -225,6 +225,25 @@ def _append_twice(spark, sf):
     return spark.read.schema(METRICS["monthly_customer"]).parquet(path)
 
 
+def _append_loads(*loads: str) -> Query:
+    """Appends under names; a name that comes again is a retry."""
+    def q(spark, sf):
+        df = _wh(spark, sf).monthly("monthly_customer")
+        path = scratch_path(spark, "sink", "loads", unique=True)
+        for load in loads:
+            sinks.append_load(df, path, load)
+        return sinks.read_loads(spark, path, METRICS["monthly_customer"])
+    return q
+
+
+def _all_lines(spark, sf):
+    """Every product line of all landed files, numbered through, headers left out."""
+    configure(spark)
+    path = scratch_path(spark, "landing_csv", "lines", unique=True)
+    csv_landing.land_csv(testdata.landing_table(spark, sf, "products", "none").orderBy("product_id"), path)
+    return preview.numbered_lines(spark, path, skip_header=True, stage=Stager(spark, "lines").stage)
+
+
 def _refresh_twice(spark, sf):
     df = _wh(spark, sf).monthly("monthly_customer")
     path = scratch_path(spark, "sink", "refresh", unique=True)
@@ -412,6 +431,9 @@ def queries() -> dict[str, Query]:
     for name in oracle.ADHOC:
         q[name] = _adhoc(name)
     q["metrics_append_twice"] = _append_twice
+    q["metrics_append_retry"] = _append_loads("first", "first")
+    q["metrics_append_loads"] = _append_loads("first", "first", "second", "second")
+    q["preview_all_lines"] = _all_lines
     q["metrics_refresh_twice"] = _refresh_twice
     q["metrics_month_refresh"] = _month_refresh
     q["export_csv_roundtrip"] = _export_roundtrip
@@ -464,6 +486,9 @@ def oracle_sql() -> dict[str, str]:
     for name in oracle.ADHOC:
         s[name] = oracle.adhoc(name)
     s["metrics_append_twice"] = oracle.appended_twice("monthly_customer")
+    s["metrics_append_retry"] = oracle.monthly("monthly_customer")
+    s["metrics_append_loads"] = oracle.appended_twice("monthly_customer")
+    s["preview_all_lines"] = oracle.all_product_lines()
     s["metrics_refresh_twice"] = oracle.monthly("monthly_customer")
     s["metrics_month_refresh"] = oracle.monthly("monthly_customer")
     s["export_csv_roundtrip"] = oracle.monthly("monthly_product")

@@ -84,7 +84,8 @@ class Stager:
     enabled: bool = True
     staged: dict[str, Staged] = field(default_factory=dict)
 
-    def put(self, df: DataFrame, name: str, bucket_by: str | None = None) -> DataFrame:
+    def put(self, df: DataFrame, name: str, bucket_by: str | None = None,
+            partition_by: str | None = None) -> DataFrame:
         """Write ``df`` once, return the re-read table (lazy when disabled).
 
         ``bucket_by`` stores the table hash-bucketed on that column (one file
@@ -92,6 +93,8 @@ class Stager:
         table at the staged path.  Only for *unique* keys (cleansed
         dimensions): a bucket can then never be skewed, and later joins and
         aggregations on the key read this side without a shuffle.
+        ``partition_by`` stores one folder per value; the rebalance keeps the
+        files few and splits a value with many rows over several writers.
         """
         if not self.enabled:
             return df
@@ -106,6 +109,10 @@ class Stager:
              .bucketBy(n, bucket_by).sortBy(bucket_by).option("path", path)
              .saveAsTable(table))
             back = self.spark.table(table)
+        elif partition_by:
+            (counted.hint("rebalance", partition_by).write.mode("overwrite")
+             .partitionBy(partition_by).parquet(path))
+            back = self.spark.read.schema(df.schema).parquet(path)
         else:
             counted.write.mode("overwrite").parquet(path)
             back = self.spark.read.schema(df.schema).parquet(path)

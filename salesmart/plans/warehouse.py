@@ -29,18 +29,21 @@ from ..operators.distinct_state import exact_rollup, monthly_bitmaps, monthly_sk
 from ..operators.metrics import SPECS, monthly_metric
 from ..operators.rollups import ROLLUPS, rollup
 from ..schemas import DIMENSIONS, KEYS
-from ..sinks.tables import refresh
+from ..sinks.tables import append_load, refresh
 from ..sources import csv_landing, testdata
 from ..sources.listing import fingerprint
 from .stage import Stager
 
+MONTH_COLUMN = "month_year"
+
 _CACHE: dict[tuple, tuple[str, "Warehouse"]] = {}
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, faults: str = "fact",
                  materialize: bool = True, strategy: str = "eager",
-                 landing: dict[str, DataFrame] | None = None, malformed: DataFrame | None = None):
+                 landing: dict[str, DataFrame] | None = None, malformed: DataFrame | None = None,
+                 partition_fact: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.faults = faults
@@ -49,6 +52,7 @@ class Warehouse:
         self.stager = Stager(spark, tag, enabled=materialize)
         self._landing_override = landing
         self._malformed = malformed
+        self.partition_fact = partition_fact
         self._tables: dict[str, DataFrame] = {}
 
     def _concurrently(self, fns) -> None:
@@ -93,6 +97,10 @@ class Warehouse:
             else:
                 df = quality.cleanse_transactions(self.landing("transactions"), self._dimensions(),
                                                   self.stager.stage, self.marks())
+                if self.partition_fact:
+                    self._tables["fact_by_month"] = self._put_by_month(df)
+                    self._tables[key] = self._tables["fact_by_month"].drop(MONTH_COLUMN)
+                    return self._tables[key]
             # dimensions are stored bucketed on their (now unique) key
             bucket = KEYS[table] if table in DIMENSIONS else None
             self._tables[key] = self.stager.put(df, key, bucket_by=bucket)
@@ -178,31 +186,43 @@ class Warehouse:
         source = ROLLUPS[entity].source
         return exact_rollup(self.monthly(source), self.distinct_state(source), entity, period)
 
+    def fact_by_month(self) -> DataFrame:
+        """The cleansed fact, stored with one partition per month (column ``month_year``)."""
+        if "fact_by_month" not in self._tables:
+            fact = self.clean("transactions")
+            if "fact_by_month" not in self._tables:  # clean() has stored it when partition_fact is set
+                self._tables["fact_by_month"] = self._put_by_month(fact)
+        return self._tables["fact_by_month"]
+
+    def _put_by_month(self, fact: DataFrame) -> DataFrame:
+        month = fact.withColumn(MONTH_COLUMN, F.date_format("timestamp", "yyyy-MM"))
+        return self.stager.put(month, "fact_by_month", partition_by=MONTH_COLUMN)
+
     def publish(self, root: str, months: list[str] | None = None,
-                names: tuple[str, ...] = tuple(SPECS)) -> dict[str, str]:
+                names: tuple[str, ...] = tuple(SPECS), load_id: str | None = None) -> dict[str, str]:
         """Write the monthly tables under ``root/<name>``, partitioned by month.
 
-        With ``months`` only those months are recomputed from the cleansed
-        fact and only their partitions are replaced, so re-running a month
-        never double-counts it; a month that has become empty loses its
-        partition.  Without ``months`` the whole table is replaced: months
-        that are gone from the data are gone from it, too.
+        With ``months`` only those months are recomputed, from their partitions
+        of the cleansed fact, and only their partitions are replaced, so
+        re-running a month never double-counts it; a month that has become
+        empty loses its partition.  Without ``months`` the whole table is
+        replaced: months that are gone from the data are gone from it, too.
+
+        With ``load_id`` the rows are appended instead, once under that name
+        (``sinks.tables.append_load``); a retry changes nothing.
         """
-        fact = self.clean("transactions")
-        if months:
-            bounds = [(F.to_timestamp(F.lit(m + "-01")).cast("timestamp_ntz"),
-                       F.add_months(F.to_date(F.lit(m + "-01")), 1).cast("timestamp_ntz"))
-                      for m in months]
-            cond = None
-            for lo, hi in bounds:
-                c = (F.col("timestamp") >= lo) & (F.col("timestamp") < hi)
-                cond = c if cond is None else cond | c
-            fact = fact.where(cond)
         paths = {}
         for name in names:
             spec = SPECS[name]
-            df = monthly_metric(fact, self.dimension_side(spec.dimension), spec, self.strategy)
+            if months:
+                fact = self.fact_by_month().where(F.col(MONTH_COLUMN).isin(months))
+                df = monthly_metric(fact, self.dimension_side(spec.dimension), spec, self.strategy)
+            else:
+                df = self.monthly(name)
             paths[name] = os.path.join(root, name)
+            if load_id:
+                append_load(df, paths[name], load_id)
+                continue
             # rebalance, not repartition: few files per month, and AQE splits
             # a month holding a large share of the rows over several writers
             refresh(df.hint("rebalance", "month_year"), paths[name], partition_by="month_year",
@@ -236,7 +256,7 @@ class Warehouse:
         return names
 
 
-def from_csv(spark: SparkSession, folder: str, strategy: str = "eager") -> Warehouse:
+def from_csv(spark: SparkSession, folder: str, strategy: str = "eager", partition_fact: bool = False) -> Warehouse:
     """Warehouse over landed CSV files: ``<folder>/<table>/`` per base table
     (customers, employees, payments, products, transactions), header row.
 
@@ -247,20 +267,21 @@ def from_csv(spark: SparkSession, folder: str, strategy: str = "eager") -> Wareh
     malformed = reduce(DataFrame.unionByName, bad).where(F.col("reason") == csv_landing.MALFORMED)
     landing = {t: csv_landing.read_landing_csv(spark, os.path.join(folder, t), t)
                for t in tables}
-    return Warehouse(spark, folder, "csv", strategy=strategy, landing=landing, malformed=malformed)
+    return Warehouse(spark, folder, "csv", strategy=strategy, landing=landing, malformed=malformed,
+                     partition_fact=partition_fact)
 
 
 def warehouse(spark: SparkSession, sf_dir: str, faults: str = "fact",
-              strategy: str = "eager") -> Warehouse:
+              strategy: str = "eager", partition_fact: bool = False) -> Warehouse:
     """Memoised warehouse of ``sf_dir`` for this Spark application.
 
     A table that was landed again gives a new warehouse: the memo also
     holds the names, times and sizes of the files it was built from.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), faults, strategy)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), faults, strategy, partition_fact)
     state = fingerprint(spark, *(os.path.join(sf_dir, f"{t}.parquet") for t in testdata.SOURCES))
     built, wh = _CACHE.get(key, ("", None))
     if wh is None or built != state:
-        wh = Warehouse(spark, sf_dir, faults, strategy=strategy)
+        wh = Warehouse(spark, sf_dir, faults, strategy=strategy, partition_fact=partition_fact)
         _CACHE[key] = state, wh
     return wh

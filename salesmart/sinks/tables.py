@@ -6,15 +6,59 @@ import os
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import BASE_TABLES, METRICS, typed
 
 
 def append(df: DataFrame, path: str) -> None:
-    """``INSERT INTO`` semantics: running twice stores every row twice."""
+    """``INSERT INTO`` semantics: running twice stores every row twice (``append_load`` does not)."""
     df.write.mode("append").parquet(path)
 
 
+LOAD = "load_id"
+
+
+def _ledger(path: str) -> str:
+    return f"{path.rstrip('/')}_loads"
+
+
+def committed_loads(spark: SparkSession, path: str) -> list[str]:
+    """Loads of an appended table that are complete."""
+    ledger = spark._jvm.org.apache.hadoop.fs.Path(_ledger(path))
+    if not ledger.getFileSystem(spark._jsc.hadoopConfiguration()).exists(ledger):
+        return []
+    rows = spark.read.schema(f"{LOAD} string, at timestamp").parquet(_ledger(path))
+    return [r[LOAD] for r in rows.select(LOAD).distinct().collect()]
+
+
+def append_load(df: DataFrame, path: str, load_id: str) -> bool:
+    """Append ``df`` once under the name ``load_id``; False if that load is there already.
+
+    The rows of a load are one partition of the table, which a retry after a
+    failure overwrites, and the ledger names the loads that are complete, so
+    an append that is run again never doubles rows.  A second append that is
+    meant takes another name.
+    """
+    spark = df.sparkSession
+    if load_id in committed_loads(spark, path):
+        return False
+    (df.withColumn(LOAD, F.lit(load_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(LOAD).parquet(path))
+    (spark.createDataFrame([(load_id,)], f"{LOAD} string").withColumn("at", F.current_timestamp())
+     .write.mode("append").parquet(_ledger(path)))
+    return True
+
+
+def read_loads(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The rows of all complete loads of an appended table."""
+    loads = committed_loads(spark, path)
+    if not loads:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField(LOAD, T.StringType())])).parquet(path)
+    return rows.where(F.col(LOAD).isin(loads)).drop(LOAD)
+
+
 def refresh(df: DataFrame, path: str, partition_by: str | None = None,
             only: list[str] | None = None) -> None:
     """Truncate-or-create then insert: running twice equals running once.
