@@ -113,3 +113,14 @@ def test_fingerprint_and_memo_follow_the_files(spark, sf_small):
     spark.read.parquet(f"{sf_small}/orders.parquet").limit(10).write.mode("overwrite").parquet(f"{path}/orders.parquet")
     assert warehouse(spark, path) is not wh
     assert testdata.read(spark, path, "orders").count() == 10
+
+
+def test_malformed_records_are_rejects(spark):
+    from salesmart.plans.warehouse import from_csv
+    path = folder(spark, "t_csv_rejects")
+    for table, schema in LANDING.items():
+        os.makedirs(os.path.join(path, table))
+        put(os.path.join(path, table), "a.csv", ",".join(schema.fieldNames()) + "\n" + ("1,CASH\n2,CARD,long\n3\n" if table == "payments" else ""))
+    wh = from_csv(spark, path)
+    assert [r.payment_id for r in wh.clean("payments").collect()] == [1]
+    assert sorted((r.table_name, r.key_value, r.reason) for r in wh.rejects().collect()) == [("payments", None, "malformed")] * 2
