@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,6 +64,14 @@ def stage_database(spark: SparkSession) -> str:
     return STAGE_DATABASE
 
 
+def _observed_rows(obs: Observation) -> int | None:
+    """The count that came with the write; None if Spark found the table empty while planning and dropped it."""
+    try:
+        return obs.get.get("rows")
+    except Py4JError:
+        return None
+
+
 @dataclass
 class Staged:
     df: DataFrame
@@ -116,7 +125,7 @@ class Stager:
         else:
             counted.write.mode("overwrite").parquet(path)
             back = self.spark.read.schema(df.schema).parquet(path)
-        rows = obs.get.get("rows") if obs.get else None
+        rows = _observed_rows(obs)
         self.staged[name] = Staged(back, path, rows)
         return back
 
