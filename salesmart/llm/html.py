@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -48,11 +49,12 @@ WHOLE, MANY, SHARE = 0.9, 8, 0.5
 MIX, STEP = np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 # Element names and the words in class, id and role that mark what is not the article.
-HIDDEN = frozenset("script style template noscript iframe svg math head title object select textarea button datalist".split())
+HIDDEN = frozenset("script style template noscript iframe svg head title select textarea button datalist".split())
 ASIDE = frozenset("nav footer aside form menu dialog".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong "
-                   "sub sup time tt u var img wbr".split())
+                   "sub sup time tt u var img wbr "
+                   "math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle mspace msub msup msubsup munder mover munderover".split())
 MARKS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies "
                   "consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login "
                   "sidebar widget widgets menu nav navbar navigation breadcrumb breadcrumbs footer comment comments "
@@ -99,6 +101,7 @@ class Blocks(HTMLParser):
         super().__init__(convert_charrefs=True)
         # element, hidden, marked, level, outer
         self.open: list[tuple[str, bool, bool, int, bool]] = [("", False, False, 0, False)]
+        self.names: Counter[str] = Counter()  # open elements by name
         self.words: list[str] = []
         self.found: list[Block] = []
 
@@ -122,7 +125,7 @@ class Blocks(HTMLParser):
         if tag == "p" or tag == "li":  # an open one ends here
             for i in range(len(self.open) - 1, 0, -1):
                 if self.open[i][0] == tag:
-                    del self.open[i:]
+                    self.close_from(i)
                     break
                 if self.open[i][0] not in INLINE and self.open[i][0] != "p":
                     break
@@ -137,13 +140,20 @@ class Blocks(HTMLParser):
             marked = (tag in ASIDE or bool(named & MARKS) or level == 0 and (tag == "header" or bool(named & HEADS)))
         hidden = hidden or tag in HIDDEN or any(k == "hidden" for k, _ in attrs)
         self.open.append((tag, hidden, marked, level, outer))
+        self.names[tag] += 1
+
+    def close_from(self, i: int):
+        self.names.subtract(name for name, *_ in self.open[i:])
+        del self.open[i:]
 
     def handle_endtag(self, tag):
         if tag not in INLINE:
             self.end_block()
+        if not self.names[tag]:  # else a page of stray end tags would walk its open elements again and again
+            return
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i][0] == tag:
-                del self.open[i:]
+                self.close_from(i)
                 break
 
     def handle_data(self, data):
@@ -224,9 +234,8 @@ def main_text(texts: list[str], wanted: list[bool], trusted: bool, cover: np.nda
         at += len(own)
         if not take:
             continue
-        if not trusted:
-            kept.append(" ".join(w for w, g in zip(own, cover[here]) if not g))
-        elif often[here].mean() < WHOLE:
+        # a block leaves as a whole or not at all: no words are cut out of sentences
+        if (often if trusted else cover)[here].mean() < WHOLE:
             kept.append(text)
     kept = [k for k in kept if k] or [t for t, take in zip(texts, wanted) if take]
     return "\n\n".join(kept)

@@ -207,6 +207,20 @@ def test_repeats_equal_brute_force():
             assert cover.tolist() == want.tolist()
 
 
+def test_html_keeps_formulas_and_whole_sentences():
+    assert html.main_texts(["<article><p>Energy <math><mi>E</mi>=<mi>m</mi></math> holds</p></article>"]) == ["Energy E=m holds"]
+    shared = "the results of the study were published in the journal"
+    pages = [f"<p>last week {shared} and drew wide attention</p>", f"<p>he said {shared} before anyone noticed</p>"]
+    assert html.main_texts(pages) == [f"last week {shared} and drew wide attention", f"he said {shared} before anyone noticed"]
+
+
+def test_html_stray_end_tags_take_linear_time():
+    import time
+    begun = time.perf_counter()
+    assert html.main_texts(["<div>" * 100_000 + "</i>" * 100_000 + "<p>end</p>"]) == ["end"]
+    assert time.perf_counter() - begun < 20
+
+
 def test_html_query(spark, sf_small):
     rows = registry.op5_html_text(spark, sf_small).collect()
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_small}/pages.parquet").collect()}
