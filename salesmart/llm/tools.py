@@ -17,11 +17,12 @@ calls takes log2(n) joins, each staged.  The result is range-sorted by
 conversation, depth and identifier, which splits a long conversation.
 
 Edge cases: of repeated identifiers the first (smallest seq, then content)
-counts and the others are marked ``duplicate`` of calls or left out of results;
+counts and the others are marked: ``duplicate`` for calls, ``extra`` for further results of a call;
 a result without call is ``orphan``; a call without result has no result key; a
 need that nobody answers is a root; calls in a cycle, or behind one, have a
 null depth and come last; null identifiers link with nothing; invalid JSON or
-missing, mistyped and unknown arguments are listed in ``errors``.
+missing, mistyped and unknown arguments are listed in ``errors``.  Extra columns
+of any name are ignored.
 """
 
 from __future__ import annotations
@@ -74,11 +75,13 @@ def depths(links: DataFrame) -> DataFrame:
 
 
 def link(calls: DataFrame, results: DataFrame, schemas) -> DataFrame:
-    """One row per call and per orphan result.
+    """One row per call, and per result that is not linked to one.
 
-    conv_id, call_id, kind (call, duplicate or orphan), depth, name, valid,
+    conv_id, call_id, kind (call, duplicate, orphan or extra), depth, name, valid,
     errors, result_id, canonical.
     """
+    calls = calls.select("conv_id", "call_id", "name", "arguments", "needs", "seq")
+    results = stage(results.select("conv_id", "result_id", "call_id", "content", F.monotonically_increasing_id().alias("row")))
     ranked = stage(calls.withColumn("row", F.monotonically_increasing_id()))
     order = F.struct("seq", F.coalesce("name", F.lit("")), F.coalesce("arguments", F.lit("")), "row")
     firsts = stage(ranked.filter("call_id is not null").groupBy("call_id").agg(F.min(order).alias("first")).select(
@@ -88,7 +91,7 @@ def link(calls: DataFrame, results: DataFrame, schemas) -> DataFrame:
     marked = stage(marked.drop("first_row"))
 
     answers = stage(results.filter("call_id is not null").groupBy("call_id").agg(F.min(F.struct(
-        F.col("result_id"), F.col("content"), F.col("conv_id"))).alias("answer")))
+        F.col("result_id"), F.col("content"), F.col("conv_id"), F.col("row"))).alias("answer")))
     ids = marked.filter("kind = 'call' and call_id is not null")
     # a need names a call, or a result and so the call it answers
     names = ids.select(F.col("call_id").alias("needs"), F.col("call_id").alias("parent")).unionByName(
@@ -109,11 +112,17 @@ def link(calls: DataFrame, results: DataFrame, schemas) -> DataFrame:
     linked = linked.select(
         "conv_id", "call_id", "kind", "depth", "name", valid.alias("valid"), "errors", "result_id",
         F.when(valid, canonical(F.col("name"), F.col("call_id"), F.col("arguments"), F.col("content"), schemas)).alias("canonical"))
-    orphans = results.join(ids.select("call_id"), "call_id", "left_anti").select(
-        "conv_id", "call_id", F.lit("orphan").alias("kind"), F.lit(None).cast("long").alias("depth"),
-        F.lit(None).cast("string").alias("name"), F.lit(False).alias("valid"),
-        F.array(F.lit("no call")).alias("errors"), "result_id", F.lit(None).cast("string").alias("canonical"))
-    out = linked.unionByName(orphans)
+    def apart(rows: DataFrame, kind: str, error: str) -> DataFrame:
+        return rows.select(
+            "conv_id", "call_id", F.lit(kind).alias("kind"), F.lit(None).cast("long").alias("depth"),
+            F.lit(None).cast("string").alias("name"), F.lit(False).alias("valid"),
+            F.array(F.lit(error)).alias("errors"), "result_id", F.lit(None).cast("string").alias("canonical"))
+
+    orphans = results.join(ids.select("call_id"), "call_id", "left_anti")
+    further = (results.join(answers.select("call_id", F.col("answer.row").alias("first_row")), "call_id")
+               .filter(F.col("row") != F.col("first_row")).join(ids.select("call_id"), "call_id", "left_semi"))
+    out = (linked.unionByName(apart(orphans, "orphan", "no call"))
+           .unionByName(apart(further, "extra", "duplicate result")))
     order = ["conv_id", F.col("depth").asc_nulls_last(), "call_id", "result_id"]
     return out.repartitionByRange(*order).sortWithinPartitions(*order)
 

@@ -260,6 +260,10 @@ def test_tool_links(spark):
     assert got["c4", "call"]["errors"] == ["unknown tool sub"]
     assert got["c5", "call"]["valid"] and got["c1", "duplicate"]["result_id"] is None
     assert got["c9", "orphan"]["result_id"] == "r9"
+    twice = results.unionByName(results.limit(1)).withColumn("row", F.lit(1)).withColumn("depth", F.lit(2))
+    clash = calls.withColumn("row", F.lit(1)).withColumn("depth", F.lit(2)).withColumn("kind", F.lit(3))
+    again = tools.link(clash, twice, SCHEMAS).collect()
+    assert len(again) == len(rows) + 1
     assert tools.link(calls.limit(0), results.limit(0), SCHEMAS).count() == 0
 
 
