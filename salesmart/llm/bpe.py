@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .chunks import ChunkEncoder, binary, runs
-from .common import ship, slices
+from .common import pieces, ship
 
 #: Letter of byte b: chr(FIRST + b).
 FIRST = 0x100
@@ -128,10 +128,9 @@ def _appended(df: DataFrame, source: str, name: str, rows) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            values = batch.column(place).to_pylist()
-            for a, b in slices([v or "" for v in values]):
-                part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns, rows(values[a:b])], names=[*part.schema.names, name])
+            for part in pieces(batch, place):
+                yield pa.RecordBatch.from_arrays([*part.columns, rows(part.column(place).to_pylist())],
+                                                 names=[*part.schema.names, name])
 
     return base.mapInArrow(run, schema)
 

@@ -15,6 +15,9 @@ import tempfile
 import uuid
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,6 +123,20 @@ class SharedFile:
             self.fs.delete_file(self.part)
 
 
+def pieces(batch: pa.RecordBatch, place: int, size: int = 1 << 22):
+    """Parts of ``batch`` whose values in one column hold about ``size`` bytes, one row at least.
+
+    So no more than a part is turned into Python values at a time.
+    """
+    ends = np.cumsum(pc.binary_length(batch.column(place)).fill_null(0).to_numpy().astype(np.int64))
+    begin = 0
+    while begin < batch.num_rows:
+        done = int(ends[begin - 1]) if begin else 0
+        stop = max(begin + 1, int(np.searchsorted(ends, done + size, "right")))
+        yield batch.slice(begin, stop - begin)
+        begin = stop
+
+
 def slices(texts: list[str], size: int = 1 << 22):
     """Index ranges of ``texts`` of about ``size`` characters, one text at least."""
     begin = total = 0
