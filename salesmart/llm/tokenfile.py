@@ -34,12 +34,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .chunks import LETTER, ChunkEncoder, Pool, binary, runs
-from .common import SharedFile, column, open_folder, shared_folder, ship, slices, stage
+from .common import SharedFile, column, open_folder, pieces, shared_folder, ship, stage
 from .huffman import LIMIT, STEP, Code, code_lengths
 
 MAGIC = b"IDSH0001"
 BLOCK = 1 << 16
-#: Characters that are encoded together.
+#: Bytes of text that are encoded together.
 SLICE = 1 << 22
 #: Words of letters, and how many of them make one text for the library.
 SPACED, LINE = re.compile(f" {LETTER}+"), 2000
@@ -105,12 +105,10 @@ def tokenize(df: DataFrame, path: str, end_id: int, vocabulary: int, id_col: str
 
     def run(batches):
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in slices(texts, SLICE):
-                ids, sizes = tokenizer(path).encode(texts[a:b])
+            for part in pieces(batch, 1, SLICE):
+                ids, sizes = tokenizer(path).encode([t or "" for t in part.column(1).to_pylist()])
                 ids = np.insert(ids.astype(kind), np.cumsum(sizes), end_id)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), binary(ids, sizes + 1)],
-                                                 names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), binary(ids, sizes + 1)], names=["doc_id", "ids"])
 
     return df.select(column(df, id_col).cast("long").alias("doc_id"), column(df, text_col).alias("text")
                      ).mapInArrow(run, "doc_id long, ids binary")
