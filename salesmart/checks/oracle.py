@@ -462,7 +462,7 @@ def appended_twice(name: str) -> str:
 
 def landed_after_replacement() -> str:
     """The files of ids divisible by 4 were landed again with even products only."""
-    return ("WITH " + ",\n".join(_landing("fact")) + "\nSELECT * FROM land_transactions "
+    return ("WITH " + ",\n".join(_landing("none")) + "\nSELECT * FROM land_transactions "
             "WHERE transaction_id % 4 <> 0 OR product_id % 2 = 0")
 
 

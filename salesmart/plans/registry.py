@@ -328,7 +328,7 @@ def _ingest_replaced(spark, sf):
     base = scratch_path(spark, "ingest_replaced", unique=True)
     src, sink = os.path.join(base, "source"), os.path.join(base, "landed")
     n = 4 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
-    land = testdata.landing_table(spark, sf, "transactions", "fact").withColumn("file", F.pmod("transaction_id", F.lit(n)))
+    land = testdata.landing_table(spark, sf, "transactions", "none").withColumn("file", F.pmod("transaction_id", F.lit(n)))
     _land_files(spark, land, src)
     ingest_changed(spark, src, "transactions", sink)
     _land_files(spark, land.where("transaction_id % 4 = 0 AND product_id % 2 = 0"), src)
