@@ -11,14 +11,20 @@ each breaks ties by its own hash.
    HOT most frequent ones.  They only shape the orders; any choice is exact.
 2. Documents with equal token sets become one node.
 3. Nodes that share a prefix token of the first order come together in that
-   token's posting; postings of one node vanish.  Postings of frequent tokens
-   are summed up before they are joined, the others are small.
+   token's posting; postings of one node vanish, and of postings of the same
+   nodes one stays.  Postings of frequent tokens are summed up before they are
+   joined, the others are small.
 4. Stars: each posting's nodes are paired with its smallest and its largest
    one only, so a group of near copies costs two pairs per member.
-5. Then all pairs of nodes that share a posting but not yet a component.  This
-   is the exact remainder: a link between two components is always among them.
-6. Pairs are filtered by size, by the prefixes of the other orders (they must
-   meet in each), and then verified on the whole sets.
+5. The exact remainder, nodes that share a posting but not yet a component.
+   No rows are made for pairs of nodes: the nodes of postings with several
+   components are put into blocks of about BLOCK, and only different pairs of
+   blocks that meet in a posting are made.  A task gets the prefixes of two
+   blocks under all orders and intersects the filters; then only the texts of
+   nodes that still have partners move.
+6. Sizes and the prefixes of all orders must agree; then pairs are verified
+   on the whole sets.  Pairs that earlier links of the same two blocks already
+   connect need no test.
 
 Tokens are 64-bit hashes of shingles.
 
@@ -52,6 +58,10 @@ ORDERS = 3
 TWIST = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 #: Partners that are sent along with one document to be verified.
 CHUNK = 64
+#: Nodes of a block on average; a component with half as many at one token has blocks of its own.
+BLOCK = 64
+#: Block of nodes of several components (``own`` of others is their component).
+MIXED = -1
 
 
 class Hasher:
@@ -98,7 +108,7 @@ def prefix(tokens: np.ndarray, common: np.ndarray, percent: int, order: int) ->
     mixed = tokens * TWIST[order]
     rank = (mixed ^ (mixed >> np.uint64(32))) >> np.uint64(1)
     rank[common] |= np.uint64(1 << 63)
-    return np.argpartition(rank, n - 1)[:n]
+    return np.argsort(rank, kind="stable")[:n]
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -230,6 +240,149 @@ def _verify(pairs: DataFrame, texts: DataFrame, sent, width: int, percent: int)
     return stage(rows.select("a", "chunk", "node", "text").mapInArrow(run, "a long, b long"))
 
 
+def pieces_of(batches, keys: int):
+    """The rows of each run of equal values in the first ``keys`` columns, across batches.
+
+    A run is the members of two blocks, so its rows are few.
+    """
+    at, held = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[:keys] != at:
+                if held:
+                    yield at, held
+                at, held = row[:keys], []
+            held.append(row[keys:])
+    if held:
+        yield at, held
+
+
+def sharing(lists: list[np.ndarray]) -> np.ndarray:
+    """Matrix of which two of the token lists have a token in common."""
+    tokens, owner = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    _, place, n = np.unique(tokens, return_inverse=True, return_counts=True)
+    twice = n > 1
+    number = np.cumsum(twice) - 1
+    kept = twice[place]
+    held = np.zeros((len(lists), int(twice.sum())), np.float32)
+    held[owner[kept], number[place[kept]]] = 1
+    return held @ held.T > 0
+
+
+def prefixes(texts: DataFrame, sent, width: int, percent: int) -> DataFrame:
+    """Staged: node, and its prefix under each order as 32-bit folds of the tokens.
+
+    Equal tokens have equal folds, so folding can let pairs through but never loses one.
+    """
+    names = [f"p{k}" for k in range(ORDERS)]
+
+    def run(batches):
+        make = Hasher(width)
+        for batch in batches:
+            out = [[] for _ in names]
+            for frame in batch.column(1):
+                tokens = make(zstandard.decompress(frame.as_py()))
+                common = is_common(tokens, sent.value)
+                for k, held in enumerate(out):
+                    held.append(tokens[prefix(tokens, common, percent, k)].astype(np.uint32).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.binary()) for x in out)], names=["node", *names])
+
+    return stage(texts.mapInArrow(run, "node long, " + ", ".join(f"{x} binary" for x in names)))
+
+
+def blocks_of(live: DataFrame) -> DataFrame:
+    """Staged: node, n, comp, own, block, from postings (token, node, n, size, comp).
+
+    Nodes go by their largest posting; there, a component with many nodes has
+    its own blocks, and the others share blocks.  A hash deals them out, so no
+    task has to see all nodes of a posting.
+    """
+    at = stage(live.groupBy("node", "n", "comp").agg(F.max(F.struct("size", "token")).alias("home")).select(
+        "node", "n", "comp", F.col("home.token").alias("home")))
+    cells = at.groupBy("home", "comp").agg(F.count(F.lit(1)).alias("m")).withColumn(
+        "own", F.when(F.col("m") >= BLOCK // 2, F.col("comp")).otherwise(F.lit(MIXED)))
+    cells = stage(cells)
+    total = cells.groupBy("home", "own").agg(F.ceil(F.sum("m") / BLOCK).alias("parts"))
+    cells = stage(cells.join(total, ["home", "own"]).select("home", "comp", "own", "parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    return stage(at.join(cells, ["home", "comp"]).select(
+        "node", "n", "comp", "own", F.xxhash64("home", "own", part).alias("block")))
+
+
+def remainder(posted: DataFrame, found: DataFrame, texts: DataFrame, sent, width: int, percent: int) -> DataFrame:
+    """Links that join what ``found`` (node, comp) leaves apart: a, b, enough of them to connect all that link."""
+    spark = posted.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = stage(posted.join(found, "node", "left").select("token", "node", "n", "size", F.coalesce("comp", "node").alias("comp")))
+    several = stage(placed.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("token"))
+    live = stage(placed.join(several, "token", "left_semi"))
+    blocks = blocks_of(live)
+    meet = stage(live.join(blocks.select("node", "own", "block"), "node").groupBy("token", "block", "own").agg(
+        F.count(F.lit(1)).alias("m")))
+    # a posting that meets in the same blocks as another one adds nothing
+    same = meet.groupBy("token").agg(F.bit_xor(F.xxhash64("block", F.col("m") > 1)).alias("x"),
+                                     F.bit_xor(F.xxhash64(F.lit(1), "block", F.col("m") > 1)).alias("y"))
+    meet = stage(meet.join(stage(same.groupBy("x", "y").agg(F.min("token").alias("token"))), "token", "left_semi"))
+    left, right = (meet.select("token", *(F.col(c).alias(c + side) for c in ("block", "own", "m"))) for side in "ab")
+    pairs = left.join(right, "token").filter(
+        "(blocka < blockb AND (owna <> ownb OR owna = -1)) OR (blocka = blockb AND owna = -1 AND ma > 1)")
+    pairs = stage(pairs.select("blocka", "blockb").distinct())
+    members = pairs.select("blocka", "blockb", F.explode(F.array_distinct(F.array("blocka", "blockb"))).alias("block")).join(
+        blocks.select("block", "node", "n", "comp"), "block")
+    first = [f"p{k}" for k in range(ORDERS)]
+    members = members.join(prefixes(texts.join(blocks.select("node"), "node", "left_semi"), sent, width, percent), "node")
+    members = members.select("blocka", "blockb", "block", "node", "n", "comp", *first)
+    members = members.repartition(tasks, "blocka", "blockb").sortWithinPartitions("blocka", "blockb", "node")
+
+    def candidates(batches):
+        for (a, b), rows in pieces_of(batches, 2):
+            block, node, n, comp = (np.array(c, np.int64) for c in list(zip(*rows))[:4])
+            ok = (comp[:, None] != comp) & (100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n))
+            ok &= np.triu(ok, 1) if a == b else (block[:, None] == a) & (block == b)
+            for k in range(ORDERS):
+                some = np.flatnonzero(ok.any(0) | ok.any(1))
+                if not len(some):
+                    break
+                ok[np.ix_(some, some)] &= sharing([np.frombuffer(rows[i][4 + k], np.uint32) for i in some])
+            some = np.flatnonzero(ok.any(0) | ok.any(1))
+            if len(some):
+                yield pa.RecordBatch.from_pylist(
+                    [{"blocka": a, "blockb": b, "node": int(node[i]), "comp": int(comp[i]),
+                      "partners": node[ok[i]].tolist()} for i in some], pa.schema(
+                        [("blocka", pa.int64()), ("blockb", pa.int64()), ("node", pa.int64()), ("comp", pa.int64()),
+                         ("partners", pa.list_(pa.int64()))]))
+
+    asked = stage(members.mapInArrow(candidates, "blocka long, blockb long, node long, comp long, partners array<long>"))
+    rows = asked.join(texts, "node").select("blocka", "blockb", "node", "comp", "partners", "text")
+    rows = rows.repartition(tasks, "blocka", "blockb").sortWithinPartitions("blocka", "blockb", "node")
+
+    def verify(batches):
+        make = Hasher(width)
+        for _, rows in pieces_of(batches, 2):
+            sets = {node: make(zstandard.decompress(frame)) for node, _, _, frame in rows}
+            label = {node: comp for node, comp, _, _ in rows}
+            over = {}
+
+            def top(x):
+                while x in over:
+                    x = over[x]
+                return x
+
+            out = []
+            for node, _, partners, _ in rows:
+                for other in partners:
+                    p, q = top(label[node]), top(label[other])
+                    if p != q:
+                        both = overlap(sets[node], sets[other])
+                        if 100 * both >= percent * (len(sets[node]) + len(sets[other]) - both):
+                            over[max(p, q)] = min(p, q)
+                            out.append((node, other))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["a", "b"])
+
+    return stage(rows.mapInArrow(verify, "a long, b long"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, comp (smallest node reachable) of every node on an edge (a, b).
 
@@ -273,19 +426,25 @@ def join(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id
         F.col("first.same").alias("same"), "n"))
 
     own = table.join(nodes.select(F.col("node").alias("row")), "row")
-    summary = [F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n")).alias("low"),
+    summary = [F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"),
+               F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"), F.min(F.struct("node", "n")).alias("low"),
                F.max(F.struct("node", "n")).alias("high")]
 
     def postings(name: str) -> DataFrame:
         return own.select(F.col("row").alias("node"), "n", F.explode(name).alias("token"))
 
+    def different(summed: DataFrame) -> DataFrame:
+        """Of postings with the same nodes (by 128 bits) the one with the smallest token."""
+        one = summed.filter("size > 1").groupBy("size", "x", "y").agg(F.min(F.struct("token", "low", "high")).alias("one"))
+        return one.select("one.*", "size")
+
     # a posting of a token that is not frequent is small: one shuffle serves its summary and the join
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     seldom = postings("seldom").repartition(tasks, "token")
-    seldom = seldom.join(seldom.groupBy("token").agg(*summary).filter("size > 1"), "token")
+    seldom = seldom.join(different(seldom.groupBy("token").agg(*summary)), "token")
     # a frequent token may be in a third of all nodes: partial sums, at most HOT rows, sent to its nodes
     often = postings("often")
-    often = often.join(F.broadcast(stage(often.groupBy("token").agg(*summary).filter("size > 1"))), "token")
+    often = often.join(F.broadcast(stage(different(often.groupBy("token").agg(*summary)))), "token")
     posted = stage(seldom.unionByName(often))
     release(df.sparkSession)
 
@@ -313,15 +472,8 @@ def join(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id
                                  F.col("node").alias("b"), F.col("n").alias("nb")))
     found = components(links)
 
-    # the rest: nodes that share a posting but no component, from pairs of components
-    placed = stage(posted.join(found, "node", "left").select("token", "node", "n", F.coalesce("comp", "node").alias("comp")))
-    groups = stage(placed.select("token", "comp").distinct())
-    apart = groups.select("token", F.col("comp").alias("ca")).join(
-        groups.select("token", F.col("comp").alias("cb")), "token").filter("ca < cb")
-    left = placed.select("token", F.col("comp").alias("ca"), F.col("node").alias("a"), F.col("n").alias("na"))
-    right = placed.select("token", F.col("comp").alias("cb"), F.col("node").alias("b"), F.col("n").alias("nb"))
-    rest = stage(apart).join(left, ["token", "ca"]).join(right, ["token", "cb"])
-    links = links.unionByName(verified(rest.select("a", "na", "b", "nb")))
+    # the rest: nodes that share a posting but no component
+    links = links.unionByName(remainder(posted, found, texts, sent, width, percent))
     found = components(links)
 
     member = stage(nodes.join(found, "node", "left").select(
