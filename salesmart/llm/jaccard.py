@@ -108,7 +108,7 @@ def prefix(tokens: np.ndarray, common: np.ndarray, percent: int, order: int) ->
     mixed = tokens * TWIST[order]
     rank = (mixed ^ (mixed >> np.uint64(32))) >> np.uint64(1)
     rank[common] |= np.uint64(1 << 63)
-    return np.argsort(rank, kind="stable")[:n]
+    return np.argpartition(rank, n - 1)[:n]
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -270,7 +270,7 @@ def sharing(lists: list[np.ndarray]) -> np.ndarray:
 
 
 def prefixes(texts: DataFrame, sent, width: int, percent: int) -> DataFrame:
-    """Staged: node, and its prefix under each order as 32-bit folds of the tokens.
+    """Staged: node, and its prefix under each order as 16-bit folds of the tokens.
 
     Equal tokens have equal folds, so folding can let pairs through but never loses one.
     """
@@ -284,7 +284,7 @@ def prefixes(texts: DataFrame, sent, width: int, percent: int) -> DataFrame:
                 tokens = make(zstandard.decompress(frame.as_py()))
                 common = is_common(tokens, sent.value)
                 for k, held in enumerate(out):
-                    held.append(tokens[prefix(tokens, common, percent, k)].astype(np.uint32).tobytes())
+                    held.append(tokens[prefix(tokens, common, percent, k)].astype(np.uint16).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.binary()) for x in out)], names=["node", *names])
 
     return stage(texts.mapInArrow(run, "node long, " + ", ".join(f"{x} binary" for x in names)))
@@ -317,18 +317,16 @@ def remainder(posted: DataFrame, found: DataFrame, texts: DataFrame, sent, width
     several = stage(placed.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("token"))
     live = stage(placed.join(several, "token", "left_semi"))
     blocks = blocks_of(live)
-    meet = stage(live.join(blocks.select("node", "own", "block"), "node").groupBy("token", "block", "own").agg(
-        F.count(F.lit(1)).alias("m")))
-    # a posting that meets in the same blocks as another one adds nothing
-    same = meet.groupBy("token").agg(F.bit_xor(F.xxhash64("block", F.col("m") > 1)).alias("x"),
-                                     F.bit_xor(F.xxhash64(F.lit(1), "block", F.col("m") > 1)).alias("y"))
-    meet = stage(meet.join(stage(same.groupBy("x", "y").agg(F.min("token").alias("token"))), "token", "left_semi"))
+    at = stage(live.select("token", "node").join(blocks.select("node", "own", "block"), "node"))
+    meet = stage(at.groupBy("token", "block", "own").agg(F.count(F.lit(1)).alias("m")))
     left, right = (meet.select("token", *(F.col(c).alias(c + side) for c in ("block", "own", "m"))) for side in "ab")
     pairs = left.join(right, "token").filter(
         "(blocka < blockb AND (owna <> ownb OR owna = -1)) OR (blocka = blockb AND owna = -1 AND ma > 1)")
-    pairs = stage(pairs.select("blocka", "blockb").distinct())
-    members = pairs.select("blocka", "blockb", F.explode(F.array_distinct(F.array("blocka", "blockb"))).alias("block")).join(
-        blocks.select("block", "node", "n", "comp"), "block")
+    pairs = stage(pairs.select("token", "blocka", "blockb"))
+    # of two blocks only the nodes in a posting where they meet
+    sides = pairs.select("token", "blocka", "blockb", F.explode(F.array_distinct(F.array("blocka", "blockb"))).alias("block"))
+    members = stage(sides.join(at.select("token", "block", "node"), ["token", "block"]).select("blocka", "blockb", "node").distinct())
+    members = members.join(blocks.select("node", "n", "comp", "block"), "node")
     first = [f"p{k}" for k in range(ORDERS)]
     members = members.join(prefixes(texts.join(blocks.select("node"), "node", "left_semi"), sent, width, percent), "node")
     members = members.select("blocka", "blockb", "block", "node", "n", "comp", *first)
@@ -343,7 +341,7 @@ def remainder(posted: DataFrame, found: DataFrame, texts: DataFrame, sent, width
                 some = np.flatnonzero(ok.any(0) | ok.any(1))
                 if not len(some):
                     break
-                ok[np.ix_(some, some)] &= sharing([np.frombuffer(rows[i][4 + k], np.uint32) for i in some])
+                ok[np.ix_(some, some)] &= sharing([np.frombuffer(rows[i][4 + k], np.uint16) for i in some])
             some = np.flatnonzero(ok.any(0) | ok.any(1))
             if len(some):
                 yield pa.RecordBatch.from_pylist(
@@ -353,6 +351,7 @@ def remainder(posted: DataFrame, found: DataFrame, texts: DataFrame, sent, width
                          ("partners", pa.list_(pa.int64()))]))
 
     asked = stage(members.mapInArrow(candidates, "blocka long, blockb long, node long, comp long, partners array<long>"))
+    release(spark)
     rows = asked.join(texts, "node").select("blocka", "blockb", "node", "comp", "partners", "text")
     rows = rows.repartition(tasks, "blocka", "blockb").sortWithinPartitions("blocka", "blockb", "node")
 
