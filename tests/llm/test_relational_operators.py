@@ -163,40 +163,6 @@ def test_jaccard_join_equals_brute_force(spark, width, percent, seed):
         assert kept.count() >= len(want) + empty
 
 
-@pytest.mark.parametrize("block", [3, 64])
-def test_jaccard_join_passage_in_a_third_of_all(spark, monkeypatch, block):
-    """A passage fills the prefixes of a third of the documents, which rarely link; others link in chains."""
-    monkeypatch.setattr(jaccard, "BLOCK", block)
-    random.seed(block)
-    passage = [f"p{i}" for i in range(40)]
-    rows = []
-    for i in range(100):
-        rows.append(" ".join(passage + [f"x{i}_{k}" for k in range(random.choice([0, 1, 3, 5, 9, 14]))]))
-    for i in range(60):  # neighbours in the chain link, far ones do not
-        rows.append(" ".join(f"c{k}" for k in range(i, i + 60)))
-    for i in range(140):
-        rows.append(" ".join(f"w{random.randrange(5000)}" for _ in range(30)))
-    rows = list(enumerate(random.sample(rows, len(rows))))
-    df = documents(spark, [(k, t, "s") for k, t in rows])
-    got = [tuple(r) for r in jaccard.join(df, 4, 85).select("doc_id", "n_shingles", "component_id").collect()]
-    want = brute_components(rows, 4, 85)
-    assert sorted(got) == sorted(want)
-    assert len({c for _, _, c in want}) > 150
-
-
-def test_jaccard_remainder_moves_blocks_not_pairs(spark, monkeypatch):
-    """Nodes of one posting come to the tasks once per pair of blocks; equal components are not compared."""
-    live = spark.createDataFrame([(7, i, 100, 900, i if i < 300 else 300) for i in range(900)],
-                                 "token long, node long, n long, size long, comp long")
-    rows = jaccard.blocks_of(live).collect()
-    assert len(rows) == 900 and {r["own"] for r in rows} == {jaccard.MIXED, 300}
-    assert all((r["own"] == 300) == (r["comp"] == 300) for r in rows)
-    sizes = defaultdict(int)
-    for r in rows:
-        sizes[r["block"]] += 1
-    assert len(sizes) == 5 + 10 and max(sizes.values()) < 2 * jaccard.BLOCK
-
-
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(200)]
     star = [(1000, i) for i in range(1001, 1300)]
