@@ -21,10 +21,11 @@ import pyarrow.compute as pc
 SEEN, LETTER = r"[!-~À-ɏ]", "[A-Za-zÀ-ÖØ-öø-ɏ]"
 #: A space between two such characters.
 CUT = re.compile(f"(?<={SEEN}) (?={SEEN})")
-#: What the cuts leave if nothing but single spaces parts the words.
+#: What the cuts leave if nothing but single spaces parts the words; for one chunk, and for an array of them.
 PLAIN = re.compile(f"{SEEN}(?:.*{SEEN})?", re.DOTALL)
+PLAINS = rf"(?s)\A{SEEN}(?:.*{SEEN})?\z"
 #: A word and the marks after it, which the pattern matches apart.
-MARKED = re.compile(f"({LETTER}+)([.,;:!?#$%&*]+)")
+MARKED = rf"\A(?P<word>{LETTER}+)(?P<marks>[.,;:!?#$%&*]+)\z"
 #: Chunks kept between batches, and ids of theirs; chunks longer than LONG are never kept.
 KEEP, KEEP_IDS, LONG = 500_000, 4_000_000, 64
 
@@ -51,6 +52,10 @@ class Pool:
         return self.ids[np.repeat(shift, sizes) + np.arange(sizes.sum())], sizes
 
 
+def strings(values: pa.Array) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 def runs(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return (np.array([i for row in rows for i in row], "<u4"),
             np.fromiter(map(len, rows), np.int64, len(rows)))
@@ -64,26 +69,28 @@ class ChunkEncoder:
 
     def learn(self, chunks: list[str]) -> None:
         """Keep the ids of ``chunks``; a word is encoded once for all marks after it, and marks once."""
-        marked, words = [], []
-        for c in chunks:
-            if not c.isalpha() and (m := MARKED.fullmatch(c)):
-                marked.append((c, *m.groups()))
-            else:
-                words.append(c)
-        words += {w for _, w, _ in marked}.difference(words, self.kept)
+        if not chunks:
+            return
+        array = pa.array(chunks, pa.string())
+        found = pc.extract_regex(array, MARKED)
+        is_marked = found.is_valid()
+        words, marked = strings(array.filter(pc.invert(is_marked))), strings(array.filter(is_marked))
+        bare, marks = (strings(found.field(k).filter(is_marked)) for k in range(2))
+        words += set(bare).difference(words, self.kept)
         self.kept.update(zip(words, self.pool.add(*self.encode_many([" " + w for w in words]))))
         if marked:
-            marks = list({m for _, _, m in marked})
-            at = dict(zip(marks, self.pool.add(*self.encode_many(marks))))
-            pairs = np.array([(self.kept[w], at[m]) for _, w, m in marked])
-            ids, sizes = self.pool.take(pairs.ravel())
-            self.kept.update(zip([c for c, _, _ in marked], self.pool.add(ids, sizes.reshape(-1, 2).sum(1))))
+            alone = list(set(marks))
+            at = dict(zip(alone, self.pool.add(*self.encode_many(alone))))
+            pairs = np.array([list(map(self.kept.__getitem__, bare)), list(map(at.__getitem__, marks))])
+            ids, sizes = self.pool.take(pairs.T.ravel())
+            self.kept.update(zip(marked, self.pool.add(ids, sizes.reshape(-1, 2).sum(1))))
 
     def assemble(self, chunks: list[str], numbers: np.ndarray, codes: np.ndarray, counts: np.ndarray,
-                 heads: list[str]) -> tuple[np.ndarray, np.ndarray]:
+                 heads: list[str], plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and the number in each; a text is its head and the
         chunks that ``codes`` name after the first of its ``counts`` places.
-        ``numbers`` are those of the chunks in the pool, -1 for new ones."""
+        ``numbers`` are those of the chunks in the pool, -1 for new ones;
+        ``plain`` if all chunks are known to be."""
         begins = np.cumsum(counts) - counts
         used = np.zeros(len(chunks), bool)
         used[np.delete(codes, begins)] = True
@@ -101,7 +108,7 @@ class ChunkEncoder:
         ids, sizes = self.pool.take(runs_of)
         self.pool = Pool(self.pool.ids[:self.pool.sizes[:kept].sum()], self.pool.sizes[:kept])
         for c in new:
-            if len(c) > LONG or not c.isalnum() and not PLAIN.fullmatch(c):
+            if len(c) > LONG or not plain and not c.isalnum() and not PLAIN.fullmatch(c):
                 del self.kept[c]
         return ids, np.add.reduceat(sizes, begins)
 
@@ -114,23 +121,25 @@ class ChunkEncoder:
             return runs([])
         parts = pc.split_pattern(pa.array(texts, pa.string()), " ")
         words = parts.values.dictionary_encode()
-        chunks, codes = words.dictionary.to_pylist(), words.indices.to_numpy()
+        chunks, codes = strings(words.dictionary), words.indices.to_numpy()
         counts = np.diff(parts.offsets.to_numpy())
         begins = np.cumsum(counts) - counts
         numbers = self.known(chunks)
         # elsewhere than between visible characters a space is no place to cut
         odd = numbers < 0
-        odd[odd] = [not PLAIN.fullmatch(chunks[i]) for i in np.flatnonzero(odd).tolist()]
+        new = words.dictionary.filter(pa.array(odd))
+        odd[odd] = ~pc.match_substring_regex(new, PLAINS).to_numpy(zero_copy_only=False)
         odd = np.logical_or.reduceat(odd[codes], begins)
         if not odd.any():
-            return self.assemble(chunks, numbers, codes, counts, [chunks[i] for i in codes[begins].tolist()])
+            return self.assemble(chunks, numbers, codes, counts, [chunks[i] for i in codes[begins].tolist()],
+                                 plain=True)
         sizes, pieces = np.zeros(len(texts), np.int64), [np.zeros(0, "<u4")] * len(texts)
         for group in (np.flatnonzero(~odd), np.flatnonzero(odd)):
             if not len(group):
                 continue
             cut = [CUT.split(texts[i]) if odd[i] else texts[i].split(" ") for i in group.tolist()]
             words = pa.array([c for row in cut for c in row], pa.string()).dictionary_encode()
-            chunks = words.dictionary.to_pylist()
+            chunks = strings(words.dictionary)
             ids, n = self.assemble(chunks, self.known(chunks), words.indices.to_numpy(),
                                    np.array([len(row) for row in cut]), [row[0] for row in cut])
             sizes[group] = n
