@@ -19,7 +19,8 @@ target reaches is taken in part: ``taken`` then counts its first words, so
 each source's total is its target rounded down.
 
 Edge cases: null text has size 0; null source is a source of its own, last in
-order; documents of size 0 take 0 words and have no position; repeated ids are
+order; documents of size 0 take 0 words and have no position
+(``repeat_passes`` can keep them once, first); repeated ids are
 queued one after the other; an empty table gives an empty result.  Columns of
 ``df`` are kept; a result column replaces one of the same name.
 """
@@ -143,14 +144,20 @@ def mix(df: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "
             .select(*(column(rows, c) for c in names), *made))
 
 
-def repeat_passes(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
+def repeat_passes(mixed: DataFrame, columns: Sequence[str], wordless: bool = False) -> DataFrame:
     """One row per pass of a mixed document, whole texts, sorted by position.
 
     A document of which a pass takes only some words is trained whole: a
-    source overshoots its target by less than one document.
+    source overshoots its target by less than one document.  A document with
+    words whose source reaches its target before its turn has no row.  A
+    document without words (null, empty or blank text) takes nothing of any
+    target and has no pass: with ``wordless`` it stays, once, and comes first.
     """
-    turn = fresh(mixed, "mix_pass")
-    rows = mixed.withColumn(turn, F.explode("passes"))
+    turn, passes = fresh(mixed, "mix_pass"), F.col("passes")
+    if wordless:
+        none = F.array(F.lit(None).cast(mixed.schema["passes"].dataType.elementType))
+        passes = F.when(F.col("size") == 0, none).otherwise(passes)
+    rows = mixed.withColumn(turn, F.explode(passes))
     order = [F.col(turn)["position"]]
     return rows.repartitionByRange(*order).sortWithinPartitions(*order).select(
         *(column(rows, c) for c in columns))

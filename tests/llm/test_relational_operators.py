@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -294,6 +295,60 @@ def test_tool_links_long_chain(spark):
     assert sorted(r["depth"] for r in rows) == list(range(1500))
 
 
+def tiktoken_coder():
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+        ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def replayed_passes(docs):
+    """Rows that the mixing stage gives each document: water-filled targets, queues by the hash of the id."""
+    queues = defaultdict(list)
+    for k, source, n in docs:
+        mark = hashlib.md5(f"{mixing.SEED}:{k}".encode()).hexdigest()
+        queues[source].append((mark, n, k))
+    names = sorted(queues, key=lambda s: (s is None, s))
+    weight = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(names)}
+    own = {s: sum(n for _, n, _ in queues[s]) for s in names}
+    target, left, open_ones = {}, mixing.SHARE * sum(own.values()), set(names)
+    while open_ones:
+        level = left / sum(weight[s] for s in open_ones)
+        full = {s for s in open_ones if weight[s] * level > mixing.REPEATS * own[s]}
+        for s in full or open_ones:
+            target[s] = mixing.REPEATS * own[s] if full else weight[s] * level
+        left -= sum(target[s] for s in full)
+        open_ones = open_ones - full if full else set()
+    out = defaultdict(int)
+    for s in names:
+        begin = 0
+        for turn in range(mixing.REPEATS):
+            for _, n, k in sorted(queues[s]):
+                if n == 0:
+                    out[k] = 1
+                elif begin < int(target[s] + 1e-6):
+                    out[k] += 1
+                begin += n
+    return out
+
+
+def test_repeat_passes_keeps_documents_without_words(spark):
+    rows = [(1, "a b c d", "s"), (2, None, "s"), (3, "", None), (4, " \t", "s"), (5, "e f", "t"), (6, "g", "u"),
+            (2, None, "s"), (None, "", "t")]
+    docs = documents(spark, rows).withColumn("mix_pass", F.lit(1))
+    mixed = mixing.mix(docs, mixing.word_count(docs["text"]))
+    taken = {r["doc_id"]: len(r["passes"]) for r in mixed.filter("size > 0").collect()}
+    out = mixing.repeat_passes(mixed, [c for c in docs.columns if c != "size"], wordless=True).collect()
+    assert sorted(taken) == [1, 5, 6]
+    assert [r["doc_id"] for r in out[:5] if r["text"] and r["text"].strip()] == []
+    count = lambda k: sum(r["doc_id"] == k for r in out)
+    assert {k: count(k) for k in (1, 5, 6)} == taken
+    assert [count(k) for k in (2, 3, 4, None)] == [2, 1, 1, 1]
+
+
 def test_pipeline_equals_brute_force(spark, sf_small):
     import corpus_pipeline
 
@@ -309,8 +364,15 @@ def test_pipeline_equals_brute_force(spark, sf_small):
     size = {k: len(words_of(rows[k]["text"])) for k in kept}
     got = corpus_pipeline.run(spark, sf_small)
     counts = defaultdict(int)
+    coder = tiktoken_coder()
     for r in got.collect():
         counts[r["doc_id"]] += 1
+        text = rows[r["doc_id"]]["text"] or ""
+        ids = coder.encode_ordinary(text)
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+    assert counts == replayed_passes([(k, rows[k]["source"], size[k]) for k in kept])
     assert set(counts) <= set(kept) and max(counts.values()) <= 2 and got.columns[0] == "doc_id"
     total = sum(size.values())
     assert 1.4 * total <= sum(size[k] * n for k, n in counts.items()) <= 1.7 * total
