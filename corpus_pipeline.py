@@ -6,6 +6,7 @@
    with the smallest id stays;
 4. mixing: sources are brought to their target weights, a document is
    repeated for each pass that takes words of it, in the order of training;
+   one without words (null, empty or blank text) stays once;
 5. byte-level BPE: encode, decode, and return counts and digests per document.
 
 No stage can be given as SQL as a whole (a trained score decides the first),
@@ -36,7 +37,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.repeat_passes(mixing.mix(docs, mixing.word_count(docs["text"])), docs.columns)
+    return mixing.repeat_passes(mixing.mix(docs, mixing.word_count(docs["text"])), docs.columns,
+                                wordless=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
