@@ -22,18 +22,18 @@ files and no rows.  Extra columns are ignored.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .chunks import LETTER, ChunkEncoder, Pool, binary, runs
+from .chunks import LETTER, ChunkEncoder, Pool, binary, runs, strings
 from .common import SharedFile, column, open_folder, pieces, shared_folder, ship, stage
 from .huffman import LIMIT, STEP, Code, code_lengths
 
@@ -42,7 +42,7 @@ BLOCK = 1 << 16
 #: Bytes of text that are encoded together.
 SLICE = 1 << 22
 #: Words of letters, and how many of them make one text for the library.
-SPACED, LINE = re.compile(f" {LETTER}+"), 2000
+SPACED, LINE = rf"\A {LETTER}+\z", 2000
 
 
 def byte_letters() -> dict[int, str]:
@@ -80,14 +80,16 @@ def tokenizer(path: str) -> ChunkEncoder:
         return ids, np.diff(np.append(np.flatnonzero(begins[ids]), len(ids)))
 
     def encode_many(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        alone = np.array([SPACED.fullmatch(t) is not None for t in texts], bool)
-        pool = Pool(*encode_words([t for t, single in zip(texts, alone) if single]))
-        rest = [t for t, single in zip(texts, alone) if not single]
+        array = pa.array(texts, pa.string())
+        is_alone = pc.match_substring_regex(array, SPACED)
+        pool = Pool(*encode_words(strings(array.filter(is_alone))))
+        rest = strings(array.filter(pc.invert(is_alone)))
         coded = library.encode_batch_fast(rest, add_special_tokens=False) if rest else ()
         pool.add(*runs([e.ids for e in coded]))
+        alone = is_alone.to_numpy(zero_copy_only=False)
         order = np.zeros(len(texts), np.int64)
-        order[np.flatnonzero(alone)] = np.arange(alone.sum())
-        order[np.flatnonzero(~alone)] = alone.sum() + np.arange(len(rest))
+        order[alone] = np.arange(alone.sum())
+        order[~alone] = alone.sum() + np.arange(len(rest))
         return pool.take(order)
 
     return ChunkEncoder(encode_many)
