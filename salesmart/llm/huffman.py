@@ -54,19 +54,31 @@ class Code:
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Bits of ``ids``, padded to whole bytes, and the bit offset of every STEP-th id."""
+        payload, _, marks = self.encode_runs(ids, np.array([len(ids)]))
+        return payload, marks
+
+    def encode_runs(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """Bits of runs of ``ids``, each padded to whole bytes, one run after the other;
+        the bytes of each, and of each the bit offset (from its start) of every STEP-th id."""
         if not len(ids):
-            return b"", np.empty(0, np.uint64)
+            return b"", np.zeros(len(sizes), np.int64), np.empty(0, np.uint64)
         lengths = self.lengths[ids].astype(np.int64)
-        ends = np.cumsum(lengths)
-        begins, total = ends - lengths, int(ends[-1])
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        bits = np.diff(ends[edges])
+        filled = (bits + 7) // 8
+        starts = 8 * (np.cumsum(filled) - filled)
+        begins, total = ends[:-1] + np.repeat(starts - ends[edges[:-1]], sizes), int(filled.sum())
         word, inside = begins >> 5, begins & 31
         # a code is shorter than 32 bits, so it lies in its 32-bit word and the next one
         pair = self.codes[ids] << (64 - inside - lengths).astype(np.uint64)
-        size = (total + 31) // 32 + 1
+        size = total // 4 + 2
         words = np.bincount(word, (pair >> np.uint64(32)).astype(np.float64), size)
         words += np.bincount(word + 1, (pair & np.uint64(0xFFFFFFFF)).astype(np.float64), size + 1)[:size]
-        out = words.astype(np.uint64).astype(">u4").tobytes()[:(total + 7) // 8]
-        return out, begins[::STEP].astype(np.uint64)
+        out = words.astype(np.uint64).astype(">u4").tobytes()[:total]
+        marked = np.flatnonzero((np.arange(len(ids)) - np.repeat(edges[:-1], sizes)) % STEP == 0)
+        marks = begins[marked] - np.repeat(starts, (sizes + STEP - 1) // STEP)
+        return out, filled, marks.astype(np.uint64)
 
     def decode(self, payload: bytes, offsets: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Ids of all lanes, one after the other.

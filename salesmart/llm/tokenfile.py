@@ -41,6 +41,8 @@ MAGIC = b"IDSH0001"
 BLOCK = 1 << 16
 #: Bytes of text that are encoded together.
 SLICE = 1 << 22
+#: Bytes of ids that become codes together.
+RUNS = 1 << 20
 #: Words of letters, and how many of them make one text for the library.
 SPACED, LINE = rf"\A {LETTER}+\z", 2000
 
@@ -172,16 +174,13 @@ def write(tokens: DataFrame, counts: np.ndarray, limit: int = LIMIT) -> DataFram
     def encode(batches):
         code = Code(lengths)
         for batch in batches:
-            n, marks, payloads = [], [], []
-            for raw in batch.column(1).to_pylist():
-                ids = np.frombuffer(raw, kind)
-                payload, at = code.encode(ids)
-                n.append(len(ids))
-                marks.append(at.astype("<u8").tobytes())
-                payloads.append(payload)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(marks, pa.binary()),
-                 pa.array(payloads, pa.binary())], names=["doc_id", "n", "marks", "payload"])
+            for part in pieces(batch, 1, RUNS):
+                raw = part.column(1).to_pylist()
+                n = np.array([len(r) for r in raw]) // np.dtype(kind).itemsize
+                payload, filled, marks = code.encode_runs(np.frombuffer(b"".join(raw), kind), n)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(n, pa.int64()), binary(marks.astype("<u8"), (n + STEP - 1) // STEP),
+                     binary(np.frombuffer(payload, np.uint8), filled)], names=["doc_id", "n", "marks", "payload"])
 
     def save(batches):
         batches = (b for b in batches if b.num_rows)

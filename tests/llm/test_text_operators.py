@@ -76,6 +76,17 @@ def test_huffman_round_trip(ids):
     assert code.decode(payload, marks, lanes).tolist() == ids.tolist()
 
 
+def test_huffman_runs_equal_single_runs():
+    random = np.random.default_rng(5)
+    sizes = np.array([0, 1, 127, 128, 129, 0, 1000, 3, 0])
+    ids = random.integers(0, 300, sizes.sum())
+    code = huffman.Code(huffman.code_lengths(np.bincount(ids, minlength=300)))
+    payload, filled, marks = code.encode_runs(ids, sizes)
+    single = [code.encode(part) for part in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert payload == b"".join(p for p, _ in single) and filled.tolist() == [len(p) for p, _ in single]
+    assert marks.tolist() == [at for _, m in single for at in m.tolist()]
+
+
 def test_token_file_edge_cases_and_damage(spark, tmp_path):
     from tokenizers import Tokenizer
 
