@@ -112,7 +112,8 @@ def _exact_from_state(entity: str, period: str) -> Query:
 def _sketch_within_error(spark, sf):
     """Exact customers per employee and year, and whether the sketches' estimate is within its error."""
     wh = _wh(spark, sf)
-    exact = distinct_in_periods(wh.distinct_state("monthly_employee"), "monthly_employee", "yearly")
+    bitmaps = wh.distinct_state("monthly_employee")
+    exact = distinct_in_periods(bitmaps, "monthly_employee", "yearly", wh.state_partitions("monthly_employee"))
     rough = estimated_in_periods(wh.distinct_state("monthly_employee", "sketches"), "monthly_employee", "yearly")
     name = "unique_customers_serviced"
     joined = exact.join(rough.withColumnRenamed(name, "estimate"), ["year", "employee_id"], "left")

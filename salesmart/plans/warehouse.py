@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality
-from ..operators.distinct_state import exact_rollup, monthly_bitmaps, monthly_sketches
+from ..operators.distinct_state import exact_rollup, merge_partitions, monthly_bitmaps, monthly_sketches
 from ..operators.metrics import SPECS, monthly_metric
 from ..operators.rollups import ROLLUPS, rollup
 from ..schemas import DIMENSIONS, KEYS
@@ -184,7 +184,12 @@ class Warehouse:
     def exact_rollup(self, entity: str, period: str) -> DataFrame:
         """Roll-up with true distinct counts, merged from stored monthly state."""
         source = ROLLUPS[entity].source
-        return exact_rollup(self.monthly(source), self.distinct_state(source), entity, period)
+        return exact_rollup(self.monthly(source), self.distinct_state(source), entity, period, self.state_partitions(source))
+
+    def state_partitions(self, name: str) -> int | None:
+        """Partitions that merging a metric's bitmaps takes, by their counted number."""
+        key = f"{name}_bitmaps"
+        return merge_partitions(self.stager.staged[key].rows) if key in self.stager.staged else None
 
     def fact_by_month(self) -> DataFrame:
         """The cleansed fact, stored with one partition per month (column ``month_year``)."""
