@@ -21,7 +21,9 @@ fact is read three times, and whole rows move at most once:
    dimension) in one aggregation, pre-aggregated on the map side.  Ids counted
    twice and keys that their dimension lacks remain, usually few.
 2. ``rejected_marks``: every row is marked with what is wrong with it, one
-   skinny mark per fault; keys are looked up among the faulty ones in a single
+   skinny mark per fault.  The copies of a repeated id are known from its count.
+   Keys that a dimension lacks are looked up in broadcast sets as long as their
+   counted number allows it; those of the other dimensions in a single shuffle
    join.  The staged marks are the classification of the fact: the cleansing,
    the orphan report and the rejects report all read them instead of the fact.
 3. The ids that the marks remove leave in one anti join, the only place where
@@ -49,10 +51,20 @@ from ..schemas import KEYS, REQUIRED, TYPED_OVERRIDES, typed
 Stage = Callable[[DataFrame, str], DataFrame]
 
 
+#: Whether a set of so many keys may be broadcast.
+Fits = Callable[[int], bool]
+#: Copies of a repeated id that are marked from one array.
+COPIES_PER_BLOCK = 4096
+
+
 def lazy_stage(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def never_fits(rows: int) -> bool:
+    return False
+
+
 # Dimension key column of the fact for each dimension table.
 FACT_KEYS = {
     "customers": "customer_id",
@@ -125,7 +137,8 @@ def _key_marks() -> list:
 
 
 def faulty_keys(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """``(tag, key)``: ids that complete rows hold twice, and keys absent from their dimension.
+    """``(tag, key, copies)``: ids that complete rows hold twice, and keys absent from
+    their dimension, with the number of complete rows that hold them.
 
     ``key NOT IN (SELECT key FROM dim)`` per dimension: the dimensions must
     already be cleansed (keys non-NULL), so it agrees with the outer join's
@@ -140,26 +153,51 @@ def faulty_keys(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         dims[table].select(F.lit(table).alias("tag"), F.col(key).cast("long").alias("key"), F.lit(True).alias("known"))
         for table, key in FACT_KEYS.items()])
     faulty = F.when(F.col("tag") == FACT, F.col("copies") > 1).otherwise(F.col("known").isNull())
-    return counted.join(known, ["tag", "key"], "left").where(faulty).select("tag", "key")
+    return counted.join(known, ["tag", "key"], "left").where(faulty).select("tag", "key", "copies")
 
 
-def rejected_marks(fact: DataFrame, dims: dict[str, DataFrame], stage: Stage = lazy_stage) -> DataFrame:
+def _copies(faulty: DataFrame) -> DataFrame:
+    """``(transaction_id, tag, key)``: one mark per copy of a repeated id, in blocks so that no array grows with a hot id."""
+    begin = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES_PER_BLOCK).cast("long")))
+    blocks = faulty.where(F.col("tag") == FACT).select("tag", "key", "copies", begin.alias("begin"))
+    held = F.least(F.col("copies") - F.col("begin"), F.lit(COPIES_PER_BLOCK)).cast("int")
+    each = F.explode(F.array_repeat(F.col("key"), held))
+    return blocks.select("tag", each.alias("key")).select(F.col("key").alias(KEYS[FACT]), "tag", "key")
+
+
+def rejected_marks(fact: DataFrame, dims: dict[str, DataFrame], stage: Stage = lazy_stage,
+                   fits: Fits = never_fits) -> DataFrame:
     """``(transaction_id, tag, key)``: what is wrong with which row, one row per fault.
 
     Tags: ``missing`` (then nothing else is looked at), the fact's name for
     every copy of a repeated id, ``invalid`` values, and a dimension's name for
-    a key that it lacks.
+    a key that it lacks.  With ``fits`` the faulty keys of each dimension are
+    counted, and looked up by a broadcast if it says so.
     """
     id_col = KEYS[FACT]
     faulty = stage(faulty_keys(fact, dims), "missing_keys")
-    only = lambda tag: F.struct(F.lit(tag).alias("tag"), F.lit(None).cast("long").alias("key"))
-    none = F.array().cast("array<struct<tag:string,key:bigint>>")
-    marks = F.when(missing(FACT), F.array(only(MISSING))).otherwise(
-        F.concat(F.array(*_key_marks()), F.when(invalid_values(FACT), F.array(only(INVALID))).otherwise(none)))
-    rows = fact.select(F.col(id_col), F.explode(marks).alias("mark")).select(id_col, "mark.tag", "mark.key")
-    found = rows.join(faulty.withColumn("faulty", F.lit(True)), ["tag", "key"], "left")
-    wrong = F.col("faulty").isNotNull() | F.col("tag").isin(MISSING, INVALID)
-    return stage(found.where(wrong).select(id_col, "tag", "key"), "rejected_marks")
+    counts = {} if fits is never_fits else {
+        r["tag"]: r["count"] for r in faulty.where(F.col("tag") != FACT).groupBy("tag").count().collect()}
+    looked_up = [t for t in FACT_KEYS if fits is not never_fits and fits(counts.get(t, 0))]
+    rows = fact
+    for t in looked_up:
+        if counts.get(t):
+            lacking = faulty.where(F.col("tag") == t).select(F.col("key").alias(f"_{t}"))
+            rows = rows.join(F.broadcast(lacking), F.col(FACT_KEYS[t]).cast("long") == F.col(f"_{t}"), "left")
+    mark = lambda tag, key, wrong: F.struct(
+        F.lit(tag).alias("tag"), key.cast("long").alias("key"), wrong.cast("boolean").alias("wrong"))
+    nothing, complete = F.lit(None), ~missing(FACT)
+    marks = [mark(MISSING, nothing, missing(FACT)), mark(INVALID, nothing, complete & invalid_values(FACT))]
+    marks += [mark(t, F.col(FACT_KEYS[t]), complete & F.col(f"_{t}").isNotNull()) for t in looked_up if counts.get(t)]
+    # keys that are not looked up row by row: NULL until they are joined
+    rest = [t for t in FACT_KEYS if t not in looked_up]
+    marks += [mark(t, F.col(FACT_KEYS[t]), F.when(missing(FACT), F.lit(False))) for t in rest]
+    found = (rows.select(F.col(id_col), F.explode(F.array(*marks)).alias("mark"))
+             .select(id_col, "mark.tag", "mark.key", "mark.wrong").where("wrong IS NULL OR wrong"))
+    if rest:
+        joined = faulty.where(F.col("tag").isin(rest)).select("tag", "key", F.lit(True).alias("faulty"))
+        found = found.join(joined, ["tag", "key"], "left").where(F.col("wrong") | F.col("faulty"))
+    return stage(found.select(id_col, "tag", "key").unionByName(_copies(faulty)), "rejected_marks")
 
 
 # --------------------------------------------------------------------------
@@ -195,14 +233,15 @@ def transaction_removals(marks: DataFrame) -> DataFrame:
 
 
 def cleanse_transactions(fact: DataFrame, dims: dict[str, DataFrame], stage: Stage = lazy_stage,
-                         marks: DataFrame | None = None) -> DataFrame:
+                         marks: DataFrame | None = None, fits: Fits = never_fits) -> DataFrame:
     """Cleansed, typed fact.  ``dims`` must be the cleansed dimensions; ``marks``
     are those of ``rejected_marks``, if they are at hand."""
-    marks = rejected_marks(fact, dims, stage) if marks is None else marks
+    marks = rejected_marks(fact, dims, stage, fits) if marks is None else marks
     removed = stage(transaction_removals(marks), "removed_ids")
     passed = drop_missing(fact, REQUIRED[FACT])
-    kept = drop_invalid(passed, FACT).join(removed, KEYS[FACT], "left_anti")
-    return to_typed(kept, FACT)
+    # typed rows are narrower than landed ones: they cross the exchange
+    kept = to_typed(drop_invalid(passed, FACT), FACT)
+    return kept.join(removed, KEYS[FACT], "left_anti").select(*kept.columns)
 
 
 # --------------------------------------------------------------------------

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from ..operators.rollups import ROLLUPS
 from ..schemas import BASE_TABLES, METRICS, typed
-from ..session import configure
+from ..session import SHUFFLE_SETTINGS, configure
 from .warehouse import Warehouse
 
 PERIODS = ("quarterly", "yearly")
@@ -158,7 +158,9 @@ def run_sql(wh: Warehouse, text: str) -> DataFrame:
     try:
         needed = _check_parsed(wh.spark, query)
         session = configure(wh.spark.newSession())
-        session.conf.set("spark.sql.shuffle.partitions", wh.spark.conf.get("spark.sql.shuffle.partitions"))
+        for setting in SHUFFLE_SETTINGS:
+            if (value := wh.spark.conf.get(setting, None)) is not None:
+                session.conf.set(setting, value)
         classic = wh.spark._jvm.org.apache.spark.sql.classic.Dataset
         for name in needed:
             # the same plan in the child session: temporary views belong to the session of their frame

@@ -11,7 +11,6 @@ shuffle join and AQE (skew split, coalescing) handles it.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JError
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path, scratch_root
+from ..session import conf_bytes, scratch_path, scratch_root
 
 # Upper bound on the broadcast size when the session sets none.
 DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
@@ -39,20 +38,13 @@ def row_width(schema: T.StructType) -> int:
     return width
 
 
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30}
-
-
 def broadcast_limit(spark: SparkSession) -> int:
     """The session's ``autoBroadcastJoinThreshold`` in bytes (<= 0: never)."""
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold",
-                             str(DEFAULT_BROADCAST_BYTES))).strip().lower()
-    m = re.fullmatch(r"(-?\d+)\s*([kmg]?b?)", raw)
-    if not m:
-        return DEFAULT_BROADCAST_BYTES
-    return int(m.group(1)) * _UNITS[m.group(2)]
+    return conf_bytes(spark, "spark.sql.autoBroadcastJoinThreshold", DEFAULT_BROADCAST_BYTES)
 
 
+#: Parquet codec of staged tables: written once, read a few times.
+CODEC = "zstd"
 STAGE_DATABASE = "salesmart_stage"
 
 
@@ -114,16 +106,16 @@ class Stager:
         if bucket_by:
             n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             table = f"{stage_database(self.spark)}.{name}_{path.rsplit('/', 1)[-1]}"
-            (counted.repartition(n, bucket_by).write.mode("overwrite").format("parquet")
+            (counted.repartition(n, bucket_by).write.mode("overwrite").format("parquet").option("compression", CODEC)
              .bucketBy(n, bucket_by).sortBy(bucket_by).option("path", path)
              .saveAsTable(table))
             back = self.spark.table(table)
         elif partition_by:
-            (counted.hint("rebalance", partition_by).write.mode("overwrite")
+            (counted.hint("rebalance", partition_by).write.mode("overwrite").option("compression", CODEC)
              .partitionBy(partition_by).parquet(path))
             back = self.spark.read.schema(df.schema).parquet(path)
         else:
-            counted.write.mode("overwrite").parquet(path)
+            counted.write.mode("overwrite").option("compression", CODEC).parquet(path)
             back = self.spark.read.schema(df.schema).parquet(path)
         rows = _observed_rows(obs)
         self.staged[name] = Staged(back, path, rows)
@@ -136,6 +128,17 @@ class Stager:
         limit = broadcast_limit(self.spark)
         return limit > 0 and st.rows * row_width(st.df.schema) <= limit
 
+    def fits_lookup(self, rows: int) -> bool:
+        """Whether a set of that many long keys, as counted, may be broadcast.
+
+        A counted size is held against AQE's threshold for measured sizes; a
+        session that broadcasts nothing broadcasts no lookups either.
+        """
+        if broadcast_limit(self.spark) <= 0:
+            return False
+        limit = conf_bytes(self.spark, "spark.sql.adaptive.autoBroadcastJoinThreshold", broadcast_limit(self.spark))
+        return limit > 0 and rows * row_width(T.StructType([T.StructField("key", T.LongType())])) <= limit
+
     def side(self, df: DataFrame, name: str) -> DataFrame:
         """Build side of a join: broadcast iff the staged table ``name`` fits."""
         return F.broadcast(df) if self.fits_broadcast(name) else df

@@ -29,9 +29,10 @@ from ..operators.distinct_state import exact_rollup, merge_partitions, monthly_b
 from ..operators.metrics import SPECS, monthly_metric
 from ..operators.rollups import ROLLUPS, rollup
 from ..schemas import DIMENSIONS, KEYS
+from ..session import scale_partitions
 from ..sinks.tables import append_load, refresh
 from ..sources import csv_landing, testdata
-from ..sources.listing import fingerprint
+from ..sources.listing import fingerprint, list_files
 from .stage import Stager
 
 MONTH_COLUMN = "month_year"
@@ -116,7 +117,8 @@ class Warehouse:
         """Stored classification of the fact: what is wrong with which row."""
         if "marks" not in self._tables:
             dims = self._dimensions()
-            self._tables["marks"] = quality.rejected_marks(self.landing("transactions"), dims, self.stager.stage)
+            self._tables["marks"] = quality.rejected_marks(self.landing("transactions"), dims, self.stager.stage,
+                                                           self.stager.fits_lookup)
         return self._tables["marks"]
 
     def orphans(self) -> DataFrame:
@@ -284,7 +286,9 @@ def warehouse(spark: SparkSession, sf_dir: str, faults: str = "fact",
     holds the names, times and sizes of the files it was built from.
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), faults, strategy, partition_fact)
-    state = fingerprint(spark, *(os.path.join(sf_dir, f"{t}.parquet") for t in testdata.SOURCES))
+    sources = [os.path.join(sf_dir, f"{t}.parquet") for t in testdata.SOURCES]
+    state = fingerprint(spark, *sources)
+    scale_partitions(spark, sum(f.size for f in list_files(spark, *sources)))
     built, wh = _CACHE.get(key, ("", None))
     if wh is None or built != state:
         wh = Warehouse(spark, sf_dir, faults, strategy=strategy, partition_fact=partition_fact)

@@ -10,6 +10,7 @@ is local (tests, bench).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -28,6 +29,52 @@ RUNTIME_CONF = {
 }
 
 
+# Bytes of stored input per shuffle partition, and the most that AQE may merge into one.
+INPUT_PER_PARTITION = 4 << 20
+MERGED_PARTITION = 16 << 20
+
+#: Settings that a child session takes over.
+SHUFFLE_SETTINGS = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                    "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30}
+
+
+def conf_bytes(spark: SparkSession, key: str, default: int) -> int:
+    """A size setting of the session in bytes."""
+    raw = str(spark.conf.get(key, str(default))).strip().lower()
+    m = re.fullmatch(r"(-?\d+)\s*([kmg]?b?)", raw)
+    return int(m.group(1)) * _UNITS[m.group(2)] if m else default
+
+
+def partitions_for(spark: SparkSession, input_bytes: int) -> int:
+    """Shuffle partitions for an input: the session's number, or one per ``INPUT_PER_PARTITION``."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // INPUT_PER_PARTITION))
+
+
+def scale_partitions(spark: SparkSession, input_bytes: int) -> None:
+    """Let the shuffles of the session begin with as many partitions as an input needs.
+
+    A fixed number of partitions makes every task's share, and so what it sorts
+    in memory and spills, grow with the input.  AQE merges the small ones.  An
+    input for which the session's own number does leaves the session as it was.
+    """
+    initial, ours = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "salesmart.initialPartitions"
+    if (value := spark.conf.get(ours, None)) is not None:
+        if spark.conf.get(initial, None) == value:
+            spark.conf.unset(initial)
+        spark.conf.unset(ours)
+    n = partitions_for(spark, input_bytes)
+    if n <= max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get(initial, None) or 0)):
+        return
+    for key in (initial, ours):
+        spark.conf.set(key, str(n))
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    if conf_bytes(spark, advisory, 64 << 20) > MERGED_PARTITION:
+        spark.conf.set(advisory, str(MERGED_PARTITION))
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "salesmart", extra: dict | None = None) -> SparkSession:
     """Local session for tests and the bench (UI off, scratch dir set)."""
