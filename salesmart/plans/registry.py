@@ -22,7 +22,7 @@ from ..operators.distinct_state import SKETCH_ERROR, distinct_in_periods, estima
 from ..operators.metrics import SPECS, average_columns, monthly_metric
 from ..operators.rollups import ROLLUPS, exact_distinct_rollup
 from ..schemas import DIMENSIONS, METRICS
-from ..session import configure, scratch_path
+from ..session import INPUT_PER_PARTITION, configure, scratch_path
 from ..sinks import tables as sinks
 from ..sources import csv_landing, testdata
 from ..sources.listing import list_files
@@ -295,8 +295,7 @@ def _ingest_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "landing_csv", "transactions", unique=True)
     csv_landing.land_csv(testdata.landing_table(spark, sf, "transactions", "fact"), path)
     fact = csv_landing.read_landing_csv(spark, path, "transactions")
-    dims = {d: wh.dimension_side(d) for d in DIMENSIONS}
-    return quality.cleanse_transactions(fact, dims)
+    return _cleansed(spark, wh, fact, "ingest_csv")
 
 
 def _ingest_stream(spark, sf):
@@ -305,11 +304,24 @@ def _ingest_stream(spark, sf):
     base = scratch_path(spark, "ingest_stream", unique=True)
     src, sink, ckpt = (os.path.join(base, p) for p in ("source", "landed", "checkpoint"))
     land = testdata.landing_table(spark, sf, "transactions", "fact")
-    csv_landing.land_csv(land.repartition(4, "transaction_id"), src)
-    ingest_available(spark, src, "transactions", sink, ckpt, max_files_per_trigger=2)
-    fact = spark.read.parquet(sink)
+    # files of a bounded size, half of them per batch
+    files = _stream_files(spark, sf)
+    csv_landing.land_csv(land.repartition(files, "transaction_id"), src)
+    ingest_available(spark, src, "transactions", sink, ckpt, max_files_per_trigger=-(-files // 2))
+    return _cleansed(spark, wh, spark.read.parquet(sink), "ingest_stream")
+
+
+def _stream_files(spark, sf) -> int:
+    """CSV files that the raw fact lands in: four, or one per 4 MB of what it is made from."""
+    sources = list_files(spark, *(os.path.join(sf, f"{t}.parquet") for t in ("lineitem", "orders")))
+    return max(4, -(-sum(f.size for f in sources) // INPUT_PER_PARTITION))
+
+
+def _cleansed(spark, wh, fact, prefix: str) -> DataFrame:
+    """An ingested fact against the warehouse's dimensions; the small sets between are staged."""
+    stager = Stager(spark, prefix)
     dims = {d: wh.dimension_side(d) for d in DIMENSIONS}
-    return quality.cleanse_transactions(fact, dims)
+    return quality.cleanse_transactions(fact, dims, stager.stage, fits=stager.fits_lookup)
 
 
 def _land_files(spark, rows, folder: str) -> None:
