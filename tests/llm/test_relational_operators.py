@@ -23,7 +23,7 @@ def documents(spark, rows):
 
 def oracle(sf, name, columns):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     return con.sql(f"SELECT {', '.join(columns)} FROM ({registry.SQL[name]})").fetchall()
 
