@@ -14,7 +14,8 @@ bytes that repeats cover leave.  Windows are judged on the input alone.
 4. The different fragments of a key are written one after the other, and a
    suffix array (``suffixes``, linear grouping) sorts their suffixes.  Windows
    that are neighbours there and agree in ``width`` bytes are a class; all
-   but its earliest are repeats.
+   but its earliest are repeats.  Keys are sorted side by side, in as many steps
+   as the longest needs, so keys with as many fragments stand together.
 5. A key with more than PART different fragments, say at the edges of a
    passage that many documents quote, is dealt over parts of about PART.  Each
    part sorts its own and names the earliest window of each class; these
@@ -152,7 +153,7 @@ def _fragment_rows(docs: DataFrame, width: int, gram: int) -> DataFrame:
 
 
 def _cut(chosen: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """The bytes of chosen fragments: key, part, parts, document, begin, windows, bytes."""
+    """The bytes of chosen fragments: key, different, part, parts, document, begin, windows, bytes."""
     def pack(batches):
         squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
@@ -166,18 +167,19 @@ def _cut(chosen: DataFrame, docs: DataFrame, width: int) -> DataFrame:
             for i, (frame, wanted) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())):
                 text = grow.decompress(frame)
                 for w in wanted:
-                    rows.append((i, w["key"], w["part"], w["parts"], w["begin"], w["windows"]))
+                    rows.append((i, w["key"], w["different"], w["part"], w["parts"], w["begin"], w["windows"]))
                     bytes_.append(text[w["begin"]:w["begin"] + w["windows"] + width - 1])
-            which, *rest = (np.array(rows, np.int64).reshape(-1, 6).T)
+            which, *rest = (np.array(rows, np.int64).reshape(-1, 7).T)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i).take(pa.array(which)) for i in range(3)), *map(pa.array, rest), pa.array(bytes_, pa.binary())],
-                names=[*DOC, "key", "part", "parts", "begin", "windows", "bytes"])
+                names=[*DOC, "key", "different", "part", "parts", "begin", "windows", "bytes"])
 
-    wanted = chosen.groupBy(*DOC).agg(F.collect_list(F.struct("key", "part", "parts", "begin", "windows")).alias("wanted"))
+    wanted = chosen.groupBy(*DOC).agg(F.collect_list(F.struct("key", "different", "part", "parts", "begin", "windows")).alias("wanted"))
     # repeated rows of one document are one: their text is taken once, map-side first
     texts = docs.mapInArrow(pack, docs.schema).groupBy(*DOC).agg(F.first("text").alias("text"))
     return texts.join(wanted, DOC).mapInArrow(
-        run, "none boolean, id long, same long, key long, part long, parts long, begin long, windows long, bytes binary")
+        run, "none boolean, id long, same long, key long, different long, part long, parts long, begin long, windows long, "
+             "bytes binary")
 
 
 def _classes(fragments_: dict, width: int):
@@ -231,6 +233,11 @@ def _classes(fragments_: dict, width: int):
     return removed, (fragment[rest], window[rest])
 
 
+def _lined_up(cut: DataFrame) -> DataFrame:
+    """The fragments of each key and part one after the other, keys with fewer different fragments first."""
+    return cut.repartition("key", "part").sortWithinPartitions("different", "key", "part", *DOC, "begin")
+
+
 def _sorted_parts(cut: DataFrame, width: int) -> DataFrame:
     """document, begin, stop of repeats (high, low null), and of the remaining windows of split keys with their digest."""
     def flush(held):
@@ -277,8 +284,7 @@ def _sorted_parts(cut: DataFrame, width: int) -> DataFrame:
         if held:
             yield from flush(held)
 
-    ready = cut.repartition("key", "part").sortWithinPartitions("key", "part", *DOC, "begin")
-    return ready.mapInArrow(run, "none boolean, id long, same long, begin long, stop long, high long, low long")
+    return _lined_up(cut).mapInArrow(run, "none boolean, id long, same long, begin long, stop long, high long, low long")
 
 
 def _position() -> Column:
@@ -304,9 +310,9 @@ def spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
               .select(*DOC, "begin", (F.col("begin") + F.col("windows") + (width - 1)).alias("stop")))
 
     several = stage(same.groupBy("key").agg(F.count(F.lit(1)).alias("different"), F.max("again").alias("again"))
-                    .filter("different > 1 or again").select("key", F.ceil(F.col("different") / PART).alias("parts")))
+                    .filter("different > 1 or again").select("key", "different", F.ceil(F.col("different") / PART).alias("parts")))
     chosen = (same.join(several, "key")
-              .select("key", "first.*", "windows", "parts", F.pmod("digest", F.col("parts")).alias("part")))
+              .select("key", "different", "first.*", "windows", "parts", F.pmod("digest", F.col("parts")).alias("part")))
     judged = stage(_sorted_parts(_cut(chosen, docs, width), width))
 
     left = judged.filter("low is not null")

@@ -85,6 +85,20 @@ def test_fragments_cover_every_window_of_long_texts(monkeypatch):
         assert sorted(at) == list(range(max(len(text) - 99, 0)))
 
 
+def test_fragments_of_keys_of_one_size_stand_together(spark):
+    rows = [(False, d, 0, key, n, part, 1 + n // 9, 0, 50, b"x") for key in range(40) for n in [2 + key * 7 % 11]
+            for part in range(1 + n // 9) for d in range(n)]
+    cut = spark.createDataFrame(rows, "none boolean, id long, same long, key long, different long, part long, parts long, "
+                                      "begin long, windows long, bytes binary")
+    lined = repeats._lined_up(cut.repartition(7)).select(F.spark_partition_id().alias("task"), "different", "key", "part").collect()
+    for task in {r["task"] for r in lined}:
+        own = [r[1:] for r in lined if r["task"] == task]
+        assert [r[0] for r in own] == sorted(r[0] for r in own)
+        groups = [g for g, before in zip(own, [None, *own]) if g != before]
+        assert len(groups) == len(set(groups))  # each whole
+    assert sorted(r[1:] for r in lined) == sorted((n, key, part) for _, _, _, key, n, part, *_ in rows)
+
+
 def test_repeats_query_equals_brute_force(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
