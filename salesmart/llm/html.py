@@ -30,8 +30,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -41,12 +41,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SharedFile, column, open_folder, release, shared_folder, ship, stage
+from .common import SharedFile, column, open_folder, release, shared_folder, ship, slices, stage
 
 RUN, PART, BUCKET, SLICES = 6, 1 << 20, 1 << 21, 3
 #: When a block of an article is boilerplate: share of its words covered, pages of the host and their share.
 WHOLE, MANY, SHARE = 0.9, 8, 0.5
 MIX, STEP = np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
+#: The lowest 0 to 8 bytes; bytes of a word from which it is hashed alone; characters of the pages hashed together.
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+LONG, TOGETHER = 256, 1 << 16
 
 # Element names and the words in class, id and role that mark what is not the article.
 HIDDEN = frozenset("script style template noscript iframe svg head title select textarea button datalist".split())
@@ -69,11 +72,11 @@ LAYOUT = frozenset("has no not with without is hide show if".split())
 BOXES = frozenset("area areas wrapper wrap container content box bar block blocks list lists section slot slots inner outer unit "
                   "left right top bottom item items links posts articles stories primary secondary".split())
 MAIN = frozenset(("article", "main"))
-BLANK = re.compile(r"\s+")
 PARTS = re.compile(r"[a-z]+")
 
 
-def marks(value: str) -> set[str]:
+@lru_cache(maxsize=4096)
+def marks(value: str) -> frozenset[str]:
     """The marks among the names in a class, id or role: a name ends in one, apart from words for boxes."""
     found = set()
     for name in re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower().split():
@@ -83,7 +86,7 @@ def marks(value: str) -> set[str]:
         while len(parts) > 1 and parts[-1] in BOXES:
             parts.pop()
         found.update(parts[-1:])
-    return found & (MARKS | HEADS)
+    return frozenset(found & (MARKS | HEADS))
 
 
 @dataclass
@@ -101,13 +104,16 @@ class Blocks(HTMLParser):
         super().__init__(convert_charrefs=True)
         # element, hidden, marked, level, outer
         self.open: list[tuple[str, bool, bool, int, bool]] = [("", False, False, 0, False)]
-        self.names: Counter[str] = Counter()  # open elements by name
+        self.names: dict[str, int] = {}  # open elements by name
         self.words: list[str] = []
         self.found: list[Block] = []
 
+    def updatepos(self, i, j):
+        return j  # nothing asks for lines and columns
+
     def end_block(self):
         if self.words:
-            text = BLANK.sub(" ", "".join(self.words)).strip()
+            text = " ".join("".join(self.words).split())
             if text:
                 _, _, marked, level, outer = self.open[-1]
                 self.found.append(Block(text, level, marked, outer))
@@ -134,22 +140,23 @@ class Blocks(HTMLParser):
         if own > level:  # the marks of what is around it end here
             level, outer, marked = own, outer or marked, False
         if tag not in ("html", "body", "article", "main") and not marked:
-            named = set().union(*(marks(v) for k, v in attrs if k in ("class", "id", "role") and v))
+            named = frozenset().union(*(marks(v) for k, v in attrs if k in ("class", "id", "role") and v))
             if level and tag in TEXTS:
                 named -= SOFT
             marked = (tag in ASIDE or bool(named & MARKS) or level == 0 and (tag == "header" or bool(named & HEADS)))
         hidden = hidden or tag in HIDDEN or any(k == "hidden" for k, _ in attrs)
         self.open.append((tag, hidden, marked, level, outer))
-        self.names[tag] += 1
+        self.names[tag] = self.names.get(tag, 0) + 1
 
     def close_from(self, i: int):
-        self.names.subtract(name for name, *_ in self.open[i:])
+        for name, *_ in self.open[i:]:
+            self.names[name] -= 1
         del self.open[i:]
 
     def handle_endtag(self, tag):
         if tag not in INLINE:
             self.end_block()
-        if not self.names[tag]:  # else a page of stray end tags would walk its open elements again and again
+        if not self.names.get(tag):  # else a page of stray end tags would walk its open elements again and again
             return
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i][0] == tag:
@@ -253,13 +260,13 @@ def main_texts(pages: list[str | None]) -> list[str]:
     streams = [[w for b in page for w in b.text.split(" ")] for page in found]
     hashes, cover = Runs(), repeated(streams)
     runs, counts = np.unique(np.concatenate([np.zeros(0, np.uint64)] + [
-        np.unique(hashes(s, "")) for s in dict(zip(map(tuple, streams), streams)).values()]), return_counts=True)
+        np.unique(hashes(" ".join(s), "")) for s in dict(zip(map(tuple, streams), streams)).values()]), return_counts=True)
     least = max(MANY, SHARE * len(set(map(tuple, streams))))
     out = []
     for page, stream, gone in zip(found, streams, cover):
         wanted, trusted = judged(page)
         out.append(main_text([b.text for b in page], wanted, trusted, gone,
-                             spread(np.isin(hashes(stream, ""), runs[counts >= least]), len(stream))))
+                             spread(np.isin(hashes(" ".join(stream), ""), runs[counts >= least]), len(stream))))
     return out
 
 
@@ -269,15 +276,50 @@ class Runs:
     def host(self, host: str) -> np.ndarray:
         return np.array([xxhash.xxh3_64_intdigest("//" + host)], np.uint64)
 
-    def __call__(self, words: list[str], host: str) -> np.ndarray:
-        n = len(words) - RUN + 1
-        if n <= 0:
-            return np.zeros(0, np.uint64)
-        h, total = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), np.zeros(n, np.uint64)
+    def words(self, raw: bytes) -> np.ndarray:
+        """A hash per word, eight bytes at a time; words have one space or line feed between them."""
+        data = np.frombuffer(raw + bytes(8), np.uint8)
+        eight = np.ndarray((len(raw) + 1,), "<u8", data, strides=(1,))
+        begin = np.concatenate([[0], np.flatnonzero((data[:len(raw)] == 32) | (data[:len(raw)] == 10)) + 1])
+        size = np.append(begin[1:] - 1, len(raw)) - begin
+        out = size.astype(np.uint64) * MIX
+        rest, at = np.arange(len(size)), 0
+        while len(rest):
+            part = (eight[begin[rest] + at] & MASKS[np.minimum(size[rest] - at, 8)]) * STEP
+            part = (out[rest] ^ part ^ (part >> np.uint64(32))) * MIX
+            out[rest] = part ^ (part >> np.uint64(29))
+            at += 8
+            rest = rest[size[rest] > at]
+            if at == LONG:
+                for i in rest.tolist():
+                    out[i] = xxhash.xxh3_64_intdigest(raw[begin[i]:begin[i] + size[i]])
+                break
+        return out
+
+    def pages(self, texts: list[str], hosts: list[str]) -> list[np.ndarray]:
+        """The hashes of some pages: their words (see ``words``) and hosts."""
+        counts = np.array([t.count(" ") + t.count("\n") + 1 if t else 0 for t in texts])
+        ends = np.cumsum(counts)
+        if not len(ends) or ends[-1] < RUN:
+            return [np.zeros(0, np.uint64)] * len(texts)
+        h = self.words("\n".join(filter(None, texts)).encode())
+        n = len(h) - RUN + 1
+        total = np.zeros(n, np.uint64)
         for i in range(RUN):
             total = (total ^ (total >> np.uint64(31))) * STEP + h[i:i + n]
-        total = (total ^ (total >> np.uint64(30))) * MIX + self.host(host)
-        return (total ^ (total >> np.uint64(31))) * STEP
+        total = (total ^ (total >> np.uint64(30))) * MIX
+        total += np.repeat(np.concatenate(list(map(self.host, hosts))), counts)[:n]
+        total = (total ^ (total >> np.uint64(31))) * STEP
+        # runs from one page into the next are left out
+        return [total[e - c:max(e - c, e - RUN + 1)] for c, e in zip(counts.tolist(), ends.tolist())]
+
+    def each(self, texts: list[str], hosts: list[str]):
+        """``pages``, a few at a time."""
+        for a, b in slices(texts, TOGETHER):
+            yield from self.pages(texts[a:b], hosts[a:b])
+
+    def __call__(self, text: str, host: str) -> np.ndarray:
+        return self.pages([text], [host])[0]
 
 
 def spread(starts: np.ndarray, n: int) -> np.ndarray:
@@ -398,14 +440,14 @@ def repeats(pages: DataFrame, buckets: int, slices: int = SLICES) -> str:
                     [("bucket", pa.int32()), ("part", pa.int64()), ("runs", pa.binary()), ("counts", pa.binary())]))
 
             for batch in batches:
-                for host, part, place, text in zip(*(c.to_pylist() for c in batch.columns)):
+                hosts, parts, places, texts = (c.to_pylist() for c in batch.columns)
+                for part, place, host, own in zip(parts, places, hosts, hashes.each(texts, hosts)):
                     if part != at or size > 2 * PART:
                         if held:
                             yield sent()
                         if part != at:
                             again = frozenset(x for f in read_files(twice, part) for x in np.frombuffer(f, np.int32).tolist())
                         at, held, size = part, [], 0
-                    own = hashes(text.replace("\n", " ").split(" ") if text else [], host)
                     size += len(own)
                     own = np.concatenate([own, hashes.host(host)])
                     held.append((np.unique(own[own % np.uint64(slices) == turn]), place not in again))
@@ -481,7 +523,7 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
         for batch in batches:
             ids, urls, hosts, parts, trust, want, texts = (c.to_pylist() for c in batch.columns)
             out = []
-            for host, part, trusted, wanted, text in zip(hosts, parts, trust, want, texts):
+            for host, part, trusted, wanted, text, own in zip(hosts, parts, trust, want, texts, hashes.each(texts, hosts)):
                 if part != at:
                     at, runs, counts = part, [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
                     for data in read_files(folder, part):
@@ -491,13 +533,13 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
                     runs, place = np.unique(np.concatenate(runs), return_index=True)
                     counts = np.append(np.concatenate(counts)[place], np.uint32(0))
                     runs = np.append(runs, np.uint64(0))
-                stream = text.replace("\n", " ").split(" ") if text else []
-                own = np.concatenate([hashes(stream, host), hashes.host(host)])
+                n = text.count(" ") + text.count("\n") + 1 if text else 0
+                own = np.concatenate([own, hashes.host(host)])
                 spot = np.searchsorted(runs[:-1], own)
                 seen = np.where(runs[spot] == own, counts[spot], 0)
                 least = max(MANY, SHARE * int(seen[-1]))
                 out.append(main_text(text.split("\n") if text else [], list(wanted), trusted,
-                                     spread(seen[:-1] > 1, len(stream)), spread(seen[:-1] >= least, len(stream))))
+                                     spread(seen[:-1] > 1, n), spread(seen[:-1] >= least, n)))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(out, pa.string())],
                                              names=["page_id", "url", "text"])
 
