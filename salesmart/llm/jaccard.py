@@ -17,8 +17,14 @@ each breaks ties by its own hash.
    one only, so a group of near copies costs two pairs per member.
 5. Then all pairs of nodes that share a posting but not yet a component.  This
    is the exact remainder: a link between two components is always among them.
-6. Pairs are filtered by size, by the prefixes of the other orders (they must
-   meet in each), and then verified on the whole sets.
+   In a posting whose nodes are mostly in components of their own, nodes are
+   paired; in one of large components, the components first.
+6. Pairs are filtered by size and by sketches of the whole sets: 1,024 bits (256
+   within postings), each the parity of the tokens that fall on it.  A token in
+   one set only turns one bit, so sets that link differ in
+   ``(100 - percent) * (a + b) / (100 + percent)`` bits at most.  Then texts move, for the pairs that are left: they are filtered
+   by the prefixes of the other orders (they must meet in each), and verified on
+   the whole sets.
 
 Tokens are 64-bit hashes of shingles.
 
@@ -35,6 +41,7 @@ results.  Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +59,8 @@ ORDERS = 3
 TWIST = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 #: Partners that are sent along with one document to be verified.
 CHUNK = 64
+#: Columns of a sketch, 64 bits each, and how many a folded one has.
+SKETCH, FOLDED = [f"s{i}" for i in range(16)], 4
 
 
 class Hasher:
@@ -101,6 +110,13 @@ def prefix(tokens: np.ndarray, common: np.ndarray, percent: int, order: int) ->
     return np.argpartition(rank, n - 1)[:n]
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """For each bit, whether an odd number of tokens falls on it; as 64-bit numbers."""
+    place = ((tokens * TWIST[0]) >> np.uint64(32)) % np.uint64(64 * len(SKETCH))
+    odd = np.bincount(place.astype(np.int64), minlength=64 * len(SKETCH)) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
     """Size of the intersection of two sorted sets."""
     if not len(a) or not len(b):
@@ -148,30 +164,33 @@ def frequent_tokens(df: DataFrame, width: int) -> np.ndarray:
 
 
 def documents_table(df: DataFrame, width: int, percent: int) -> DataFrame:
-    """Staged: row, doc_id, same (hash of the text), n, digest of the token set, and the prefix of the
-    first order, its frequent tokens (``often``) apart from the others (``seldom``)."""
+    """Staged: row, doc_id, same (hash of the text), n, digest and sketch of the token set, and the prefix of
+    the first order, its frequent tokens (``often``) apart from the others (``seldom``)."""
     hot, spark = frequent_tokens(df.select("text"), width), df.sparkSession
     sent = spark.sparkContext.broadcast(hot)  # HOT numbers of 8 bytes at most
 
     def run(batches):
         make = Hasher(width)
         for batch in batches:
-            n, digests, seldom, often = [], [], [], []
+            n, digests, seldom, often, drawn = [], [], [], [], [np.zeros((0, len(SKETCH)), np.int64)]
             for text in batch.column(2).to_pylist():
                 tokens = make(text)
                 n.append(len(tokens))
                 digests.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
+                drawn.append(sketch(tokens)[None])
                 common = is_common(tokens, sent.value)
                 first = prefix(tokens, common, percent, 0)
                 seldom.append(tokens[first[~common[first]]].view(np.int64))
                 often.append(tokens[first[common[first]]].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(seldom, pa.list_(pa.int64())), pa.array(often, pa.list_(pa.int64()))],
-                names=["doc_id", "same", "n", "digest", "seldom", "often"])
+                 pa.array(seldom, pa.list_(pa.int64())), pa.array(often, pa.list_(pa.int64())),
+                 *map(pa.array, np.concatenate(drawn).T)],
+                names=["doc_id", "same", "n", "digest", "seldom", "often", *SKETCH])
 
     rows = df.select("doc_id", F.xxhash64("text").alias("same"), F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, "doc_id long, same long, n long, digest binary, seldom array<long>, often array<long>")
+        run, "doc_id long, same long, n long, digest binary, seldom array<long>, often array<long>, "
+             + ", ".join(f"{c} long" for c in SKETCH))
     return stage(rows.withColumn("row", F.monotonically_increasing_id())), sent
 
 
@@ -180,6 +199,43 @@ def _share(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def folded() -> list[Column]:
+    """The columns of a sketch laid over each other: one of 64 * FOLDED bits."""
+    return [reduce(Column.bitwiseXOR, map(F.col, SKETCH[i::FOLDED])).alias(SKETCH[i]) for i in range(FOLDED)]
+
+
+def _alike(a: str, b: str, percent: int, width: int) -> Column:
+    """Sizes and sketches of a and b (structs with n and the ``width`` columns of a sketch) allow a link."""
+    differ = sum(F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in SKETCH[:width])
+    both = F.col(f"{a}.n") + F.col(f"{b}.n")
+    return _share(F.col(f"{a}.n"), F.col(f"{b}.n"), percent) & ((100 + percent) * differ <= (100 - percent) * both)
+
+
+def apart(placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes that share a token but no component, and may link.
+
+    ``placed``: token, node, comp, set (n and the folded sketch).  Nodes that share
+    a posting are only made rows if they may link.
+    """
+    groups = stage(placed.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("members")))
+    sizes = stage(groups.groupBy("token").agg(F.count(F.lit(1)).alias("comps"), F.sum("members").alias("nodes"))
+                  .filter("comps > 1").select("token", F.expr("nodes <= 2 * comps").alias("single")))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select("token", F.col("comp").alias("c" + name), F.col("node").alias(name), F.col("set").alias("set_" + name))
+
+    nodes = placed.join(sizes.filter("single").select("token"), "token")
+    left, right = side(nodes, "a"), side(nodes, "b")
+    near = left.join(right, (left["token"] == right["token"]) & (F.col("ca") < F.col("cb")) & _alike("set_a", "set_b", percent, FOLDED))
+
+    few = groups.join(sizes.filter("not single").select("token"), "token")
+    pairs = few.select("token", F.col("comp").alias("ca")).join(few.select("token", F.col("comp").alias("cb")), "token").filter("ca < cb")
+    far = stage(pairs).join(side(placed, "a"), ["token", "ca"])
+    right = side(placed, "b").withColumnsRenamed({"token": "token_b", "cb": "c"})
+    far = far.join(right, (F.col("token") == F.col("token_b")) & (F.col("cb") == F.col("c")) & _alike("set_a", "set_b", percent, FOLDED))
+    return near.select("a", "b").unionByName(far.select("a", "b")).distinct()
+
+
 def packed(texts: DataFrame) -> DataFrame:
     """Column ``text``, the last one, as zstd frames: it is moved three times, each smaller than as text."""
     def run(batches):
@@ -289,19 +345,24 @@ def join(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id
     posted = stage(seldom.unionByName(often))
     release(df.sparkSession)
 
-    involved = posted.select("node").distinct().join(nodes, "node").select("node", "doc_id", "same")
-    key = packed(docs.select(F.col("doc_id").alias("id_"), F.xxhash64("text").alias("same_"), "text"))
-    texts = key.join(stage(involved), F.col("id_").eqNullSafe(F.col("doc_id")) & (F.col("same_") == F.col("same")))
-    texts = texts.select("node", "text")
-    if table.groupBy("doc_id", "same").count().filter("count > 1").head(1):
-        texts = texts.dropDuplicates(["node"])
-    texts = stage(texts)
-    release(df.sparkSession)
+    again = bool(table.groupBy("doc_id", "same").count().filter("count > 1").head(1))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """pairs: a, na, b, nb."""
-        pairs = stage(pairs.filter((F.col("a") != F.col("b")) & _share(F.col("na"), F.col("nb"), percent))
-                      .select("a", "b").distinct())
+        """pairs: a, b, none twice."""
+        sets = table.select(F.col("row").alias("node"), F.struct("n", *SKETCH).alias("set"))
+        for name in ("a", "b"):
+            pairs = pairs.join(sets.select(F.col("node").alias(name), F.col("set").alias("set_" + name)), name)
+        pairs = stage(pairs.filter(_alike("set_a", "set_b", percent, len(SKETCH))).select("a", "b"))
+        release(df.sparkSession)
+        involved = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select(
+            "node", "doc_id", "same"))
+        key = packed(docs.select(F.col("doc_id").alias("id_"), F.xxhash64("text").alias("same_"), "text"))
+        texts = key.join(involved, F.col("id_").eqNullSafe(F.col("doc_id")) & (F.col("same_") == F.col("same")))
+        texts = texts.select("node", "text")
+        if again:
+            texts = texts.dropDuplicates(["node"])
+        texts = stage(texts)
+        release(df.sparkSession)
         partners = stage(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("partners")))
         links = _verify(pairs.join(partners, "a"), texts, sent, width, percent)
         release(df.sparkSession)
@@ -309,20 +370,21 @@ def join(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id
 
     # stars around the smallest and the largest node of each posting
     star = posted.select("node", "n", F.explode(F.array("low", "high")).alias("centre"))
-    links = verified(star.select(F.col("centre.node").alias("a"), F.col("centre.n").alias("na"),
-                                 F.col("node").alias("b"), F.col("n").alias("nb")))
+    star = stage(star.filter((F.col("node") != F.col("centre.node")) & _share(F.col("n"), F.col("centre.n"), percent))
+                 .select(F.col("centre.node").alias("a"), F.col("node").alias("b")).distinct())
+    links = verified(star)
     found = components(links)
+    release(df.sparkSession)
 
-    # the rest: nodes that share a posting but no component, from pairs of components
-    placed = stage(posted.join(found, "node", "left").select("token", "node", "n", F.coalesce("comp", "node").alias("comp")))
-    groups = stage(placed.select("token", "comp").distinct())
-    apart = groups.select("token", F.col("comp").alias("ca")).join(
-        groups.select("token", F.col("comp").alias("cb")), "token").filter("ca < cb")
-    left = placed.select("token", F.col("comp").alias("ca"), F.col("node").alias("a"), F.col("n").alias("na"))
-    right = placed.select("token", F.col("comp").alias("cb"), F.col("node").alias("b"), F.col("n").alias("nb"))
-    rest = stage(apart).join(left, ["token", "ca"]).join(right, ["token", "cb"])
-    links = links.unionByName(verified(rest.select("a", "na", "b", "nb")))
-    found = components(links)
+    # the rest: nodes that share a posting but no component
+    sets = table.select(F.col("row").alias("node"), F.struct("n", *folded()).alias("set"))
+    placed = stage(posted.select("token", "node").join(sets, "node").join(found, "node", "left").select(
+        "token", "node", F.coalesce("comp", "node").alias("comp"), "set"))
+    rest = stage(apart(placed, percent))
+    release(df.sparkSession)
+    if rest.head(1):
+        links = links.unionByName(verified(rest))
+        found = components(links)
 
     member = stage(nodes.join(found, "node", "left").select(
         "digest", F.coalesce("comp", "node").alias("comp"), "node", "doc_id"))
