@@ -8,7 +8,7 @@ never occurs since all 256 bytes are pieces, comes last.
 
 Texts are cut into pre-tokens by the splitting pattern and each pre-token is
 encoded alone; a pre-token that is itself an entry gets that entry.  Decoding
-maps each id back to its piece and each letter back to its byte.
+maps each id back to its entry.
 
 Edge cases: null and empty texts have no ids and decode to empty bytes; very
 long texts are processed whole, in slices of a batch; special-token strings
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import struct
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -35,16 +36,14 @@ from .common import pieces, ship
 
 #: Letter of byte b: chr(FIRST + b).
 FIRST = 0x100
+#: Bytes of a column that are turned into Python values at a time, and chunks that a task keeps encoded.
+PIECE, KEEP = 1 << 20, 200_000
 
 
 def letters(raw: bytes) -> str:
     return (np.frombuffer(raw, np.uint8).astype("<u2") + FIRST).tobytes().decode("utf-16-le")
 
 
-def raw_bytes(piece: str) -> bytes:
-    return bytes(ord(c) - FIRST for c in piece)
-
-
 def read_ranks(path: str) -> list[bytes]:
     with open(path, "rb") as lines:
         pairs = [line.split() for line in lines if line.strip()]
@@ -91,8 +90,6 @@ class Codec:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(vocabulary))
         self.whole = {letters(token): rank for rank, token in enumerate(vocabulary)}
         self.split = regex.compile(pattern)
-        self.bytes_of = [raw_bytes(self.model.id_to_piece(i)) for i in range(len(vocabulary))]
-        self.chunks = ChunkEncoder(self._encode_many)
 
     def _encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         tokens = [[letters(t.encode()) for t in self.split.findall(text)] for text in texts]
@@ -107,11 +104,10 @@ class Codec:
             out.append(ids)
         return runs(out)
 
-    def encode(self, texts: list[str]) -> pa.Array:
-        return binary(*self.chunks.encode(texts))
-
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    def encoder(self) -> Callable[[list[str]], pa.Array]:
+        """Encodes texts; the chunks that it keeps go with it."""
+        chunks = ChunkEncoder(self._encode_many, KEEP)
+        return lambda texts: binary(*chunks.encode([t or "" for t in texts]))
 
 
 @lru_cache(maxsize=2)
@@ -119,18 +115,31 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def _appended(df: DataFrame, source: str, name: str, rows) -> DataFrame:
-    """``df`` plus binary column ``name``, which ``rows`` makes from values of ``source``."""
+def decoder(path: str) -> Callable[[list[bytes | None]], pa.Array]:
+    """Decodes ids; it needs the vocabulary, not the model."""
+    vocabulary = read_ranks(path)
+    return lambda rows: pa.array([b"".join(map(vocabulary.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+                                  for ids in rows], pa.binary())
+
+
+def _appended(df: DataFrame, source: str, name: str, make) -> DataFrame:
+    """``df`` plus binary column ``name``, made from values of ``source`` by what ``make`` gives each task.
+
+    What a task kept goes when it ends: its worker waits for the next one,
+    beside others, and would hold it.
+    """
     ship(df.sparkSession)
     base = df.drop(name) if name != source else df
     place = base.columns.index(source)
     schema = T.StructType([*base.schema.fields, T.StructField(name, T.BinaryType())])
 
     def run(batches):
+        rows = make()
         for batch in batches:
-            for part in pieces(batch, place):
+            for part in pieces(batch, place, PIECE):
                 yield pa.RecordBatch.from_arrays([*part.columns, rows(part.column(place).to_pylist())],
                                                  names=[*part.schema.names, name])
+            pa.default_memory_pool().release_unused()
 
     return base.mapInArrow(run, schema)
 
@@ -138,13 +147,13 @@ def _appended(df: DataFrame, source: str, name: str, rows) -> DataFrame:
 def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", name: str = "ids") -> DataFrame:
     """Add the ids of each text: little-endian unsigned 32-bit integers."""
     return _appended(df, text_col, name,
-                     lambda texts: codec(path, pattern).encode([t or "" for t in texts]))
+                     lambda: codec(path, pattern).encoder())
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
     """Add the bytes that the ids stand for."""
     return _appended(df, ids_col, name,
-                     lambda ids: pa.array([codec(path, pattern).decode(i or b"") for i in ids], pa.binary()))
+                     lambda: decoder(path))
 
 
 def digests(df: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -26,8 +26,8 @@ PLAIN = re.compile(f"{SEEN}(?:.*{SEEN})?", re.DOTALL)
 PLAINS = rf"(?s)\A{SEEN}(?:.*{SEEN})?\z"
 #: A word and the marks after it, which the pattern matches apart.
 MARKED = rf"\A(?P<word>{LETTER}+)(?P<marks>[.,;:!?#$%&*]+)\z"
-#: Chunks kept between batches, and ids of theirs; chunks longer than LONG are never kept.
-KEEP, KEEP_IDS, LONG = 500_000, 4_000_000, 64
+#: Chunks kept between batches, and ids of theirs per chunk; chunks longer than LONG are never kept.
+KEEP, KEEP_IDS, LONG = 500_000, 8, 64
 
 
 class Pool:
@@ -64,8 +64,8 @@ def runs(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 class ChunkEncoder:
     """``encode_many`` turns strings into their ids, one string after the other, and the number of ids of each."""
 
-    def __init__(self, encode_many: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
-        self.encode_many, self.kept, self.pool = encode_many, {}, Pool(*runs([]))
+    def __init__(self, encode_many: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], keep: int = KEEP):
+        self.encode_many, self.keep, self.kept, self.pool = encode_many, keep, {}, Pool(*runs([]))
 
     def learn(self, chunks: list[str]) -> None:
         """Keep the ids of ``chunks``; a word is encoded once for all marks after it, and marks once."""
@@ -95,7 +95,7 @@ class ChunkEncoder:
         used = np.zeros(len(chunks), bool)
         used[np.delete(codes, begins)] = True
         fresh = np.flatnonzero(used & (numbers < 0))
-        if len(self.pool) + len(fresh) > KEEP or len(self.pool.ids) > KEEP_IDS:
+        if len(self.pool) + len(fresh) > self.keep or len(self.pool.ids) > KEEP_IDS * self.keep:
             old = np.flatnonzero(used & (numbers >= 0))
             self.pool = Pool(*self.pool.take(numbers[old]))
             self.kept = dict(zip([chunks[i] for i in old.tolist()], range(len(old))))

@@ -1,9 +1,11 @@
 """Edge cases and brute-force versions of the operators that work text by text."""
 
 import base64
+import gc
 import gzip
 import hashlib
 import io
+import weakref
 import zlib
 
 import numpy as np
@@ -52,6 +54,22 @@ def test_bpe_query_equals_the_library(spark, sf_small, encoding):
         assert r["decoded_sha256"] == hashlib.sha256(docs[r["doc_id"]].encode()).hexdigest()
 
 
+def test_bpe_task_leaves_no_chunks_and_decodes_without_the_model(monkeypatch, encoding):
+    codec = bpe.codec(RANKS, public_tokenizers.PATTERN)
+    encode, other = codec.encoder(), codec.encoder()
+    chunks = weakref.ref(encode.__closure__[0].cell_contents)
+    texts = [t or "" for t in TEXTS]
+    ids = [v.as_py() for v in encode(TEXTS)]
+    assert ids == [np.array(encoding.encode_ordinary(t), "<u4").tobytes() for t in texts]
+    assert chunks().kept and not other.__closure__[0].cell_contents.kept
+    del encode
+    gc.collect()
+    assert chunks() is None
+    monkeypatch.setattr(bpe, "Codec", None)
+    bpe.codec.cache_clear()
+    assert bpe.decoder(RANKS)([*ids, None]).to_pylist() == [*(t.encode() for t in texts), b""]
+
+
 def test_code_lengths_are_limited_and_optimal():
     counts = np.array([0, 1, 1, 2, 3, 5, 8, 13, 21, 34, 55])
     lengths = huffman.code_lengths(counts, 18)
@@ -200,6 +218,24 @@ def test_html_repeats_hold_over_the_whole_host(spark, monkeypatch):
         assert {r["page_id"]: r["text"] for r in html.extract(df.repartition(parts)).collect()} == want
 
 
+def test_html_runs_of_several_pages_are_those_of_each():
+    long = "x" * html.LONG
+    texts = ["a b c d e f g", "", "one\ntwo three", "a b c d\ne f g", f"{long} {long}y {long}z {long}y b {long}", "b c d e f g h é\n中", ""]
+    hosts = ["h", "h", "h", "other", "h", "h", ""]
+    hashes = html.Runs()
+    each = [hashes(t, h) for t, h in zip(texts, hosts)]
+    runs = [[(h, *w[i:i + html.RUN]) for i in range(len(w) - html.RUN + 1)]
+            for h, w in zip(hosts, (t.replace("\n", " ").split(" ") for t in texts))]
+    assert [a.tolist() for a in hashes.pages(texts, hosts)] == [a.tolist() for a in each] == [
+        a.tolist() for a in hashes.each(texts, hosts)]
+    assert list(map(len, each)) == list(map(len, runs))
+    named = dict(zip(sum(runs, []), np.concatenate(each).tolist()))
+    assert [named[r] for r in sum(runs, [])] == np.concatenate(each).tolist()
+    assert len(set(named.values())) == len(named)
+    words = [bytes([65 + i % 7]) * n for n in range(1, 40) for i in range(7)]
+    assert len(set(hashes.words(b" ".join(words)).tolist())) == len(words)
+
+
 def test_repeats_equal_brute_force():
     rng = np.random.default_rng(1)
     streams = [[str(w) for w in rng.integers(0, 4, rng.integers(0, 60))] for _ in range(12)]
