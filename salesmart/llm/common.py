@@ -8,6 +8,7 @@ executor costs a re-read and never needs a cached or local copy.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import shutil
@@ -75,6 +76,22 @@ def ship(spark: SparkSession) -> None:
     context._salesmart_shipped = True
 
 
+def tidy(run):
+    """``run``, a function of a task's batches, that gives what it freed back to the system at its end.
+
+    Its worker waits for the next task, beside others: what the allocators of Python and Arrow
+    keep for later would add up in all of them.
+    """
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
+
+    return whole
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or a variant of it that no column of ``df`` has (in any case)."""
     taken = {c.lower() for c in df.columns}

@@ -34,13 +34,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .chunks import LETTER, ChunkEncoder, Pool, binary, runs, strings
-from .common import SharedFile, column, open_folder, pieces, shared_folder, ship, stage
+from .common import SharedFile, column, open_folder, pieces, shared_folder, ship, stage, tidy
 from .huffman import LIMIT, STEP, Code, code_lengths
 
 MAGIC = b"IDSH0001"
 BLOCK = 1 << 16
 #: Bytes of text that are encoded together.
-SLICE = 1 << 22
+SLICE = 1 << 21
 #: Bytes of ids that become codes together.
 RUNS = 1 << 20
 #: Words of letters, and how many of them make one text for the library.
@@ -60,6 +60,7 @@ BYTE_LETTERS = byte_letters()
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> ChunkEncoder:
+    """What it keeps serves a worker's next tasks too."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer, pre_tokenizers
 
@@ -113,9 +114,10 @@ def tokenize(df: DataFrame, path: str, end_id: int, vocabulary: int, id_col: str
                 ids, sizes = tokenizer(path).encode([t or "" for t in part.column(1).to_pylist()])
                 ids = np.insert(ids.astype(kind), np.cumsum(sizes), end_id)
                 yield pa.RecordBatch.from_arrays([part.column(0), binary(ids, sizes + 1)], names=["doc_id", "ids"])
+            pa.default_memory_pool().release_unused()
 
     return df.select(column(df, id_col).cast("long").alias("doc_id"), column(df, text_col).alias("text")
-                     ).mapInArrow(run, "doc_id long, ids binary")
+                     ).mapInArrow(tidy(run), "doc_id long, ids binary")
 
 
 def count_ids(tokens: DataFrame, vocabulary: int) -> np.ndarray:
@@ -124,11 +126,12 @@ def count_ids(tokens: DataFrame, vocabulary: int) -> np.ndarray:
     def run(batches):
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind), minlength=vocabulary)
+            for part in pieces(batch, 0, RUNS):
+                total += np.bincount(np.frombuffer(b"".join(part.column(0).to_pylist()), kind), minlength=vocabulary)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
-    rows = tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    rows = tokens.select("ids").mapInArrow(tidy(run), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     counts = np.zeros(vocabulary, np.int64)
     for r in rows.toLocalIterator():  # at most one row per vocabulary entry
         counts[r["id"]] = r["n"]
@@ -201,8 +204,8 @@ def write(tokens: DataFrame, counts: np.ndarray, limit: int = LIMIT) -> DataFram
 
     # the ids are dealt uncoded: Spark samples the ranges from the same plan, which would encode twice
     ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
-    coded = ordered.mapInArrow(encode, "doc_id long, n long, marks binary, payload binary")
-    return stage(coded.mapInArrow(save, "file string, part long, n_docs long, n_tokens long, blocks long"))
+    coded = ordered.mapInArrow(tidy(encode), "doc_id long, n long, marks binary, payload binary")
+    return stage(coded.mapInArrow(tidy(save), "file string, part long, n_docs long, n_tokens long, blocks long"))
 
 
 def read_blocks(uri: str):
@@ -249,7 +252,8 @@ def read(manifest: DataFrame) -> DataFrame:
                         names=["doc_id", "start", "n_tokens", "ids"])
                     start += int(counts.sum())
 
-    return rows.repartition(tasks, "file").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return rows.repartition(tasks, "file").mapInArrow(
+        tidy(run), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def round_trip(df: DataFrame, path: str, end_id: int, vocabulary: int, id_col: str = "doc_id",

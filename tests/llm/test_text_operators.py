@@ -9,13 +9,14 @@ import weakref
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 tiktoken = pytest.importorskip("tiktoken")
 
-from salesmart.llm import bpe, html, huffman, registry, tokenfile, toxicity, warc  # noqa: E402
+from salesmart.llm import bpe, common, html, huffman, registry, tokenfile, toxicity, warc  # noqa: E402
 
 TEXTS = [None, "", " ", "a", "Hello, world!", "It's\n\n two  lines \t", "é中😀 naïve", "x" * 5000, "word " * 3000,
          "Hello, world!", "don't 12345 #$%", " wide blank"]
@@ -70,6 +71,28 @@ def test_bpe_task_leaves_no_chunks_and_decodes_without_the_model(monkeypatch, en
     assert bpe.decoder(RANKS)([*ids, None]).to_pylist() == [*(t.encode() for t in texts), b""]
 
 
+def test_a_task_gives_memory_back(monkeypatch):
+    asked = []
+
+    class Trim:
+        def malloc_trim(self, pad):
+            asked.append(alive() is None)
+
+    class Held:
+        pass
+
+    def run(batches):
+        nonlocal alive
+        held = Held()
+        alive = weakref.ref(held)
+        yield from batches
+
+    alive = None
+    monkeypatch.setattr(common.ctypes, "CDLL", lambda name: Trim())
+    assert list(common.tidy(run)(iter([1, 2]))) == [1, 2]
+    assert asked == [True]
+
+
 def test_code_lengths_are_limited_and_optimal():
     counts = np.array([0, 1, 1, 2, 3, 5, 8, 13, 21, 34, 55])
     lengths = huffman.code_lengths(counts, 18)
