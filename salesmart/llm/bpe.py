@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .chunks import ChunkEncoder, binary, runs
-from .common import pieces, ship
+from .common import pieces, ship, tidy
 
 #: Letter of byte b: chr(FIRST + b).
 FIRST = 0x100
@@ -141,7 +141,7 @@ def _appended(df: DataFrame, source: str, name: str, make) -> DataFrame:
                                                  names=[*part.schema.names, name])
             pa.default_memory_pool().release_unused()
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(tidy(run), schema)
 
 
 def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", name: str = "ids") -> DataFrame:

@@ -50,7 +50,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, fresh, release, ship, stage
+from .common import column, fresh, pieces, release, ship, stage, tidy
 
 #: Bound of the table of frequent tokens that every task holds, and of a task's counters.
 HOT, COUNTERS = 100_000, 400_000
@@ -124,6 +124,12 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a))
 
 
+def texts_of(batch: pa.RecordBatch, place: int):
+    """Values of a column, of which a part is held as Python values at a time."""
+    for part in pieces(batch, place):
+        yield from part.column(place).to_pylist()
+
+
 def frequent_tokens(df: DataFrame, width: int) -> np.ndarray:
     """At most HOT tokens, the ones with the largest Misra-Gries counts, sorted."""
     ship(df.sparkSession)
@@ -144,7 +150,7 @@ def frequent_tokens(df: DataFrame, width: int) -> np.ndarray:
             return merged[total > 0], total[total > 0]
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in texts_of(batch, 0):
                 held.append(make(text))
                 size += len(held[-1])
                 if size > 1 << 22:
@@ -157,7 +163,7 @@ def frequent_tokens(df: DataFrame, width: int) -> np.ndarray:
             keys, counts = keys[top], counts[top]
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["token", "n"])
 
-    rows = df.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "token long, n long")
+    rows = df.select(F.col("text").cast("binary").alias("text")).mapInArrow(tidy(run), "token long, n long")
     rows = rows.groupBy("token").agg(F.sum("n").alias("n"))
     top = rows.orderBy(F.desc("n"), "token").limit(HOT).select("token").toArrow()
     return np.sort(top.column(0).to_numpy().astype(np.int64).view(np.uint64))
@@ -173,7 +179,7 @@ def documents_table(df: DataFrame, width: int, percent: int) -> DataFrame:
         make = Hasher(width)
         for batch in batches:
             n, digests, seldom, often, drawn = [], [], [], [], [np.zeros((0, len(SKETCH)), np.int64)]
-            for text in batch.column(2).to_pylist():
+            for text in texts_of(batch, 2):
                 tokens = make(text)
                 n.append(len(tokens))
                 digests.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
@@ -189,7 +195,7 @@ def documents_table(df: DataFrame, width: int, percent: int) -> DataFrame:
                 names=["doc_id", "same", "n", "digest", "seldom", "often", *SKETCH])
 
     rows = df.select("doc_id", F.xxhash64("text").alias("same"), F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, "doc_id long, same long, n long, digest binary, seldom array<long>, often array<long>, "
+        tidy(run), "doc_id long, same long, n long, digest binary, seldom array<long>, often array<long>, "
              + ", ".join(f"{c} long" for c in SKETCH))
     return stage(rows.withColumn("row", F.monotonically_increasing_id())), sent
 
@@ -245,7 +251,7 @@ def packed(texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], frames], names=batch.schema.names)
 
     rows = texts.withColumn("text", F.col("text").cast("binary"))
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(tidy(run), rows.schema)
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, sent, width: int, percent: int) -> DataFrame:
@@ -283,7 +289,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, sent, width: int, percent: int)
                             out.append({"a": a, "b": node})
             yield pa.RecordBatch.from_pylist(out, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    return stage(rows.select("a", "chunk", "node", "text").mapInArrow(run, "a long, b long"))
+    return stage(rows.select("a", "chunk", "node", "text").mapInArrow(tidy(run), "a long, b long"))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, fresh, ship, stage
+from .common import column, fresh, pieces, ship, stage, tidy
 
 TOKEN = re.compile(r"\w+")
 PREFIXES = (4, 5, 6)
@@ -52,8 +52,14 @@ MAX_TRAIN, MAX_TERMS = 50_000, 20_000
 MIN_Z, PRIOR, FLOOR, ALPHA, THRESHOLD = 3.0, 500.0, 0.5, 0.01, 0.3
 #: MinHash values of a text, how many of them make a band, and the bands compared.
 SIGNS, BAND, BANDS, COPY = 128, 4, 16, 0.8
-#: Distinct features a counting task holds before it passes them on.
-FLUSH = 300_000
+#: Distinct features a counting task holds before it passes them on, and words whose values a task keeps.
+FLUSH, KNOWN = 300_000, 250_000
+
+
+def rows_of(batch: pa.RecordBatch):
+    """Its rows, the last column texts, of which a part is held as Python values at a time."""
+    for part in pieces(batch, batch.num_columns - 1):
+        yield from zip(*(c.to_pylist() for c in part.columns))
 
 
 def tokens(text: str | None) -> list[str]:
@@ -106,7 +112,7 @@ class Model:
     def word(self, word: str) -> float:
         score = self._known.get(word)
         if score is None:
-            if len(self._known) > 500_000:
+            if len(self._known) > KNOWN:
                 self._known.clear()
             score = self._known[word] = max((self.odds.get(f, 0.0) for f in features(word)), default=0.0)
         return score
@@ -165,7 +171,7 @@ def _count(df: DataFrame, groups: int, spread) -> DataFrame:
                 h.clear()
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
+            for row in rows_of(batch):
                 own, found = spread(*row)
                 for i in own:
                     held[i].update(found)
@@ -173,7 +179,7 @@ def _count(df: DataFrame, groups: int, spread) -> DataFrame:
                     yield from flush()
         yield from flush()
 
-    rows = df.mapInArrow(run, "feature string, " + ", ".join(f"{n} long" for n in names))
+    rows = df.mapInArrow(tidy(run), "feature string, " + ", ".join(f"{n} long" for n in names))
     return rows.groupBy("feature").agg(*(F.sum(n).alias(n) for n in names))
 
 
@@ -195,7 +201,7 @@ class Signer:
     def _word(self, word: str) -> int:
         h = self.known.get(word)
         if h is None:
-            if len(self.known) > 500_000:
+            if len(self.known) > KNOWN:
                 self.known.clear()
             h = self.known[word] = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
         return h
@@ -236,7 +242,7 @@ def drop_copies(rows: DataFrame) -> DataFrame:
                             "bands": [bytes([i]) + signs[i * BAND:(i + 1) * BAND].tobytes() for i in range(BANDS)]})
             yield pa.RecordBatch.from_pylist(out, schema)
 
-    signed = stage(rows.mapInArrow(sign, "toxic int, name string, signs binary, bands array<binary>"))
+    signed = stage(rows.mapInArrow(tidy(sign), "toxic int, name string, signs binary, bands array<binary>"))
     banded = signed.select("toxic", "name", F.explode("bands").alias("band"))
     heads = stage(banded.groupBy("toxic", "band").agg(F.min("name").alias("head"), F.count(F.lit(1)).alias("n")).filter(
         "n > 1").drop("n"))
@@ -255,7 +261,7 @@ def drop_copies(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["toxic", "name"]).filter(
                 pa.array((a == b).mean(axis=1) >= COPY))
 
-    copies = stage(pairs.mapInArrow(agree, "toxic int, name string").distinct())
+    copies = stage(pairs.mapInArrow(tidy(agree), "toxic int, name string").distinct())
     return rows.join(F.broadcast(copies), ["toxic", "name"], "left_anti").select("toxic", "text")
 
 
@@ -301,12 +307,12 @@ def _calibrate(model: Model, rows: DataFrame) -> Model:
     def hit_rate(batches):
         for batch in batches:
             out = []
-            for toxic, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for toxic, text in rows_of(batch):
                 words = tokens(text)
                 out.append({"toxic": int(toxic > 0), "hits": len(model.hits(words)), "n": len(words)})
             yield pa.RecordBatch.from_pylist(out, pa.schema([("toxic", pa.int32()), ("hits", pa.int64()), ("n", pa.int64())]))
 
-    rates = rows.mapInArrow(hit_rate, "toxic int, hits long, n long").groupBy("toxic").agg(
+    rates = rows.mapInArrow(tidy(hit_rate), "toxic int, hits long, n long").groupBy("toxic").agg(
         F.sum("hits").alias("hits"), F.sum("n").alias("n")).collect()
     rate = {r["toxic"]: (r["hits"] + FLOOR) / (r["n"] + 1) for r in rates}
     model.drift = max(0.01, math.log((1 - min(rate[0], 0.5)) / (1 - min(rate[1], 0.5))))
@@ -314,12 +320,12 @@ def _calibrate(model: Model, rows: DataFrame) -> Model:
     def best(batches):
         for batch in batches:
             out = []
-            for toxic, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for toxic, text in rows_of(batch):
                 score, n = model.best(text)
                 out.append({"toxic": int(toxic > 0), "score": score, "n": n})
             yield pa.RecordBatch.from_pylist(out, pa.schema([("toxic", pa.int32()), ("score", pa.float64()), ("n", pa.int64())]))
 
-    seen = rows.mapInArrow(best, "toxic int, score double, n long").toPandas().sort_values(
+    seen = rows.mapInArrow(tidy(best), "toxic int, score double, n long").toPandas().sort_values(
         ["toxic", "score", "n"])  # a fixed order, so that reruns add up alike
     y, score = seen["toxic"].to_numpy(float), seen["score"].to_numpy(float)
     n = np.maximum(seen["n"].to_numpy(float), 1)
@@ -350,11 +356,11 @@ def score_documents(df: DataFrame, model: Model, text_col: str = "text", name: s
 
     def run(batches):
         for batch in batches:
-            made = [model.probability(*model.best(t)) for t in batch.column(place).to_pylist()]
+            made = [model.probability(*model.best(t)) for (t,) in rows_of(batch.select([place]))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.float64())],
                                              names=[*batch.schema.names, name])
 
-    return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(name, T.DoubleType())]))
+    return base.mapInArrow(tidy(run), T.StructType([*base.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def find_passages(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
@@ -380,7 +386,7 @@ def find_passages(df: DataFrame, model: Model, id_col: str = "doc_id", text_col:
                                     "score": score, "expected": expected})
             yield pa.RecordBatch.from_pylist(out, schema)
 
-    return body.mapInArrow(run, "doc_id long, begin long, end long, score double, expected double")
+    return body.mapInArrow(tidy(run), "doc_id long, begin long, end long, score double, expected double")
 
 
 def reject(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

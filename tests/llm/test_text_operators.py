@@ -93,6 +93,21 @@ def test_a_task_gives_memory_back(monkeypatch):
     assert asked == [True]
 
 
+def test_toxicity_holds_a_part_of_a_batch_as_python_values(monkeypatch):
+    texts = ["a" * 10, None, "", "b" * 7, "c"] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(range(15)), pa.array(texts)], names=["n", "text"])
+    parts, size = [], 8
+
+    def pieces(batch, place):
+        for part in common.pieces(batch, place, size):
+            parts.append(part.num_rows)
+            yield part
+
+    monkeypatch.setattr(toxicity, "pieces", pieces)
+    assert list(toxicity.rows_of(batch)) == list(zip(range(15), texts))
+    assert len(parts) > 3 and list(toxicity.rows_of(batch.slice(0, 0))) == []
+
+
 def test_code_lengths_are_limited_and_optimal():
     counts = np.array([0, 1, 1, 2, 3, 5, 8, 13, 21, 34, 55])
     lengths = huffman.code_lengths(counts, 18)
